@@ -9,7 +9,7 @@ from dumptables.operators.integrity import (
 )
 from dumptables.operators.metrics import load_totals, pages_per_file, running_totals
 from dumptables.operators.pages import assemble_pages
-from dumptables.operators.segments import segments, stage_segments
+from dumptables.operators.segments import stage_segments, to_segments
 from dumptables.operators.tables import (
     contributor_rows,
     namespace_rows,
@@ -37,7 +37,7 @@ __all__ = [
     "rejected",
     "revision_rows",
     "running_totals",
-    "segments",
+    "to_segments",
     "siteinfo_rows",
     "stage_segments",
     "valid",

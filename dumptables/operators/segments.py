@@ -30,7 +30,7 @@ def cut(records: DataFrame) -> DataFrame:
             "block_start",
             "row_id",
             F.size("parts").alias("n_parts"),
-            F.posexplode("parts").alias("seg", "body"),
+            F.posexplode_outer("parts").alias("seg", "body"),
         )
     )
     body = F.col("body")
@@ -68,8 +68,9 @@ def _xml() -> Column:
 def _text(xml: Column, text: Column) -> Column:
     """Body of ``<text>``; the parser drops a body of blanks only, so that is read by pattern."""
     blanks = F.regexp_extract(xml, r"<text\b[^<>]*>(\s+)</text>", 1)
-    return F.nullif(
-        F.coalesce(text["_VALUE"], F.when(text.isNotNull(), blanks)), F.lit("")
+    return F.coalesce(
+        F.nullif(text["_VALUE"], F.lit("")),
+        F.when(text.isNotNull(), F.nullif(blanks, F.lit(""))),
     )
 
 
@@ -152,7 +153,7 @@ def parse(cuts: DataFrame) -> DataFrame:
     return flat.withColumn("raw", F.when(faulty, F.col("xml"))).select(SEGMENTS.fieldNames())
 
 
-def segments(records: DataFrame) -> DataFrame:
+def to_segments(records: DataFrame) -> DataFrame:
     """Cut and parse scanned records."""
     return parse(cut(records))
 
@@ -164,5 +165,5 @@ def stage_segments(records: DataFrame, path: str) -> DataFrame:
     costs the tasks it ran, never the parse of the whole dump. Sorted by nothing and
     shuffled by nothing: every scan task writes its own file.
     """
-    segments(records).write.mode("overwrite").parquet(path)
+    to_segments(records).write.mode("overwrite").parquet(path)
     return records.sparkSession.read.schema(SEGMENTS).parquet(path)

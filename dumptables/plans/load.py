@@ -32,14 +32,11 @@ from dumptables.operators.tables import (
     revision_rows,
     siteinfo_rows,
 )
-from dumptables.schemas import LOAD_ORDER, POSITION, REJECTS, TABLES, ForeignKey, TableSpec
-from dumptables.session import is_bounded, small_side, work_folder
+from dumptables.schemas import LOAD_ORDER, POSITION, REJECTS, ForeignKey, TableSpec
+from dumptables.session import is_bounded, small_side, together, work_folder
 from dumptables.sinks.base import CallableSink, Sink
 from dumptables.sources.dump import DumpOptions, scan_records
 
-# A second row of one of these keys is an error to report; of the others it is expected
-# (every revision names its author again) and dropped silently.
-UNIQUE_ROWS = ("page", "revision")
 
 class RejectedRows(ValueError):
     """A load in mode FAILFAST met a row it would have to set aside."""
@@ -63,7 +60,8 @@ class LoadOptions:
 
 @dataclass(frozen=True)
 class Staged:
-    """The parsed dump as written to the work folder, read back from there."""
+    """The parsed dump as written to the work folder, read back from there. ``files`` is
+    hinted for broadcast when counted small."""
 
     spark: SparkSession
     segments: DataFrame
@@ -77,10 +75,10 @@ class Staged:
         if table == "namespaces":
             return namespace_rows(self.files)
         if table == "contributor":
-            return contributor_rows(self.segments, small_side(self.files))
+            return contributor_rows(self.segments, self.files)
         if table == "revision":
-            return revision_rows(self.segments, small_side(self.files))
-        return page_rows(self.pages, small_side(self.files), zero_defaults)
+            return revision_rows(self.segments, self.files)
+        return page_rows(self.pages, self.files, zero_defaults)
 
 
 @dataclass(frozen=True)
@@ -101,92 +99,154 @@ def _kept(df: DataFrame, path: str) -> DataFrame:
 
 def stage(records: DataFrame, work: str) -> Staged:
     """Parse records into the work folder: segments, then files and pages made from them."""
+    spark = records.sparkSession
     segments = stage_segments(records, f"{work}/segments")
-    files = _kept(dump_files(segments), f"{work}/files")
-    pages = _kept(assemble_pages(segments), f"{work}/pages")
-    return Staged(records.sparkSession, segments, files, pages)
-
-
-def _reject(rows: DataFrame, positions: DataFrame, table: str, reason: str) -> DataFrame:
-    refused = at(rows, small_side(positions)).withColumn("reason", F.lit(reason))
-    return rejected(refused, table)
+    files, pages = together(
+        spark,
+        lambda: small_side(_kept(dump_files(segments), f"{work}/files")),
+        lambda: _kept(assemble_pages(segments), f"{work}/pages"),
+    )
+    return Staged(spark, segments, files, pages)
 
 
 class _TableLoad:
-    """Loads one table; its parents are loaded already."""
+    """One table on its way from the stage to the sink.
 
-    def __init__(self, staged: Staged, sink: Sink, work: str, options: LoadOptions):
-        self.staged = staged
+    Key checks and writes of different tables are separate steps, so that those that do
+    not wait for each other can run at the same time.
+    """
+
+    def __init__(self, spec: TableSpec, staged: Staged, sink: Sink, work: str, options: LoadOptions):
+        rows = staged.rows(spec.name, options.zero_defaults)
+        self.spec = spec
         self.sink = sink
-        self.work = work
-        self.options = options
-        self.accepted: dict[str, DataFrame] = {}
-        self.rejects: list[DataFrame] = []
-
-    def run(self, spec: TableSpec) -> None:
-        rows = self.staged.rows(spec.name, self.options.zero_defaults)
-        self.rejects.append(rejected(rows, spec.name))
-        rows = rows.filter("reason IS NULL")
-        if self.options.foreign_keys:
-            for fk in spec.foreign_keys:
-                # A wiki name comes from the very header loaded as siteinfo: never an orphan.
-                if fk.parent != "siteinfo":
-                    rows = self._refuse_orphans(rows, spec, fk)
-        insert = self._insert_unique if spec.name in UNIQUE_ROWS else self._insert_first
-        rows = insert(rows, spec).select(spec.columns)
-        self.sink.append(spec, rows)
-        self.accepted[spec.name] = rows
-
-    def _parent_keys(self, fk: ForeignKey, child: DataFrame) -> DataFrame:
-        parent = TABLES[fk.parent]
-        looked_up = child.select(
-            *[F.col(c).alias(p) for c, p in zip(fk.columns, fk.parent_columns, strict=True)]
+        self.work = f"{work}/keys/{spec.name}"
+        self.rejects_path = f"{work}/rejects/table={spec.name}"
+        self.rejects = [rejected(rows, spec.name)]
+        self.rows = rows.filter("reason IS NULL")
+        self.outcome: DataFrame | None = None
+
+    # -- keys ---------------------------------------------------------------------
+
+    def find_outcome(self) -> None:
+        """Decide per key which row wins, from key columns and positions only."""
+        narrow = self.rows.select(*self.spec.key, *POSITION)
+        stored = self.sink.keys(self.spec, narrow.select(*self.spec.key))
+        self.outcome = _kept(
+            key_outcome(narrow, self.spec.key, stored), f"{self.work}/outcome"
         )
-        stored = self.sink.keys(parent, looked_up)
-        return self.accepted[fk.parent] if stored is None else stored
 
-    def _refuse_orphans(self, rows: DataFrame, spec: TableSpec, fk: ForeignKey) -> DataFrame:
-        missing = _kept(
-            fk_missing_keys(rows, self._parent_keys(fk, rows), fk),
-            f"{self.work}/keys/{spec.name}_{fk.reason}",
+    def missing_parents(self, fk: ForeignKey, loaded: _TableLoad) -> DataFrame:
+        """Referenced keys that are neither stored nor just loaded."""
+        looked_up = self.rows.select(
+            *[F.col(c).alias(p) for c, p in zip(fk.columns, fk.parent_columns, strict=True)]
+        )
+        parent = self.sink.keys(loaded.spec, looked_up)
+        if parent is None:
+            parent = loaded.rows
+        return _kept(
+            fk_missing_keys(self.rows, parent, fk), f"{self.work}/missing_{fk.parent}"
         )
+
+    def refuse_orphans(self, fk: ForeignKey, missing: DataFrame) -> None:
         if missing.isEmpty():
-            return rows
-        positions = fk_violations(rows.select(*fk.columns, *POSITION), small_side(missing), fk)
-        positions = _kept(
-            positions.select(*POSITION), f"{self.work}/keys/{spec.name}_{fk.reason}_rows"
+            return
+        orphans = fk_violations(
+            self.rows.select(*fk.columns, *POSITION), small_side(missing), fk
         )
-        self.rejects.append(_reject(rows, positions, spec.name, fk.reason))
-        return not_at(rows, small_side(positions))
+        orphans = _kept(orphans.select(*POSITION), f"{self.work}/orphans_{fk.parent}")
+        self._refuse(orphans, fk.reason)
+        self.rows = not_at(self.rows, small_side(orphans))
+        self.outcome = None
 
-    def _insert_first(self, rows: DataFrame, spec: TableSpec) -> DataFrame:
-        """First row of each key that is not stored yet, for tables of short rows."""
-        first = keep_first(rows.select(*spec.columns, *POSITION), spec.key, POSITION)
-        stored = self.sink.keys(spec, first.select(*spec.key))
-        return first if stored is None else insert_absent(first, stored, spec.key)
+    def _refuse(self, positions: DataFrame, reason: str) -> None:
+        refused = at(self.rows, small_side(positions)).withColumn("reason", F.lit(reason))
+        self.rejects.append(rejected(refused, self.spec.name))
 
-    def _insert_unique(self, rows: DataFrame, spec: TableSpec) -> DataFrame:
-        """The same for tables whose keys should not repeat and whose rows may be wide.
+    def keep_winners(self) -> None:
+        """Leave one row per key that is not stored yet, for keys that should not repeat.
 
-        Keys and positions decide; wide rows are then filtered against whichever side is
-        short. On a first load almost nothing is lost, on a repeated one almost everything.
+        Wide rows are filtered against whichever side is short: on a first load almost
+        nothing is lost, on a repeated one almost everything.
         """
-        path = f"{self.work}/keys/{spec.name}"
-        narrow = rows.select(*spec.key, *POSITION)
-        outcome = _kept(
-            key_outcome(narrow, spec.key, self.sink.keys(spec, narrow.select(*spec.key))),
-            f"{path}_outcome",
-        )
-        contested = outcome.filter("n > 1 OR stored")
+        if self.outcome is None:
+            self.find_outcome()
+        contested = self.outcome.filter("n > 1 OR stored")
         if contested.isEmpty():
-            return rows
-        lost = _kept(losers(narrow, small_side(contested), spec.key), f"{path}_lost")
+            return
+        narrow = self.rows.select(*self.spec.key, *POSITION)
+        lost = _kept(
+            losers(narrow, small_side(contested), self.spec.key), f"{self.work}/lost"
+        )
         repeated = lost.filter("NOT stored")
         if not repeated.isEmpty():
-            self.rejects.append(_reject(rows, repeated, spec.name, "duplicate_key"))
+            self._refuse(repeated, "duplicate_key")
         if is_bounded(lost):
-            return not_at(rows, F.broadcast(lost))
-        return at(rows, small_side(winners(outcome)))
+            self.rows = not_at(self.rows, F.broadcast(lost))
+        else:
+            self.rows = at(self.rows, small_side(winners(self.outcome)))
+
+    def keep_first(self) -> None:
+        """The same for short rows whose keys are expected to repeat: every revision names
+        its author again, every file its wiki. Nothing is reported."""
+        first = keep_first(
+            self.rows.select(*self.spec.columns, *POSITION), self.spec.key, POSITION
+        )
+        stored = self.sink.keys(self.spec, first.select(*self.spec.key))
+        self.rows = first if stored is None else insert_absent(first, stored, self.spec.key)
+
+    # -- writes -------------------------------------------------------------------
+
+    def write(self) -> None:
+        self.sink.append(self.spec, self.rows.select(self.spec.columns))
+
+    def write_rejects(self) -> None:
+        rejects = reduce(DataFrame.unionByName, self.rejects).drop("table")
+        rejects.write.mode("overwrite").parquet(self.rejects_path)
+
+    def run_keep_first(self) -> None:
+        self.keep_first()
+        self.write()
+
+
+def _load_tables(staged: Staged, sink: Sink, work: str, options: LoadOptions) -> None:
+    """Write the five tables, parents before children.
+
+    A row's wiki name comes from the very header loaded as siteinfo, so those references
+    hold by construction; the other three are checked.
+    """
+    load = {spec.name: _TableLoad(spec, staged, sink, work, options) for spec in LOAD_ORDER}
+    revision, page = load["revision"], load["page"]
+    checked = [
+        (child, fk)
+        for child in (revision, page)
+        for fk in child.spec.foreign_keys
+        if options.foreign_keys and fk.parent != "siteinfo"
+    ]
+
+    def refuse_orphans(*which: tuple[_TableLoad, ForeignKey]) -> None:
+        finders = [lambda c=c, fk=fk: c.missing_parents(fk, load[fk.parent]) for c, fk in which]
+        for (child, fk), missing in zip(which, together(staged.spark, *finders), strict=True):
+            child.refuse_orphans(fk, missing)
+
+    together(
+        staged.spark,
+        load["siteinfo"].run_keep_first,
+        load["namespaces"].run_keep_first,
+        load["contributor"].run_keep_first,
+        revision.find_outcome,
+        page.find_outcome,
+    )
+    refuse_orphans(*[(c, fk) for c, fk in checked if fk.parent != "revision"])
+    revision.keep_winners()
+    together(
+        staged.spark,
+        revision.write,
+        *[load[name].write_rejects for name in ("siteinfo", "namespaces", "contributor", "revision")],
+    )
+    refuse_orphans(*[(c, fk) for c, fk in checked if fk.parent == "revision"])
+    page.keep_winners()
+    together(staged.spark, page.write, page.write_rejects)
 
 
 def _fail_on_rejects(staged: Staged, options: LoadOptions) -> None:
@@ -207,11 +267,8 @@ def load_records(
     staged = stage(records, work)
     if options.mode == "FAILFAST":
         _fail_on_rejects(staged, options)
-    load = _TableLoad(staged, sink, work, options)
-    for spec in LOAD_ORDER:
-        load.run(spec)
-    rejects = reduce(DataFrame.unionByName, load.rejects)
-    rejects = _kept(rejects, f"{work}/rejects")
+    _load_tables(staged, sink, work, options)
+    rejects = staged.spark.read.schema(REJECTS).parquet(f"{work}/rejects")
     return LoadReport(
         staged=staged,
         rejects=rejects.select(REJECTS.fieldNames()),

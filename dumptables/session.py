@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,3 +44,12 @@ def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     partitions adaptive execution splits.
     """
     return F.broadcast(df) if is_bounded(df, rows) else df
+
+
+def together(spark: SparkSession, *actions: Callable[[], object]) -> list:
+    """Run independent actions at the same time, so that one fills the gaps of another."""
+    if not actions:
+        return []
+    with ThreadPoolExecutor(max_workers=len(actions)) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(a)) for a in actions]
+        return [job.result() for job in running]

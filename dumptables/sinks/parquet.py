@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
-from dumptables.schemas import LOAD_ORDER, TableSpec
+from dumptables.schemas import TABLES, TableSpec
 from dumptables.sinks.base import conform
 
 
@@ -20,19 +21,20 @@ class ParquetSink:
         return f"{self.path}/{spec.name}"
 
     def ensure(self) -> None:
-        for spec in LOAD_ORDER:
-            empty = self.spark.createDataFrame([], spec.schema)
-            empty.write.mode("ignore").parquet(self._folder(spec))
+        """Nothing to do: appending makes a folder, and reading fills in missing columns."""
 
     def read(self, name: str) -> DataFrame:
         """A stored table; columns an older writer did not know are NULL."""
-        from dumptables.schemas import TABLES
-
         spec = TABLES[name]
         return self.spark.read.schema(spec.schema).parquet(self._folder(spec))
 
     def keys(self, spec: TableSpec, new: DataFrame) -> DataFrame | None:
-        return self.read(spec.name).select(*spec.key)
+        try:
+            return self.read(spec.name).select(*spec.key)
+        except AnalysisException as missing:
+            if missing.getCondition() == "PATH_NOT_FOUND":
+                return None
+            raise
 
     def append(self, spec: TableSpec, rows: DataFrame) -> None:
         conform(rows, spec.schema).write.mode("append").parquet(self._folder(spec))

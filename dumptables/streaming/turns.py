@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from dumptables.operators.metrics import running_totals
 from dumptables.plans.load import LoadOptions, load_records
+from dumptables.schemas import REJECTS
 from dumptables.sinks.base import CallableSink, Sink
 from dumptables.sources.dump import DumpOptions, stream_records
 
@@ -36,6 +37,9 @@ def load_in_turns(
 
     def turn(records: DataFrame, batch_id: int) -> None:
         report = load_records(records, sink, f"{work}/turns/{batch_id}", options)
+        report.rejects.write.mode("overwrite").partitionBy("table").parquet(
+            f"{work}/rejects/turn={batch_id}"
+        )
         report.totals.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode(
             "overwrite"
         ).parquet(f"{work}/progress/turn={batch_id}")
@@ -61,4 +65,4 @@ def progress(spark: SparkSession, work: str) -> DataFrame:
 
 def rejects_of_turns(spark: SparkSession, work: str) -> DataFrame:
     """Rows set aside by all turns so far."""
-    return spark.read.parquet(f"{work.rstrip('/')}/turns/*/rejects")
+    return spark.read.schema(REJECTS).parquet(f"{work.rstrip('/')}/rejects")

@@ -166,3 +166,77 @@ def conversation_pieces(turns: DataFrame) -> DataFrame:
 def render_conversations(spark: SparkSession, sf_dir: str, path: str) -> None:
     turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
     write_dump(conversation_pieces(turns), path, header(F.col("wiki"), F.col("site")))
+
+
+DEFECTS = 16
+
+
+def faulty_pages(docs: DataFrame) -> DataFrame:
+    """Each document as a page with one of sixteen peculiarities, most of them faults."""
+    i = F.col("doc_id")
+    s = i.cast("string")
+    kind = i % DEFECTS
+
+    def choose(usual: Column | str, **special: Column | str) -> Column:
+        value = None
+        for name, text in special.items():
+            text = F.lit(text) if isinstance(text, str) else text
+            test = kind == int(name[1:])
+            value = F.when(test, text) if value is None else value.when(test, text)
+        return value.otherwise(F.lit(usual) if isinstance(usual, str) else usual)
+
+    body = join('<text bytes="', F.octet_length("text").cast("string"), '">', escape(F.col("text")), "</text>")
+    flat = join("<model>wikitext</model><format>text/x-wiki</format>", body)
+    title = join("<title>Doc ", s, "</title>")
+    text = choose(
+        flat,
+        k1='<model>wikitext</model><format>text/x-wiki</format><text deleted="deleted" bytes="3"/>',
+        k8=join(
+            "<model>wikitext</model><format>text/x-wiki</format>",
+            '<text bytes="', F.octet_length("text").cast("string"),
+            '">a &lt;/page> b &lt;/revision> ', escape(F.col("text")), "</text>",
+        ),
+        k12=join("<content>", flat, "</content>"),
+        k15='<model>wikitext</model><format>text/x-wiki</format><text bytes="1"> </text>',
+    )
+    revision = join(
+        "<revision><id>", (i + 1000000).cast("string"), "</id><timestamp>",
+        choose("2024-01-01T00:00:00Z", k6="nope"), "</timestamp><contributor>",
+        choose(
+            join("<username>u", s, "</username><id>", (i % 37).cast("string"), "</id>"),
+            k2=join("<username/><id>", (i + 1000).cast("string"), "</id>"),
+        ),
+        "</contributor>", choose("<comment>c</comment>", k0="<comment></comment>"), text,
+        "</revision>",
+    )
+    xml = join(
+        "  <page>",
+        choose(title, k0="<title/>", k11=join("<title>a</title>", title, "<title/>")),
+        choose("<ns>0</ns>", k3="<ns>70000</ns>", k14="<ns>99</ns>"),
+        choose(join("<id>", s, "</id>"), k4=join("<id>x", s, "</id>"), k5=""),
+        choose(revision, k7="<revision>", k13=""),
+        choose(
+            "",
+            k9="<upload><contributor><username>up</username><id>99</id></contributor></upload>",
+            k10="<revision><timestamp>2024-01-01T00:00:00Z</timestamp></revision>",
+        ),
+        "</page>",
+    )
+    return docs.select(
+        F.concat("lang", F.lit("wiki")).alias("wiki"),
+        F.expr(f"doc_id div {PAGES_PER_FILE}").alias("part"),
+        F.col("lang").alias("site"),
+        i.alias("seq"),
+        xml.alias("xml"),
+    )
+
+
+def render_faulty(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """French files name no wiki, Spanish ones stop inside a page."""
+    site = F.col("site")
+    named = F.when(site == "fr", "").otherwise(join("<dbname>", F.col("wiki"), "</dbname>"))
+    cut = "<page><title>Cut</title><id>1</id><revision><id>1</id><text>cut"
+    tail = F.when(site == "es", cut).otherwise("</mediawiki>")
+    write_dump(
+        faulty_pages(documents(spark, sf_dir)), path, header(F.col("wiki"), site, named), tail
+    )
