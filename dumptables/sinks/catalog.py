@@ -50,15 +50,15 @@ class CatalogSink:
                 columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in missing)
                 self.spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({columns})")
             return
-        self._writer(spec, self.spark.createDataFrame([], spec.schema)).saveAsTable(name)
-
-    def _writer(self, spec: TableSpec, rows: DataFrame):
-        writer = rows.write.format("parquet").mode("append")
-        if self.buckets and spec.name in LOOKUP_TABLES:
+        writer = self.spark.createDataFrame([], spec.schema).write.format("parquet")
+        if self._bucketed(spec):
             writer = writer.bucketBy(self.buckets, spec.lookup[0]).sortBy(*spec.lookup)
         if self.location:
             writer = writer.option("path", f"{self.location}/{spec.name}")
-        return writer
+        writer.saveAsTable(name)
+
+    def _bucketed(self, spec: TableSpec) -> bool:
+        return bool(self.buckets) and spec.name in LOOKUP_TABLES
 
     def read(self, name: str) -> DataFrame:
         return self.spark.table(self.table(name)).select(TABLES[name].columns)
@@ -69,7 +69,8 @@ class CatalogSink:
     def append(self, spec: TableSpec, rows: DataFrame) -> None:
         name = self.table(spec.name)
         rows = conform(rows, self.spark.table(name).schema)
-        if self.buckets and spec.name in LOOKUP_TABLES:
-            # One task per bucket instead of every task writing a file into every bucket.
-            rows = rows.repartition(self.buckets, spec.lookup[0])
-        self._writer(spec, rows).saveAsTable(name)
+        if self._bucketed(spec):
+            # One task per bucket instead of every task writing a file into every bucket;
+            # adaptive execution splits a bucket that is far larger than the others.
+            rows = rows.hint("rebalance", self.buckets, spec.lookup[0])
+        rows.write.insertInto(name)
