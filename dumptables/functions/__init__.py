@@ -1,17 +1,17 @@
 from dumptables.functions.text import (
-    first_reason,
     instant_seconds,
+    instant_sql,
     last_filled,
-    missing_to_zero,
+    number_sql,
     strict_long,
     strict_short,
 )
 
 __all__ = [
-    "first_reason",
     "instant_seconds",
+    "instant_sql",
     "last_filled",
-    "missing_to_zero",
+    "number_sql",
     "strict_long",
     "strict_short",
 ]

@@ -1,4 +1,7 @@
-"""Column functions that turn XML text into typed values. All run inside the JVM."""
+"""Turning XML text into typed values. All of it runs inside the JVM.
+
+The conversions exist as SQL, for use in larger expressions, and as column functions.
+"""
 
 from __future__ import annotations
 
@@ -6,37 +9,39 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The accepted spellings of a number and of a UTC instant.
-NUMBER = r"^[+-]?[0-9]+$"
-INSTANT = r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d(\.\d{1,9})?Z$"
-
+NUMBER = "^[+-]?[0-9]+$"
+INSTANT = "^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}([.][0-9]{1,9})?Z$"
 
-def last_filled(values: Column) -> Column:
-    """Last non-empty string of an array; NULL when there is none (an empty tag is a missing one)."""
-    return F.try_element_at(F.array_remove(values, ""), F.lit(-1))
 
-
-def strict_long(text: Column) -> Column:
-    """BIGINT, or NULL for anything but an optional sign and digits that fit.
+def number_sql(text: str, kind: str) -> str:
+    """A number of the given type, or NULL for anything but an optional sign and digits that fit.
 
     The pattern matters: a plain cast would accept surrounding blanks.
     """
-    return F.when(text.rlike(NUMBER), text.try_cast("bigint"))
+    return f"(CASE WHEN {text} RLIKE '{NUMBER}' THEN try_cast({text} AS {kind}) END)"
 
 
-def strict_short(text: Column) -> Column:
-    """SMALLINT under the same rule as :func:`strict_long`."""
-    return F.when(text.rlike(NUMBER), text.try_cast("smallint"))
+def instant_sql(text: str) -> str:
+    """UTC instant cut to whole seconds, as TIMESTAMP_NTZ; independent of the session time zone."""
+    seconds = f"try_cast(substring({text}, 1, 19) AS TIMESTAMP_NTZ)"
+    return f"(CASE WHEN {text} RLIKE '{INSTANT}' THEN {seconds} END)"
 
 
-def instant_seconds(text: Column) -> Column:
-    """UTC instant cut to whole seconds, as TIMESTAMP_NTZ; independent of the session time zone."""
-    return F.when(text.rlike(INSTANT), F.substring(text, 1, 19).try_cast("timestamp_ntz"))
+def strict_long(text: str) -> Column:
+    """Column ``text`` as BIGINT, see :func:`number_sql`."""
+    return F.expr(number_sql(text, "BIGINT"))
+
 
+def strict_short(text: str) -> Column:
+    """Column ``text`` as SMALLINT, see :func:`number_sql`."""
+    return F.expr(number_sql(text, "SMALLINT"))
 
-def missing_to_zero(value: Column) -> Column:
-    return F.coalesce(value, F.lit(0).cast("smallint"))
 
+def instant_seconds(text: str) -> Column:
+    """Column ``text`` as TIMESTAMP_NTZ, see :func:`instant_sql`."""
+    return F.expr(instant_sql(text))
 
-def first_reason(*rules: tuple[str, Column]) -> Column:
-    """Name of the first rule whose condition holds, else NULL."""
-    return F.coalesce(*[F.when(condition, F.lit(name)) for name, condition in rules])
+
+def last_filled(values: str) -> Column:
+    """Last non-empty string of an array; NULL when there is none (an empty tag is a missing one)."""
+    return F.expr(f"try_element_at(array_remove({values}, ''), -1)")

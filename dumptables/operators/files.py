@@ -40,11 +40,11 @@ def dump_files(stage: DataFrame) -> DataFrame:
             "end",
             "page_starts",
             "siteinfo",
-            last_filled(header["dbname"]).alias("dbname"),
-            last_filled(header["sitename"]).alias("sitename"),
-            last_filled(header["base"]).alias("base"),
-            last_filled(header["generator"]).alias("generator"),
-            last_filled(header["case"]).alias("case"),
+            last_filled("header.dbname").alias("dbname"),
+            last_filled("header.sitename").alias("sitename"),
+            last_filled("header.base").alias("base"),
+            last_filled("header.generator").alias("generator"),
+            last_filled("header.case").alias("case"),
             header["namespaces"]["namespace"].alias("namespaces"),
         )
     )

@@ -1,63 +1,68 @@
-"""The value rules a row must pass, by reject reason, in the order they are tried."""
+"""The value rules a row must pass, by reject reason, in the order they are tried.
+
+Conditions are SQL over the text columns of a segment or page.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from dumptables.functions import instant_seconds, strict_long, strict_short
+from dumptables.functions import instant_sql, number_sql
 
-Rule = tuple[str, Column]
+Rule = tuple[str, str]
 
 
-def _unread(name: str, convert) -> Column:
+def _unread(name: str, converted: str) -> str:
     """A value is there but cannot be converted."""
-    return F.col(name).isNotNull() & convert(F.col(name)).isNull()
+    return f"{name} IS NOT NULL AND {converted} IS NULL"
+
+
+def _no_long(name: str) -> str:
+    return _unread(name, number_sql(name, "BIGINT"))
 
 
-def page_value_rules() -> list[Rule]:
-    return [
-        ("bad_id", _unread("page_id", strict_long)),
-        ("bad_ns", _unread("ns", strict_short)),
-    ]
+def _no_short(name: str) -> str:
+    return _unread(name, number_sql(name, "SMALLINT"))
 
 
-def page_rules() -> list[Rule]:
-    return [
-        ("no_id", F.col("page_id").isNull()),
-        *page_value_rules(),
-        ("bad_revision_id", _unread("revision_id", strict_long)),
-    ]
+PAGE_VALUE_RULES: list[Rule] = [
+    ("bad_id", _no_long("page_id")),
+    ("bad_ns", _no_short("ns")),
+]
 
+PAGE_RULES: list[Rule] = [
+    ("no_id", "page_id IS NULL"),
+    *PAGE_VALUE_RULES,
+    ("bad_revision_id", _no_long("revision_id")),
+]
 
-def revision_rules() -> list[Rule]:
-    return [
-        ("no_id", F.col("revision_id").isNull()),
-        ("bad_id", _unread("revision_id", strict_long)),
-        ("bad_parentid", _unread("parentid", strict_long)),
-        ("bad_timestamp", _unread("timestamp", instant_seconds)),
-        ("bad_bytes", _unread("bytes", strict_long)),
-        ("bad_contributor_id", _unread("contributor_id", strict_long)),
-    ]
+REVISION_RULES: list[Rule] = [
+    ("no_id", "revision_id IS NULL"),
+    ("bad_id", _no_long("revision_id")),
+    ("bad_parentid", _no_long("parentid")),
+    ("bad_timestamp", _unread("timestamp", instant_sql("timestamp"))),
+    ("bad_bytes", _no_long("bytes")),
+    ("bad_contributor_id", _no_long("contributor_id")),
+]
 
+CONTRIBUTOR_RULES: list[Rule] = [
+    ("no_id", "contributor_id IS NULL"),
+    ("bad_id", _no_long("contributor_id")),
+]
 
-def contributor_rules() -> list[Rule]:
-    return [
-        ("no_id", F.col("contributor_id").isNull()),
-        ("bad_id", _unread("contributor_id", strict_long)),
-    ]
+NAMESPACE_RULES: list[Rule] = [
+    ("no_key", "raw_key IS NULL"),
+    ("bad_key", _no_short("raw_key")),
+]
 
 
-def namespace_rules() -> list[Rule]:
-    return [
-        ("no_key", F.col("raw_key").isNull()),
-        ("bad_key", _unread("raw_key", strict_short)),
-    ]
+def first_reason(*rules: Rule) -> Column:
+    """Name of the first rule whose condition holds, else NULL."""
+    cases = " ".join(f"WHEN {condition} THEN '{name}'" for name, condition in rules)
+    return F.expr(f"CASE {cases} END")
 
 
-def breaks(rules: list[Rule]) -> Column:
-    """True when any rule is broken."""
-    broken = F.lit(False)
-    for _, condition in rules:
-        broken = broken | condition
-    return broken
+def any_broken(rules: list[Rule]) -> str:
+    """SQL condition: at least one rule is broken."""
+    return "(" + " OR ".join(f"({condition})" for _, condition in rules) + ")"

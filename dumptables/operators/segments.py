@@ -6,13 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dumptables.functions import last_filled
-from dumptables.operators.rules import breaks, page_value_rules, revision_rules
+from dumptables.operators.rules import PAGE_VALUE_RULES, REVISION_RULES, any_broken
 from dumptables.schemas import PAGE_XML, SEGMENTS, XML_OPTIONS
 
 # The tags a dump is cut at.
 PAGE_END = "</page>"
 FILE_END = "</mediawiki>"
-PAGE_START = r"<page[\s>]"
+PAGE_START = "<page[ \\t\\r\\n>]"
 
 
 def cut(records: DataFrame) -> DataFrame:
@@ -33,22 +33,19 @@ def cut(records: DataFrame) -> DataFrame:
             F.posexplode_outer("parts").alias("seg", "body"),
         )
     )
-    body = F.col("body")
     last = F.col("seg") == F.col("n_parts") - 1
-    blank = ~body.rlike(r"\S")
-    flagged = parts.select(
+    flagged = parts.withColumn("last", last).selectExpr(
         "file_path",
         "block_start",
         "row_id",
         "seg",
         "body",
-        last.alias("last"),
-        body.rlike(PAGE_START).alias("starts_page"),
-        body.contains("<revision").alias("has_revision"),
-        blank.alias("blank"),
-        (
-            last & (body.contains(FILE_END) | ((F.col("n_parts") > 1) & blank))
-        ).alias("may_end_file"),
+        "last",
+        f"body RLIKE '{PAGE_START}' AS starts_page",
+        "contains(body, '<revision') AS has_revision",
+        "NOT body RLIKE '[^ \\t\\r\\n]' AS blank",
+        f"""last AND (contains(body, '{FILE_END}')
+                      OR (n_parts > 1 AND NOT body RLIKE '[^ \\t\\r\\n]')) AS may_end_file""",
     )
     # The last segment is always kept: it tells whether the file was complete.
     return flagged.filter("last OR starts_page OR NOT blank")
@@ -65,13 +62,22 @@ def _xml() -> Column:
     return F.when(holds_page, F.concat(start, end))
 
 
-def _text(xml: Column, text: Column) -> Column:
-    """Body of ``<text>``; the parser drops a body of blanks only, so that is read by pattern."""
-    blanks = F.regexp_extract(xml, r"<text\b[^<>]*>(\s+)</text>", 1)
-    return F.coalesce(
-        F.nullif(text["_VALUE"], F.lit("")),
-        F.when(text.isNotNull(), F.nullif(blanks, F.lit(""))),
-    )
+# Body of <text>; the parser drops a body of blanks only, so that is read by pattern.
+FLAT_TEXT = r"""coalesce(
+    nullif(page.revision.text._VALUE, ''),
+    CASE WHEN page.revision.text IS NOT NULL
+         THEN nullif(regexp_extract(xml, r'<text\b[^<>]*>(\s+)</text>', 1), '') END)"""
+
+
+def _tag(name: str) -> Column:
+    return last_filled(f"page.revision.{name}").alias(name)
+
+
+def _either(name: str, flat: str) -> Column:
+    """A value from the ``<content>`` wrapper of newer dumps, which follows the flat ones,
+    or else the flat one."""
+    wrapped = f"array_compact(page.revision.content.{name})"
+    return F.expr(f"coalesce(try_element_at(array_remove({wrapped}, ''), -1), {flat})")
 
 
 def parse(cuts: DataFrame) -> DataFrame:
@@ -80,77 +86,44 @@ def parse(cuts: DataFrame) -> DataFrame:
     Pieces that are no XML are ``malformed``; no value is taken from them. Any piece at
     fault keeps its source in ``raw``, so the reject list never has to read the texts.
     """
-    xml, page = F.col("xml"), F.col("page")
+    flags = ["file_path", "block_start", "row_id", "seg", "starts_page", "has_revision", "may_end_file"]
     parsed = cuts.withColumn("xml", _xml()).withColumn(
-        "page", F.from_xml(xml, PAGE_XML, XML_OPTIONS)
+        "page", F.from_xml("xml", PAGE_XML, XML_OPTIONS)
     )
-    malformed = page["_corrupt"].isNotNull()
-    checked = parsed.select(
-        "file_path",
-        "block_start",
-        "row_id",
-        "seg",
-        "starts_page",
-        "has_revision",
-        "may_end_file",
-        F.when(
-            F.col("body").contains("<siteinfo"),
-            F.regexp_extract("body", r"(?s)<siteinfo[\s>].*?</siteinfo\s*>", 0),
-        ).alias("siteinfo"),
-        F.coalesce(malformed, F.lit(False)).alias("malformed"),
-        xml,
-        F.when(~malformed, page).alias("page"),
+    checked = parsed.selectExpr(
+        *flags,
+        r"""CASE WHEN contains(body, '<siteinfo')
+            THEN regexp_extract(body, r'(?s)<siteinfo[\s>].*?</siteinfo\s*>', 0) END AS siteinfo""",
+        "page._corrupt IS NOT NULL AS malformed",
+        "xml",
+        "CASE WHEN page._corrupt IS NULL THEN page END AS page",
     )
-    rev = page["revision"]
-    content = rev["content"]
-
-    def tag(name: str) -> Column:
-        return last_filled(rev[name])
-
-    def inner(name: str) -> Column:
-        """A value from the ``<content>`` wrapper of newer dumps; it follows the flat ones."""
-        return last_filled(F.array_compact(content[name]))
-
-    inner_text = content["text"]
     flat = checked.select(
-        "file_path",
-        "block_start",
-        "row_id",
-        "seg",
-        "starts_page",
-        "has_revision",
-        "may_end_file",
-        F.nullif("siteinfo", F.lit("")).alias("siteinfo"),
+        *flags,
+        F.expr("nullif(siteinfo, '')").alias("siteinfo"),
         "malformed",
         "xml",
-        last_filled(page["id"]).alias("page_id"),
-        last_filled(page["ns"]).alias("ns"),
-        last_filled(page["title"]).alias("title"),
-        page["redirect"]["_title"].alias("redirect"),
-        tag("id").alias("revision_id"),
-        tag("parentid").alias("parentid"),
-        tag("timestamp").alias("timestamp"),
-        tag("comment").alias("comment"),
-        F.coalesce(inner("model"), tag("model")).alias("model"),
-        F.coalesce(inner("format"), tag("format")).alias("format"),
-        F.coalesce(
-            last_filled(F.array_compact(inner_text["_VALUE"])), _text(xml, rev["text"])
-        ).alias("text"),
-        F.coalesce(
-            F.try_element_at(F.array_compact(inner_text["_bytes"]), F.lit(-1)),
-            rev["text"]["_bytes"],
-        ).alias("bytes"),
-        tag("sha1").alias("sha1"),
-        last_filled(rev["contributor"]["id"]).alias("contributor_id"),
-        last_filled(rev["contributor"]["username"]).alias("username"),
-    )
-    faulty = (
-        F.col("malformed")
-        | breaks(page_value_rules())
-        | (F.col("starts_page") & F.col("page_id").isNull())
-        | (F.col("has_revision") & breaks(revision_rules()))
+        last_filled("page.id").alias("page_id"),
+        last_filled("page.ns").alias("ns"),
+        last_filled("page.title").alias("title"),
+        F.col("page.redirect._title").alias("redirect"),
+        last_filled("page.revision.id").alias("revision_id"),
+        _tag("parentid"),
+        _tag("timestamp"),
+        _tag("comment"),
+        _either("model", "try_element_at(array_remove(page.revision.model, ''), -1)").alias("model"),
+        _either("format", "try_element_at(array_remove(page.revision.format, ''), -1)").alias("format"),
+        _either("text._VALUE", FLAT_TEXT).alias("text"),
+        _either("text._bytes", "page.revision.text._bytes").alias("bytes"),
+        _tag("sha1"),
+        last_filled("page.revision.contributor.id").alias("contributor_id"),
+        last_filled("page.revision.contributor.username").alias("username"),
     )
-    return flat.withColumn("raw", F.when(faulty, F.col("xml"))).select(SEGMENTS.fieldNames())
+    faulty = f"""malformed OR {any_broken(PAGE_VALUE_RULES)}
+        OR (starts_page AND page_id IS NULL)
+        OR (has_revision AND {any_broken(REVISION_RULES)})"""
+    raw = F.expr(f"CASE WHEN {faulty} THEN xml END")
+    return flat.withColumn("raw", raw).select(SEGMENTS.fieldNames())
 
 
 def to_segments(records: DataFrame) -> DataFrame:

@@ -7,22 +7,17 @@ Every builder returns all rows it found: the table's columns, where the row stoo
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dumptables.functions import (
-    first_reason,
-    instant_seconds,
-    missing_to_zero,
-    strict_long,
-    strict_short,
-)
-from dumptables.operators.files import position
+from dumptables.functions import instant_seconds, strict_long, strict_short
 from dumptables.operators.rules import (
-    contributor_rules,
-    namespace_rules,
-    page_rules,
-    revision_rules,
+    CONTRIBUTOR_RULES,
+    NAMESPACE_RULES,
+    PAGE_RULES,
+    REVISION_RULES,
+    Rule,
+    first_reason,
 )
 from dumptables.schemas import POSITION, REJECTS, TABLES
 
@@ -41,6 +36,14 @@ def rejected(rows: DataFrame, table: str) -> DataFrame:
     )
 
 
+NO_DBNAME: Rule = ("no_dbname", "dbname IS NULL")
+MALFORMED: Rule = ("malformed_xml", "malformed")
+# The row's source is the unfinished end of an incomplete file.
+CUT_OFF: Rule = ("truncated", "NOT complete AND struct(block_start, row_id, seg) = end")
+# The row is the last page of an incomplete file.
+CUT_PAGE: Rule = ("truncated", "NOT complete AND page_seq = page_starts")
+
+
 def _stamp(rows: DataFrame, files: DataFrame) -> DataFrame:
     """Give each row its file's wiki name and end. ``files`` has one row per file; the
     caller decides whether it is small enough to be broadcast."""
@@ -48,52 +51,43 @@ def _stamp(rows: DataFrame, files: DataFrame) -> DataFrame:
     return rows.join(marks, "file_path", "left")
 
 
-def _cut_off() -> Column:
-    """The row's source is the unfinished end of an incomplete file."""
-    return ~F.col("complete") & (position() == F.col("end"))
-
-
-def _fields_as_json(*names: str) -> Column:
-    return F.to_json(F.struct(*names))
+def _as_json(*names: str) -> str:
+    return f"to_json(struct({', '.join(names)}))"
 
 
 def siteinfo_rows(files: DataFrame) -> DataFrame:
     return files.select(
         "file_path",
         "end.*",
-        "dbname",
-        "sitename",
-        "base",
-        "generator",
-        "case",
+        *TABLES["siteinfo"].columns,
         F.col("siteinfo").alias("raw"),
-        first_reason(("no_dbname", F.col("dbname").isNull())).alias("reason"),
+        first_reason(NO_DBNAME).alias("reason"),
     )
 
 
 def namespace_rows(files: DataFrame) -> DataFrame:
     """One row per namespace; ``seg`` is its place in the header."""
-    found = files.select(
+    found = files.selectExpr(
         "file_path",
         "end.block_start",
         "end.row_id",
         "dbname",
-        F.posexplode("namespaces").alias("seg", "namespace"),
-    ).select(
+        "posexplode(namespaces) AS (seg, namespace)",
+    ).selectExpr(
         *POSITION,
         "dbname",
-        F.col("namespace._key").alias("raw_key"),
-        F.col("namespace._case").alias("case"),
-        F.nullif(F.col("namespace._VALUE"), F.lit("")).alias("name"),
+        "namespace._key AS raw_key",
+        "namespace._case AS case",
+        "nullif(namespace._VALUE, '') AS name",
     )
     return found.select(
         *POSITION,
-        strict_short(F.col("raw_key")).alias("key"),
+        strict_short("raw_key").alias("key"),
         "dbname",
         "case",
         "name",
-        _fields_as_json("raw_key", "dbname", "case", "name").alias("raw"),
-        first_reason(("no_dbname", F.col("dbname").isNull()), *namespace_rules()).alias("reason"),
+        F.expr(_as_json("raw_key", "dbname", "case", "name")).alias("raw"),
+        first_reason(NO_DBNAME, *NAMESPACE_RULES).alias("reason"),
     )
 
 
@@ -103,44 +97,34 @@ def contributor_rows(stage: DataFrame, files: DataFrame) -> DataFrame:
     authors = authors.select(*POSITION, "contributor_id", "username")
     return _stamp(authors, files).select(
         *POSITION,
-        strict_long(F.col("contributor_id")).alias("id"),
+        strict_long("contributor_id").alias("id"),
         "dbname",
         "username",
-        _fields_as_json("contributor_id", "dbname", "username").alias("raw"),
-        first_reason(
-            ("truncated", _cut_off()),
-            ("no_dbname", F.col("dbname").isNull()),
-            *contributor_rules(),
-        ).alias("reason"),
+        F.expr(_as_json("contributor_id", "dbname", "username")).alias("raw"),
+        first_reason(CUT_OFF, NO_DBNAME, *CONTRIBUTOR_RULES).alias("reason"),
     )
 
 
 def revision_rows(stage: DataFrame, files: DataFrame) -> DataFrame:
-    number = lambda name: strict_long(F.col(name))
-    fields = _fields_as_json(
+    fields = _as_json(
         "revision_id", "dbname", "parentid", "timestamp", "comment", "model", "format",
         "bytes", "sha1", "contributor_id",
     )
     return _stamp(stage.filter("has_revision"), files).select(
         *POSITION,
-        number("revision_id").alias("id"),
+        strict_long("revision_id").alias("id"),
         "dbname",
-        number("parentid").alias("parentid"),
-        instant_seconds(F.col("timestamp")).alias("timestamp"),
+        strict_long("parentid").alias("parentid"),
+        instant_seconds("timestamp").alias("timestamp"),
         "comment",
         "model",
         "format",
         "text",
-        number("bytes").alias("bytes"),
+        strict_long("bytes").alias("bytes"),
         "sha1",
-        number("contributor_id").alias("contributor_id"),
-        F.coalesce("raw", fields).alias("raw"),
-        first_reason(
-            ("truncated", _cut_off()),
-            ("malformed_xml", F.col("malformed")),
-            ("no_dbname", F.col("dbname").isNull()),
-            *revision_rules(),
-        ).alias("reason"),
+        strict_long("contributor_id").alias("contributor_id"),
+        F.expr(f"coalesce(raw, {fields})").alias("raw"),
+        first_reason(CUT_OFF, MALFORMED, NO_DBNAME, *REVISION_RULES).alias("reason"),
     )
 
 
@@ -149,25 +133,19 @@ def page_rows(pages: DataFrame, files: DataFrame, zero_defaults: bool = False) -
 
     zero_defaults: store 0 instead of NULL for a missing namespace or current revision.
     """
-    ns = strict_short(F.col("ns"))
-    revision_id = strict_long(F.col("revision_id"))
+    ns, revision_id = strict_short("ns"), strict_long("revision_id")
     if zero_defaults:
-        ns, revision_id = missing_to_zero(ns), missing_to_zero(revision_id)
-    fields = _fields_as_json("page_id", "dbname", "ns", "title", "redirect", "revision_id")
-    last_page = F.col("page_seq") == F.col("page_starts")
+        zero = F.lit(0).cast("smallint")
+        ns, revision_id = F.coalesce(ns, zero), F.coalesce(revision_id, zero)
+    fields = _as_json("page_id", "dbname", "ns", "title", "redirect", "revision_id")
     return _stamp(pages, files).select(
         *POSITION,
-        strict_long(F.col("page_id")).alias("id"),
+        strict_long("page_id").alias("id"),
         "dbname",
         ns.alias("ns"),
         "title",
         "redirect",
         revision_id.alias("revision_id"),
-        F.coalesce("raw", fields).alias("raw"),
-        first_reason(
-            ("truncated", ~F.col("complete") & last_page),
-            ("malformed_xml", F.col("malformed")),
-            ("no_dbname", F.col("dbname").isNull()),
-            *page_rules(),
-        ).alias("reason"),
+        F.expr(f"coalesce(raw, {fields})").alias("raw"),
+        first_reason(CUT_PAGE, MALFORMED, NO_DBNAME, *PAGE_RULES).alias("reason"),
     )

@@ -26,7 +26,7 @@ from dumptables.sinks import conform, foreign_key_ddl, table_ddl
 )
 def test_conversions(spark, convert, values):
     df = spark.createDataFrame([(v,) for v in values], "v string")
-    found = df.select("v", convert(F.col("v")).cast("string").alias("r")).collect()
+    found = df.select("v", convert("v").cast("string").alias("r")).collect()
     assert {r.v: r.r for r in found} == {
         k: None if v is None else str(v) for k, v in values.items()
     }
@@ -36,14 +36,14 @@ def test_time_zone_does_not_matter(spark):
     df = spark.createDataFrame([("2024-07-01T12:00:00Z",)], "v string")
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
     try:
-        assert str(df.select(instant_seconds(F.col("v"))).first()[0]) == "2024-07-01 12:00:00"
+        assert str(df.select(instant_seconds("v")).first()[0]) == "2024-07-01 12:00:00"
     finally:
         spark.conf.unset("spark.sql.session.timeZone")
 
 
 def test_last_filled(spark):
     df = spark.createDataFrame([(["a", "b", ""],), ([""],), (None,)], "v array<string>")
-    assert [r[0] for r in df.select(last_filled(F.col("v"))).collect()] == ["b", None, None]
+    assert [r[0] for r in df.select(last_filled("v")).collect()] == ["b", None, None]
 
 
 def test_keep_first_on_a_hot_key(spark):
