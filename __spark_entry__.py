@@ -85,6 +85,16 @@ def contributor_history(spark, sf_dir):
     return _first_rows(staged(spark, sf_dir, "conversations").rows("contributor"), "contributor")
 
 
+def order_page(spark, sf_dir):
+    """Many short revisions in one wiki."""
+    pages = op.valid(staged(spark, sf_dir, "orders").rows("page"), "page")
+    return pages.select("id", "dbname", "title", "revision_id")
+
+
+def order_contributor(spark, sf_dir):
+    return _first_rows(staged(spark, sf_dir, "orders").rows("contributor"), "contributor")
+
+
 def page_zero_defaults(spark, sf_dir):
     rows = staged(spark, sf_dir, "documents").rows("page", zero_defaults=True)
     return op.valid(rows, "page").select("id", "dbname", "ns", "revision_id")
@@ -133,6 +143,19 @@ def load_again(spark, sf_dir):
     return _row_counts(sink)
 
 
+def order_revision(spark, sf_dir):
+    """A load in which many revision ids occur twice or more."""
+    rows = loaded(spark, sf_dir, "orders")[0].read("revision")
+    return rows.select("id", "dbname", "text", "bytes", "contributor_id")
+
+
+def order_rejects(spark, sf_dir):
+    found = loaded(spark, sf_dir, "orders")[1].rejects.filter("table <> 'namespaces'")
+    return found.groupBy(F.col("table").alias("table_name"), "reason").agg(
+        F.count("*").alias("n")
+    )
+
+
 def rejects(spark, sf_dir):
     found = loaded(spark, sf_dir, "faulty")[1].rejects
     return found.groupBy(F.col("table").alias("table_name"), "reason").agg(
@@ -237,7 +260,6 @@ def keep_first(spark, sf_dir):
 
 
 LABEL_FK = ForeignKey(("doc_id",), "labels", ("doc_id",))
-# Orders refer to a customer of one nation and to themselves; some lack the former.
 PART_FK = ForeignKey(("l_suppkey", "l_linenumber"), "supplier", ("s_suppkey", "s_nationkey"))
 
 
@@ -281,6 +303,7 @@ def fk_page_namespaces(spark, sf_dir):
 QUERIES = (
     siteinfo, namespaces, page, revision, contributor_first_writer,
     page_current_revision, revision_history, contributor_history, page_zero_defaults,
+    order_page, order_contributor, order_revision, order_rejects,
     pages_per_file, load_totals,
     load_counts, load_again, rejects, faulty_page, faulty_revision, faulty_pages_per_wiki,
     lookup_layout, added_columns,
@@ -373,6 +396,28 @@ def oracle_sql() -> dict[str, str]:
                    'convwiki' AS dbname, role AS username
             FROM conversations WHERE role <> 'system'
         """,
+        "order_page": """
+            SELECT l_orderkey AS id, 'orderwiki' AS dbname, 'Order ' || l_orderkey AS title,
+                   l_orderkey * 10 + min(l_linenumber) AS revision_id
+            FROM lineitem GROUP BY l_orderkey
+        """,
+        "order_contributor": """
+            SELECT DISTINCT l_suppkey AS id, 'orderwiki' AS dbname, 's' || l_suppkey AS username
+            FROM lineitem
+        """,
+        "order_revision": """
+            SELECT l_orderkey * 10 + l_linenumber AS id, 'orderwiki' AS dbname, text,
+                   CAST(strlen(text) AS BIGINT) AS bytes, l_suppkey AS contributor_id
+            FROM (SELECT *, 'part ' || l_partkey || ' quantity ' || CAST(l_quantity AS BIGINT) AS text
+                  FROM lineitem)
+            QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+                                       ORDER BY l_partkey, l_suppkey, l_quantity) = 1
+        """,
+        "order_rejects": """
+            SELECT 'revision' AS table_name, 'duplicate_key' AS reason,
+                   count(*) - count(DISTINCT l_orderkey * 10 + l_linenumber) AS n
+            FROM lineitem
+        """,
         "page_zero_defaults": f"""
             SELECT id, dbname, CAST(coalesce(ns, 0) AS SMALLINT) AS ns, revision_id
             FROM ({_PAGE})

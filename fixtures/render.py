@@ -43,17 +43,22 @@ def header(wiki: Column, site: Column, dbname: Column | None = None) -> Column:
 
 
 def write_dump(
-    pages: DataFrame, path: str, head: Column, tail: Column = F.lit("</mediawiki>")
+    pages: DataFrame, path: str, head: Column, tail: Column | None = None
 ) -> None:
-    """Write ``wiki, part, site, seq, xml`` as one bz2 file per wiki and part, in ``seq`` order."""
+    """Write ``wiki, part, site, seq, xml`` as one bz2 file per wiki and part, in ``seq`` order.
+
+    A row is a page or a piece of one, so a page of any length passes row by row.
+    """
+    tail = F.lit("</mediawiki>") if tail is None else tail
+    no_seq = F.lit(None).cast(pages.schema["seq"].dataType)
     files = pages.groupBy("wiki", "part").agg(F.first("site").alias("site"))
     edges = files.select(
         "wiki",
         "part",
         F.explode(
             F.array(
-                F.struct(F.lit(None).cast("bigint").alias("seq"), head.alias("xml"), F.lit(0).alias("edge")),
-                F.struct(F.lit(None).cast("bigint").alias("seq"), tail.alias("xml"), F.lit(2).alias("edge")),
+                F.struct(no_seq.alias("seq"), head.alias("xml"), F.lit(0).alias("edge")),
+                F.struct(no_seq.alias("seq"), tail.alias("xml"), F.lit(2).alias("edge")),
             )
         ).alias("e"),
     ).select("wiki", "part", "e.seq", "e.xml", "e.edge")
@@ -129,43 +134,78 @@ def render_documents(spark: SparkSession, sf_dir: str, path: str) -> None:
     )
 
 
-def conversation_pieces(turns: DataFrame) -> DataFrame:
-    """Each conversation as a page with one revision per turn, latest turn first.
-
-    The rows are pieces of XML, not whole pages: the page's first and last turn carry its
-    head and end, so a conversation of any length is written row by row.
-    """
-    edges = turns.groupBy("conv_id").agg(F.min("turn").alias("lo"), F.max("turn").alias("hi"))
-    conv = F.col("conv_id").cast("string")
-    author = F.when(F.col("role") == "system", "<ip>192.0.2.7</ip>").otherwise(
-        join(
-            "<username>", F.col("role"), "</username><id>",
-            F.when(F.col("role") == "user", "1").otherwise("2"), "</id>",
-        )
+def history_pieces(revisions: DataFrame, wiki: str, name: str) -> DataFrame:
+    """Pieces of full-history pages: page heads and ends, and ``page_id, place, xml`` between."""
+    page = F.col("page_id")
+    edge = lambda at, xml: (
+        revisions.select("page_id").distinct()
+        .select("page_id", F.lit(at).alias("at"), F.lit(None).cast(place).alias("place"), xml.alias("xml"))
     )
-    xml = join(
-        F.when(
-            F.col("turn") == F.col("hi"),
-            join("  <page>\n    <title>Conv ", conv, "</title>\n    <ns>0</ns>\n    <id>", conv, "</id>\n"),
-        ).otherwise(""),
-        "    <revision><id>", (F.col("conv_id") * TURNS + F.col("turn") + 1).cast("string"),
+    place = revisions.schema["place"].dataType
+    head = join(
+        f"  <page>\n    <title>{name} ", page.cast("string"), "</title>\n    <ns>0</ns>\n    <id>",
+        page.cast("string"), "</id>",
+    )
+    pieces = (
+        revisions.select("page_id", F.lit(1).alias("at"), "place", "xml")
+        .unionByName(edge(0, head))
+        .unionByName(edge(2, F.lit("  </page>")))
+    )
+    return pieces.select(
+        F.lit(wiki).alias("wiki"),
+        F.expr(f"page_id div {PAGES_PER_FILE}").alias("part"),
+        F.lit(name).alias("site"),
+        F.struct("page_id", "at", "place").alias("seq"),
+        "xml",
+    )
+
+
+def revision_piece(number: Column, author: Column, text: Column) -> Column:
+    return join(
+        "    <revision><id>", number.cast("string"),
         "</id><timestamp>2024-01-01T00:00:00Z</timestamp><contributor>", author,
-        '</contributor><text bytes="', F.octet_length("text").cast("string"), '">',
-        escape(F.col("text")), "</text></revision>",
-        F.when(F.col("turn") == F.col("lo"), "\n  </page>").otherwise(""),
-    )
-    return turns.join(edges, "conv_id").select(
-        F.lit("convwiki").alias("wiki"),
-        F.expr(f"conv_id div {PAGES_PER_FILE}").alias("part"),
-        F.lit("conv").alias("site"),
-        (F.col("conv_id") * TURNS + (TURNS - 1 - F.col("turn"))).alias("seq"),
-        xml.alias("xml"),
+        '</contributor><text bytes="', F.octet_length(text).cast("string"), '">',
+        escape(text), "</text></revision>",
+    )
+
+
+def conversation_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each conversation as a page with one revision per turn, latest turn first."""
+    role = F.col("role")
+    author = F.when(role == "system", "<ip>192.0.2.7</ip>").otherwise(
+        join("<username>", role, "</username><id>", F.when(role == "user", "1").otherwise("2"), "</id>")
+    )
+    number = F.col("conv_id") * TURNS + F.col("turn") + 1
+    return spark.read.parquet(f"{sf_dir}/conversations.parquet").select(
+        F.col("conv_id").alias("page_id"),
+        (-F.col("turn")).alias("place"),
+        revision_piece(number, author, F.col("text")).alias("xml"),
     )
 
 
 def render_conversations(spark: SparkSession, sf_dir: str, path: str) -> None:
-    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
-    write_dump(conversation_pieces(turns), path, header(F.col("wiki"), F.col("site")))
+    pieces = history_pieces(conversation_turns(spark, sf_dir), "convwiki", "Conv")
+    write_dump(pieces, path, header(F.col("wiki"), F.col("site")))
+
+
+def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each order as a page with one revision per line, highest line first. Some lines of an
+    order share a number, so their revisions share an id."""
+    line = F.col("l_linenumber").cast("bigint")
+    quantity = F.col("l_quantity").cast("bigint")
+    supplier = F.col("l_suppkey").cast("string")
+    author = join("<username>s", supplier, "</username><id>", supplier, "</id>")
+    text = F.concat_ws(" ", F.lit("part"), "l_partkey", F.lit("quantity"), quantity)
+    return spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
+        F.col("l_orderkey").alias("page_id"),
+        F.struct((-line).alias("line"), "l_partkey", "l_suppkey", quantity.alias("q")).alias("place"),
+        revision_piece(F.col("l_orderkey") * 10 + line, author, text).alias("xml"),
+    )
+
+
+def render_orders(spark: SparkSession, sf_dir: str, path: str) -> None:
+    pieces = history_pieces(order_lines(spark, sf_dir), "orderwiki", "Order")
+    write_dump(pieces, path, header(F.col("wiki"), F.col("site")))
 
 
 DEFECTS = 16

@@ -15,6 +15,7 @@ from fixtures import render
 RENDERERS = {
     "documents": render.render_documents,
     "conversations": render.render_conversations,
+    "orders": render.render_orders,
     "faulty": render.render_faulty,
 }
 EVERY_FOLDER = DumpOptions(recursive=True)
