@@ -44,35 +44,35 @@ def insert_absent(new: DataFrame, existing: DataFrame, key: Sequence[str]) -> Da
     return new.join(existing.select(*key), list(key), "left_anti")
 
 
-def key_outcome(
-    rows: DataFrame, key: Sequence[str], existing: DataFrame | None = None
+def contested_keys(
+    rows: DataFrame, key: Sequence[str], stored: DataFrame | None = None
 ) -> DataFrame:
-    """Per key: the position of its first row (``first``), its number of rows, and whether it is stored."""
-    firsts = rows.groupBy(*key).agg(
-        F.min(F.struct(*POSITION)).alias("first"), F.count("*").alias("n")
-    )
-    if existing is None:
-        return firsts.withColumn("stored", F.lit(False))
-    present = existing.select(*key).distinct().withColumn("present", F.lit(True))
+    """Keys that cannot simply be inserted: used by several rows (``n``), or ``stored`` already.
+
+    Only keys and counts are moved; both sides have each key once, so none is hot.
+    """
+    counts = rows.groupBy(*key).agg(F.count("*").alias("n"))
+    if stored is None:
+        return counts.filter("n > 1").withColumn("stored", F.lit(False))
+    present = stored.select(*key).withColumn("present", F.lit(True))
     return (
-        firsts.join(present, list(key), "left")
-        .withColumn("stored", F.coalesce("present", F.lit(False)))
-        .drop("present")
+        counts.join(present, list(key), "left")
+        .filter("n > 1 OR present")
+        .select(*key, "n", F.coalesce("present", F.lit(False)).alias("stored"))
     )
 
 
-def winners(outcome: DataFrame) -> DataFrame:
-    """Positions of the rows to insert."""
-    return outcome.filter("NOT stored").select("first.*")
-
-
-def losers(rows: DataFrame, outcome: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Positions of the rows not to insert, with ``stored``. ``rows`` may be cut to key and position."""
-    contested = outcome.filter("n > 1 OR stored").select(*key, "first", "stored")
-    narrow = rows.select(*key, *POSITION)
+def losers(rows: DataFrame, contested: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Positions of the rows not to insert, with ``stored``: all rows of a stored key, and
+    all but the first of a repeated one. ``rows`` may be cut to key and position."""
+    place = F.struct(*POSITION)
+    claims = rows.select(*key, *POSITION).join(contested.select(*key, "stored"), list(key))
+    first = (
+        claims.filter("NOT stored").groupBy(*key).agg(F.min(place).alias("first"))
+    )
     return (
-        narrow.join(contested, list(key))
-        .filter(F.col("stored") | (F.struct(*POSITION) != F.col("first")))
+        claims.join(first, list(key), "left")
+        .filter(F.col("stored") | (place != F.col("first")))
         .select(*POSITION, "stored")
     )
 

@@ -12,14 +12,13 @@ from pyspark.sql import functions as F
 from dumptables.operators.files import dump_files
 from dumptables.operators.integrity import (
     at,
+    contested_keys,
     fk_missing_keys,
     fk_violations,
     insert_absent,
     keep_first,
-    key_outcome,
     losers,
     not_at,
-    winners,
 )
 from dumptables.operators.metrics import load_totals, pages_per_file
 from dumptables.operators.pages import assemble_pages
@@ -38,6 +37,10 @@ from dumptables.sinks.base import CallableSink, Sink
 from dumptables.sources.dump import DumpOptions, scan_records
 
 
+# Five short columns per file are joined to its rows; a million files are some 200 MB.
+FILE_ROWS = 1_000_000
+
+
 class RejectedRows(ValueError):
     """A load in mode FAILFAST met a row it would have to set aside."""
 
@@ -103,7 +106,7 @@ def stage(records: DataFrame, work: str) -> Staged:
     segments = stage_segments(records, f"{work}/segments")
     files, pages = together(
         spark,
-        lambda: small_side(_kept(dump_files(segments), f"{work}/files")),
+        lambda: small_side(_kept(dump_files(segments), f"{work}/files"), FILE_ROWS),
         lambda: _kept(assemble_pages(segments), f"{work}/pages"),
     )
     return Staged(spark, segments, files, pages)
@@ -124,17 +127,15 @@ class _TableLoad:
         self.rejects_path = f"{work}/rejects/table={spec.name}"
         self.rejects = [rejected(rows, spec.name)]
         self.rows = rows.filter("reason IS NULL")
-        self.outcome: DataFrame | None = None
+        self.contested: DataFrame | None = None
 
     # -- keys ---------------------------------------------------------------------
 
-    def find_outcome(self) -> None:
-        """Decide per key which row wins, from key columns and positions only."""
-        narrow = self.rows.select(*self.spec.key, *POSITION)
-        stored = self.sink.keys(self.spec, narrow.select(*self.spec.key))
-        self.outcome = _kept(
-            key_outcome(narrow, self.spec.key, stored), f"{self.work}/outcome"
-        )
+    def find_contested(self) -> None:
+        """Look for repeated and stored keys, from key columns only."""
+        keys = self.rows.select(*self.spec.key)
+        found = contested_keys(keys, self.spec.key, self.sink.keys(self.spec, keys))
+        self.contested = _kept(found, f"{self.work}/contested")
 
     def missing_parents(self, fk: ForeignKey, loaded: _TableLoad) -> DataFrame:
         """Referenced keys that are neither stored nor just loaded."""
@@ -157,7 +158,7 @@ class _TableLoad:
         orphans = _kept(orphans.select(*POSITION), f"{self.work}/orphans_{fk.parent}")
         self._refuse(orphans, fk.reason)
         self.rows = not_at(self.rows, small_side(orphans))
-        self.outcome = None
+        self.contested = None
 
     def _refuse(self, positions: DataFrame, reason: str) -> None:
         refused = at(self.rows, small_side(positions)).withColumn("reason", F.lit(reason))
@@ -169,14 +170,13 @@ class _TableLoad:
         Wide rows are filtered against whichever side is short: on a first load almost
         nothing is lost, on a repeated one almost everything.
         """
-        if self.outcome is None:
-            self.find_outcome()
-        contested = self.outcome.filter("n > 1 OR stored")
-        if contested.isEmpty():
+        if self.contested is None:
+            self.find_contested()
+        if self.contested.isEmpty():
             return
         narrow = self.rows.select(*self.spec.key, *POSITION)
         lost = _kept(
-            losers(narrow, small_side(contested), self.spec.key), f"{self.work}/lost"
+            losers(narrow, small_side(self.contested), self.spec.key), f"{self.work}/lost"
         )
         repeated = lost.filter("NOT stored")
         if not repeated.isEmpty():
@@ -184,7 +184,8 @@ class _TableLoad:
         if is_bounded(lost):
             self.rows = not_at(self.rows, F.broadcast(lost))
         else:
-            self.rows = at(self.rows, small_side(winners(self.outcome)))
+            won = _kept(not_at(narrow, lost).select(*POSITION), f"{self.work}/won")
+            self.rows = at(self.rows, small_side(won))
 
     def keep_first(self) -> None:
         """The same for short rows whose keys are expected to repeat: every revision names
@@ -234,8 +235,8 @@ def _load_tables(staged: Staged, sink: Sink, work: str, options: LoadOptions) ->
         load["siteinfo"].run_keep_first,
         load["namespaces"].run_keep_first,
         load["contributor"].run_keep_first,
-        revision.find_outcome,
-        page.find_outcome,
+        revision.find_contested,
+        page.find_contested,
     )
     refuse_orphans(*[(c, fk) for c, fk in checked if fk.parent != "revision"])
     revision.keep_winners()

@@ -11,8 +11,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Rows of at most a few hundred bytes each, so the largest broadcast stays far
-# below Spark's own 8 GB limit and fits every executor.
+# Rows of at most a few hundred bytes each, so the largest broadcast is some 50 MB.
 BROADCAST_ROWS = 200_000
 
 
@@ -33,8 +32,9 @@ def work_folder(spark: SparkSession) -> str:
 
 
 def is_bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``rows`` rows; reads no further than that."""
-    return df.limit(rows + 1).count() <= rows
+    """Whether ``df`` has at most ``rows`` rows. Meant for written tables, where counting
+    reads file footers or a few narrow columns."""
+    return df.count() <= rows
 
 
 def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:

@@ -37,6 +37,22 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     )
 
 
+def in_range_of(stored: DataFrame, new: DataFrame) -> DataFrame:
+    """Stored keys that lie within the range of the new ones, column by column.
+
+    The bounds are plain values, so a scan skips the row groups and files outside them:
+    a turn looks at its own wikis and id ranges, not at everything loaded before it.
+    """
+    names = new.columns
+    bounds = new.agg(
+        *[f(name).alias(f"{name}_{f.__name__}") for name in names for f in (F.min, F.max)]
+    ).first()
+    for name in names:
+        low, high = bounds[f"{name}_min"], bounds[f"{name}_max"]
+        stored = stored.filter(F.lit(False) if low is None else F.col(name).between(low, high))
+    return stored
+
+
 class CallableSink:
     """Hands each table to a function ``(table_name, rows)``; nothing is read back."""
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from dumptables.schemas import LOAD_ORDER, TABLES, TableSpec
-from dumptables.sinks.base import conform
+from dumptables.sinks.base import conform, in_range_of
 
 # The three tables that grow with the dump; the other two stay at a few rows per wiki.
 LOOKUP_TABLES = ("contributor", "revision", "page")
@@ -64,7 +64,7 @@ class CatalogSink:
         return self.spark.table(self.table(name)).select(TABLES[name].columns)
 
     def keys(self, spec: TableSpec, new: DataFrame) -> DataFrame | None:
-        return self.read(spec.name).select(*spec.key)
+        return in_range_of(self.read(spec.name).select(*spec.key), new)
 
     def append(self, spec: TableSpec, rows: DataFrame) -> None:
         name = self.table(spec.name)

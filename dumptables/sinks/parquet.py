@@ -6,7 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from dumptables.schemas import TABLES, TableSpec
-from dumptables.sinks.base import conform
+from dumptables.sinks.base import conform, in_range_of
 
 
 class ParquetSink:
@@ -30,11 +30,12 @@ class ParquetSink:
 
     def keys(self, spec: TableSpec, new: DataFrame) -> DataFrame | None:
         try:
-            return self.read(spec.name).select(*spec.key)
+            stored = self.read(spec.name).select(*spec.key)
         except AnalysisException as missing:
             if missing.getCondition() == "PATH_NOT_FOUND":
                 return None
             raise
+        return in_range_of(stored, new)
 
     def append(self, spec: TableSpec, rows: DataFrame) -> None:
         conform(rows, spec.schema).write.mode("append").parquet(self._folder(spec))
