@@ -201,7 +201,7 @@ def lookup_layout(spark, sf_dir):
 def added_columns(spark, sf_dir):
     """A load into a catalog whose page table lacks columns."""
     database, place = _unique_database(), f"{work_folder(spark)}/db"
-    spark.sql(f"CREATE DATABASE {database}")
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{place}'")
     old = "id BIGINT, dbname STRING, ns SMALLINT, title STRING"
     spark.createDataFrame([], old).write.option("path", f"{place}/page").saveAsTable(
         f"{database}.page"

@@ -37,7 +37,8 @@ class CatalogSink:
         return f"{self.database}.{name}"
 
     def ensure(self) -> None:
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database}")
+        place = f" LOCATION '{self.location}'" if self.location else ""
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database}{place}")
         for spec in LOAD_ORDER:
             self._ensure_table(spec)
 
