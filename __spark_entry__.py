@@ -23,6 +23,7 @@ from dumptables import (  # noqa: E402
     ParquetSink,
     load_dump,
     load_in_turns,
+    verify_tables,
 )
 from dumptables import operators as op  # noqa: E402
 from dumptables.schemas import POSITION, ForeignKey  # noqa: E402
@@ -177,6 +178,19 @@ def faulty_pages_per_wiki(spark, sf_dir):
     return report.pages_per_file.groupBy(wiki).agg(F.sum("pages").alias("pages"))
 
 
+def verify(spark, sf_dir):
+    """Key checks over tables that were loaded without any."""
+    work = work_folder(spark)
+    sink = ParquetSink(spark, f"{work}/tables")
+    load_dump(
+        spark, dump(spark, sf_dir, "faulty"), sink, work=f"{work}/work", source=EVERY_FOLDER,
+        options=LoadOptions(foreign_keys=False),
+    )
+    return verify_tables(sink.read).withColumnRenamed("table", "table_name").withColumnRenamed(
+        "check", "check_name"
+    )
+
+
 def _unique_database() -> str:
     return f"wiki_{uuid.uuid4().hex}"
 
@@ -306,6 +320,7 @@ QUERIES = (
     order_page, order_contributor, order_revision, order_rejects,
     pages_per_file, load_totals,
     load_counts, load_again, rejects, faulty_page, faulty_revision, faulty_pages_per_wiki,
+    verify,
     lookup_layout, added_columns,
     stream_page, stream_progress,
     insert_absent, duplicate_keys, keep_first,
@@ -495,6 +510,26 @@ def oracle_sql() -> dict[str, str]:
         "faulty_pages_per_wiki": """
             SELECT lang || 'wiki' AS wiki, count(*) AS pages FROM documents GROUP BY 1
         """,
+        "verify": """
+            WITH broken AS (
+                SELECT 'page' AS table_name,
+                       CASE doc_id % 16 WHEN 14 THEN 'fk_namespaces' ELSE 'fk_revision' END
+                           AS check_name,
+                       CASE doc_id % 16 WHEN 14 THEN 0 ELSE doc_id END AS id, lang
+                FROM documents WHERE lang <> 'fr' AND doc_id % 16 IN (6, 14)
+            ),
+            checks(table_name, check_name) AS (
+                VALUES ('siteinfo', 'primary_key'), ('namespaces', 'primary_key'),
+                       ('namespaces', 'fk_siteinfo'), ('contributor', 'primary_key'),
+                       ('contributor', 'fk_siteinfo'), ('revision', 'primary_key'),
+                       ('revision', 'fk_contributor'), ('revision', 'fk_siteinfo'),
+                       ('page', 'primary_key'), ('page', 'fk_namespaces'),
+                       ('page', 'fk_revision'), ('page', 'fk_siteinfo')
+            )
+            SELECT table_name, check_name, count(DISTINCT lang || id) AS broken_keys,
+                   count(lang) AS "rows"
+            FROM checks LEFT JOIN broken USING (table_name, check_name) GROUP BY 1, 2
+        """,
         "lookup_layout": """
             SELECT 'Doc ' || doc_id AS title, lang || 'wiki' AS dbname,
                    CASE WHEN doc_id % 10 = 0 THEN 'Doc ' || (doc_id + 1) END AS redirect,

@@ -1,6 +1,6 @@
 """Load compressed wiki export dumps into five flat tables with Spark."""
 
-from dumptables.plans import LoadOptions, LoadReport, RejectedRows, load_dump
+from dumptables.plans import LoadOptions, LoadReport, RejectedRows, load_dump, verify_tables
 from dumptables.schemas import TABLES
 from dumptables.sinks import CallableSink, CatalogSink, JdbcOptions, JdbcSink, ParquetSink
 from dumptables.sources import DumpOptions
@@ -21,4 +21,5 @@ __all__ = [
     "load_in_turns",
     "progress",
     "rejects_of_turns",
+    "verify_tables",
 ]

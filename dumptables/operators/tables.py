@@ -52,7 +52,7 @@ def _stamp(rows: DataFrame, files: DataFrame) -> DataFrame:
 
 
 def _as_json(*names: str) -> str:
-    return f"to_json(struct({', '.join(names)}))"
+    return f"to_json(struct({', '.join(f'`{name}`' for name in names)}))"
 
 
 def siteinfo_rows(files: DataFrame) -> DataFrame:
@@ -77,7 +77,7 @@ def namespace_rows(files: DataFrame) -> DataFrame:
         *POSITION,
         "dbname",
         "namespace._key AS raw_key",
-        "namespace._case AS case",
+        "namespace._case AS `case`",
         "nullif(namespace._VALUE, '') AS name",
     )
     return found.select(

@@ -7,6 +7,7 @@ from dumptables.plans.load import (
     load_records,
     stage,
 )
+from dumptables.plans.verify import verify_tables
 
 __all__ = [
     "LoadOptions",
@@ -16,4 +17,5 @@ __all__ = [
     "load_dump",
     "load_records",
     "stage",
+    "verify_tables",
 ]

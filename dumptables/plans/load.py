@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,7 +31,7 @@ from dumptables.operators.tables import (
     revision_rows,
     siteinfo_rows,
 )
-from dumptables.schemas import LOAD_ORDER, POSITION, REJECTS, ForeignKey, TableSpec
+from dumptables.schemas import LOAD_ORDER, POSITION, REJECTS, TABLES, ForeignKey, TableSpec
 from dumptables.session import is_bounded, small_side, together, work_folder
 from dumptables.sinks.base import CallableSink, Sink
 from dumptables.sources.dump import DumpOptions, scan_records
@@ -64,12 +64,16 @@ class LoadOptions:
 @dataclass(frozen=True)
 class Staged:
     """The parsed dump as written to the work folder, read back from there. ``files`` is
-    hinted for broadcast when counted small."""
+    hinted for broadcast when counted small; ``pages`` are put together on first use."""
 
     spark: SparkSession
+    work: str
     segments: DataFrame
     files: DataFrame
-    pages: DataFrame
+
+    @cached_property
+    def pages(self) -> DataFrame:
+        return _kept(assemble_pages(self.segments), f"{self.work}/pages")
 
     def rows(self, table: str, zero_defaults: bool = False) -> DataFrame:
         """All rows of a table, typed, valid or not."""
@@ -101,15 +105,10 @@ def _kept(df: DataFrame, path: str) -> DataFrame:
 
 
 def stage(records: DataFrame, work: str) -> Staged:
-    """Parse records into the work folder: segments, then files and pages made from them."""
-    spark = records.sparkSession
+    """Parse records into the work folder."""
     segments = stage_segments(records, f"{work}/segments")
-    files, pages = together(
-        spark,
-        lambda: small_side(_kept(dump_files(segments), f"{work}/files"), FILE_ROWS),
-        lambda: _kept(assemble_pages(segments), f"{work}/pages"),
-    )
-    return Staged(spark, segments, files, pages)
+    files = small_side(_kept(dump_files(segments), f"{work}/files"), FILE_ROWS)
+    return Staged(records.sparkSession, work, segments, files)
 
 
 class _TableLoad:
@@ -213,39 +212,39 @@ class _TableLoad:
 def _load_tables(staged: Staged, sink: Sink, work: str, options: LoadOptions) -> None:
     """Write the five tables, parents before children.
 
-    A row's wiki name comes from the very header loaded as siteinfo, so those references
-    hold by construction; the other three are checked.
+    Pages are put together while the other tables are written. A row's wiki name comes from
+    the very header loaded as siteinfo, so those references hold by construction; the other
+    three are checked.
     """
-    load = {spec.name: _TableLoad(spec, staged, sink, work, options) for spec in LOAD_ORDER}
-    revision, page = load["revision"], load["page"]
-    checked = [
-        (child, fk)
-        for child in (revision, page)
-        for fk in child.spec.foreign_keys
-        if options.foreign_keys and fk.parent != "siteinfo"
-    ]
-
-    def refuse_orphans(*which: tuple[_TableLoad, ForeignKey]) -> None:
-        finders = [lambda c=c, fk=fk: c.missing_parents(fk, load[fk.parent]) for c, fk in which]
-        for (child, fk), missing in zip(which, together(staged.spark, *finders), strict=True):
+    load: dict[str, _TableLoad] = {}
+
+    def begin(name: str) -> _TableLoad:
+        load[name] = _TableLoad(TABLES[name], staged, sink, work, options)
+        return load[name]
+
+    def refuse_orphans(child: _TableLoad) -> None:
+        checked = [
+            fk
+            for fk in child.spec.foreign_keys
+            if options.foreign_keys and fk.parent != "siteinfo"
+        ]
+        finders = [lambda fk=fk: child.missing_parents(fk, load[fk.parent]) for fk in checked]
+        for fk, missing in zip(checked, together(staged.spark, *finders), strict=True):
             child.refuse_orphans(fk, missing)
 
-    together(
-        staged.spark,
-        load["siteinfo"].run_keep_first,
-        load["namespaces"].run_keep_first,
-        load["contributor"].run_keep_first,
-        revision.find_contested,
-        page.find_contested,
-    )
-    refuse_orphans(*[(c, fk) for c, fk in checked if fk.parent != "revision"])
-    revision.keep_winners()
-    together(
-        staged.spark,
-        revision.write,
-        *[load[name].write_rejects for name in ("siteinfo", "namespaces", "contributor", "revision")],
-    )
-    refuse_orphans(*[(c, fk) for c, fk in checked if fk.parent == "revision"])
+    def all_but_pages() -> None:
+        small = [begin(name) for name in ("siteinfo", "namespaces", "contributor")]
+        revision = begin("revision")
+        together(staged.spark, *[t.run_keep_first for t in small], revision.find_contested)
+        refuse_orphans(revision)
+        revision.keep_winners()
+        together(
+            staged.spark, revision.write, *[t.write_rejects for t in (*small, revision)]
+        )
+
+    together(staged.spark, all_but_pages, lambda: begin("page").find_contested())
+    page = load["page"]
+    refuse_orphans(page)
     page.keep_winners()
     together(staged.spark, page.write, page.write_rejects)
 
