@@ -62,17 +62,26 @@ def contested_keys(
     )
 
 
-def losers(rows: DataFrame, contested: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Positions of the rows not to insert, with ``stored``: all rows of a stored key, and
-    all but the first of a repeated one. ``rows`` may be cut to key and position."""
-    place = F.struct(*POSITION)
-    claims = rows.select(*key, *POSITION).join(contested.select(*key, "stored"), list(key))
-    first = (
-        claims.filter("NOT stored").groupBy(*key).agg(F.min(place).alias("first"))
-    )
+def claims(rows: DataFrame, contested: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Key and position of every row with a contested key, and whether that key is stored."""
+    return rows.select(*key, *POSITION).join(contested.select(*key, "stored"), list(key))
+
+
+def first_claims(claimed: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Position of the first row of each key that is not stored yet; one row per key."""
+    first = F.min(F.struct(*POSITION)).alias("first")
+    return claimed.filter("NOT stored").groupBy(*key).agg(first)
+
+
+def lost_claims(claimed: DataFrame, first: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Positions of the rows not to insert: all of a stored key, all but the first of another.
+
+    Join two written tables here: then a key claimed by most rows is either looked up in a
+    broadcast side, or its shuffle partition is split by adaptive execution.
+    """
     return (
-        claims.join(first, list(key), "left")
-        .filter(F.col("stored") | (place != F.col("first")))
+        claimed.join(first, list(key), "left")
+        .filter(F.col("stored") | (F.struct(*POSITION) != F.col("first")))
         .select(*POSITION, "stored")
     )
 

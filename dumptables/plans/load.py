@@ -12,12 +12,14 @@ from pyspark.sql import functions as F
 from dumptables.operators.files import dump_files
 from dumptables.operators.integrity import (
     at,
+    claims,
     contested_keys,
+    first_claims,
     fk_missing_keys,
     fk_violations,
     insert_absent,
     keep_first,
-    losers,
+    lost_claims,
     not_at,
 )
 from dumptables.operators.metrics import load_totals, pages_per_file
@@ -174,9 +176,12 @@ class _TableLoad:
         if self.contested.isEmpty():
             return
         narrow = self.rows.select(*self.spec.key, *POSITION)
-        lost = _kept(
-            losers(narrow, small_side(self.contested), self.spec.key), f"{self.work}/lost"
+        key = self.spec.key
+        claimed = _kept(
+            claims(narrow, small_side(self.contested), key), f"{self.work}/claimed"
         )
+        first = _kept(first_claims(claimed, key), f"{self.work}/first")
+        lost = _kept(lost_claims(claimed, small_side(first), key), f"{self.work}/lost")
         repeated = lost.filter("NOT stored")
         if not repeated.isEmpty():
             self._refuse(repeated, "duplicate_key")
