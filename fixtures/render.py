@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 PAGES_PER_FILE = 500
+ORDERS_PER_FILE = 5_000
 TURNS = 1_000_000  # room for revision ids within one conversation
 NAMESPACES = (("-2", "Media"), ("0", ""), ("1", "Talk"), ("4", "Project"))
 
@@ -134,7 +135,9 @@ def render_documents(spark: SparkSession, sf_dir: str, path: str) -> None:
     )
 
 
-def history_pieces(revisions: DataFrame, wiki: str, name: str) -> DataFrame:
+def history_pieces(
+    revisions: DataFrame, wiki: str, name: str, pages_per_file: int = PAGES_PER_FILE
+) -> DataFrame:
     """Pieces of full-history pages: page heads and ends, and ``page_id, place, xml`` between."""
     page = F.col("page_id")
     edge = lambda at, xml: (
@@ -153,7 +156,7 @@ def history_pieces(revisions: DataFrame, wiki: str, name: str) -> DataFrame:
     )
     return pieces.select(
         F.lit(wiki).alias("wiki"),
-        F.expr(f"page_id div {PAGES_PER_FILE}").alias("part"),
+        F.expr(f"page_id div {pages_per_file}").alias("part"),
         F.lit(name).alias("site"),
         F.struct("page_id", "at", "place").alias("seq"),
         "xml",
@@ -204,7 +207,7 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def render_orders(spark: SparkSession, sf_dir: str, path: str) -> None:
-    pieces = history_pieces(order_lines(spark, sf_dir), "orderwiki", "Order")
+    pieces = history_pieces(order_lines(spark, sf_dir), "orderwiki", "Order", ORDERS_PER_FILE)
     write_dump(pieces, path, header(F.col("wiki"), F.col("site")))
 
 
