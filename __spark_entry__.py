@@ -31,6 +31,12 @@ from dumptables.session import work_folder  # noqa: E402
 from fixtures.render import PAGES_PER_FILE, TURNS  # noqa: E402
 from fixtures.shared import EVERY_FOLDER, dump, loaded, staged  # noqa: E402
 
+try:
+    import corpus_pipeline  # noqa: E402
+    from dumptables.llm import queries as text_queries  # noqa: E402
+except ImportError:  # a copy without the text operators
+    corpus_pipeline = text_queries = None
+
 SMALL = "/root/testdata/sf0.001"
 
 
@@ -329,7 +335,10 @@ QUERIES = (
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {query.__name__: query for query in QUERIES}
+    found = {query.__name__: query for query in QUERIES}
+    if text_queries is not None:
+        found |= text_queries.QUERIES | {"pipeline": corpus_pipeline.run}
+    return found
 
 
 # --- the same in SQL on the given tables ----------------------------------------------
@@ -367,213 +376,221 @@ _FILES = f"(SELECT DISTINCT lang, doc_id // {PAGES_PER_FILE} AS part FROM docume
 
 
 def oracle_sql() -> dict[str, str]:
-    return {
-        "siteinfo": """
-            SELECT DISTINCT lang || 'wiki' AS dbname, 'Wiki ' || lang AS sitename,
-                   'https://' || lang || '.example/wiki/Main' AS base,
-                   'fixture 1' AS generator, 'first-letter' AS "case"
-            FROM documents
-        """,
-        "namespaces": """
-            SELECT CAST(k AS SMALLINT) AS "key", dbname, 'first-letter' AS "case", name
-            FROM (SELECT DISTINCT lang || 'wiki' AS dbname FROM documents),
-                 (VALUES (-2, 'Media'), (0, NULL), (1, 'Talk'), (4, 'Project')) AS s(k, name)
-        """,
-        "page": _PAGE,
-        "revision": """
-            SELECT doc_id + 1000000 AS id, lang || 'wiki' AS dbname,
-                   CASE WHEN doc_id % 4 <> 0 THEN doc_id + 999999 END AS parentid,
-                   TIMESTAMP '2024-01-01 00:00:00' + doc_id * INTERVAL 1 SECOND AS "timestamp",
-                   CASE WHEN doc_id % 5 <> 0 THEN 'c & d ' || doc_id END AS comment,
-                   'wikitext' AS model, 'text/x-wiki' AS format, text,
-                   CAST(strlen(text) AS BIGINT) AS bytes, md5(text) AS sha1,
-                   CASE WHEN doc_id % 5 > 1 THEN doc_id % 37 END AS contributor_id
-            FROM documents
-        """,
-        "contributor_first_writer": f"""
-            SELECT doc_id % 37 AS id, lang || 'wiki' AS dbname, 'u' || min(doc_id) AS username
-            FROM {_AUTHORS} GROUP BY 1, 2
-        """,
-        "page_current_revision": f"""
-            SELECT conv_id AS id, 'convwiki' AS dbname, CAST(0 AS SMALLINT) AS ns,
-                   'Conv ' || conv_id AS title, conv_id * {TURNS} + min(turn) + 1 AS revision_id
-            FROM conversations GROUP BY conv_id
-        """,
-        "revision_history": f"""
-            SELECT conv_id * {TURNS} + turn + 1 AS id, 'convwiki' AS dbname, text,
-                   CAST(strlen(text) AS BIGINT) AS bytes,
-                   CAST(CASE role WHEN 'user' THEN 1 WHEN 'assistant' THEN 2 END AS BIGINT)
-                       AS contributor_id
-            FROM conversations
-        """,
-        "contributor_history": """
-            SELECT DISTINCT CAST(CASE role WHEN 'user' THEN 1 ELSE 2 END AS BIGINT) AS id,
-                   'convwiki' AS dbname, role AS username
-            FROM conversations WHERE role <> 'system'
-        """,
-        "order_page": """
-            SELECT l_orderkey AS id, 'orderwiki' AS dbname, 'Order ' || l_orderkey AS title,
-                   l_orderkey * 10 + min(l_linenumber) AS revision_id
-            FROM lineitem GROUP BY l_orderkey
-        """,
-        "order_contributor": """
-            SELECT DISTINCT l_suppkey AS id, 'orderwiki' AS dbname, 's' || l_suppkey AS username
-            FROM lineitem
-        """,
-        "order_revision": """
-            SELECT l_orderkey * 10 + l_linenumber AS id, 'orderwiki' AS dbname, text,
-                   CAST(strlen(text) AS BIGINT) AS bytes, l_suppkey AS contributor_id
-            FROM (SELECT *, 'part ' || l_partkey || ' quantity ' || CAST(l_quantity AS BIGINT) AS text
-                  FROM lineitem)
-            QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
-                                       ORDER BY l_partkey, l_suppkey, l_quantity) = 1
-        """,
-        "order_rejects": """
-            SELECT 'revision' AS table_name, 'duplicate_key' AS reason,
-                   count(*) - count(DISTINCT l_orderkey * 10 + l_linenumber) AS n
-            FROM lineitem
-        """,
-        "page_zero_defaults": f"""
-            SELECT id, dbname, CAST(coalesce(ns, 0) AS SMALLINT) AS ns, revision_id
-            FROM ({_PAGE})
-        """,
-        "pages_per_file": f"""
-            SELECT lang || 'wiki' AS dbname, doc_id // {PAGES_PER_FILE} AS part, count(*) AS pages
-            FROM documents GROUP BY 1, 2
-        """,
-        "load_totals": f"""
-            SELECT count(*) AS pages, (SELECT count(*) FROM {_FILES}) AS files FROM documents
-        """,
-        "load_counts": _LOAD_COUNTS,
-        "load_again": f"""
-            SELECT table_name, CAST(sum(n) AS BIGINT) AS n
-            FROM ({_LOAD_COUNTS} UNION ALL {_CONVERSATION_COUNTS}) GROUP BY table_name
-        """,
-        "rejects": f"""
-            WITH doc AS (SELECT lang, doc_id % 16 AS kind FROM documents),
-            known AS (SELECT kind FROM doc WHERE lang <> 'fr'),
-            file AS (SELECT lang FROM {_FILES}),
-            found AS (
-                SELECT 'page' AS table_name,
-                       CASE kind WHEN 3 THEN 'bad_ns' WHEN 4 THEN 'bad_id' WHEN 5 THEN 'no_id'
-                            WHEN 6 THEN 'fk_revision' WHEN 7 THEN 'malformed_xml'
-                            ELSE 'fk_namespaces' END AS reason
-                FROM known WHERE kind IN (3, 4, 5, 6, 7, 14)
-                UNION ALL
-                SELECT 'revision', CASE kind WHEN 6 THEN 'bad_timestamp' WHEN 7 THEN 'malformed_xml'
-                                        ELSE 'no_id' END
-                FROM known WHERE kind IN (6, 7, 10)
-                UNION ALL
-                SELECT 'page', CASE kind WHEN 7 THEN 'malformed_xml' ELSE 'no_dbname' END
-                FROM doc WHERE lang = 'fr'
-                UNION ALL
-                SELECT 'revision', CASE kind WHEN 7 THEN 'malformed_xml' ELSE 'no_dbname' END
-                FROM doc WHERE lang = 'fr' AND kind <> 13
-                UNION ALL
-                SELECT 'revision', 'no_dbname' FROM doc WHERE lang = 'fr' AND kind = 10
-                UNION ALL
-                SELECT 'contributor', 'no_dbname' FROM doc
-                WHERE lang = 'fr' AND kind NOT IN (7, 13)
-                UNION ALL
-                SELECT t, 'truncated' FROM file, (VALUES ('page'), ('revision')) AS v(t)
-                WHERE lang = 'es'
-                UNION ALL SELECT 'siteinfo', 'no_dbname' FROM file WHERE lang = 'fr'
-                UNION ALL
-                SELECT 'namespaces', 'no_dbname' FROM file, range(5) WHERE lang = 'fr'
-                UNION ALL SELECT 'namespaces', 'no_key' FROM file WHERE lang <> 'fr'
-            )
-            SELECT table_name, reason, count(*) AS n FROM found GROUP BY 1, 2
-        """,
-        "faulty_page": """
-            SELECT doc_id AS id, lang || 'wiki' AS dbname, CAST(0 AS SMALLINT) AS ns,
-                   CASE WHEN doc_id % 16 <> 0 THEN 'Doc ' || doc_id END AS title,
-                   CAST(NULL AS VARCHAR) AS redirect,
-                   CASE WHEN doc_id % 16 <> 13 THEN doc_id + 1000000 END AS revision_id
-            FROM documents
-            WHERE lang <> 'fr' AND doc_id % 16 NOT IN (3, 4, 5, 6, 7, 14)
-        """,
-        "faulty_revision": """
-            SELECT doc_id + 1000000 AS id, lang || 'wiki' AS dbname,
-                   CAST(NULL AS BIGINT) AS parentid,
-                   TIMESTAMP '2024-01-01 00:00:00' AS "timestamp",
-                   CASE WHEN doc_id % 16 <> 0 THEN 'c' END AS comment,
-                   'wikitext' AS model, 'text/x-wiki' AS format,
-                   CASE doc_id % 16 WHEN 1 THEN NULL WHEN 15 THEN ' '
-                        WHEN 8 THEN 'a </page> b </revision> ' || text ELSE text END AS text,
-                   CAST(CASE doc_id % 16 WHEN 1 THEN 3 WHEN 15 THEN 1 ELSE strlen(text) END
-                        AS BIGINT) AS bytes,
-                   CAST(NULL AS VARCHAR) AS sha1,
-                   CASE doc_id % 16 WHEN 2 THEN doc_id + 1000 ELSE doc_id % 37 END
-                       AS contributor_id
-            FROM documents WHERE lang <> 'fr' AND doc_id % 16 NOT IN (6, 7, 13)
-        """,
-        "faulty_pages_per_wiki": """
-            SELECT lang || 'wiki' AS wiki, count(*) AS pages FROM documents GROUP BY 1
-        """,
-        "verify": """
-            WITH broken AS (
-                SELECT 'page' AS table_name,
-                       CASE doc_id % 16 WHEN 14 THEN 'fk_namespaces' ELSE 'fk_revision' END
-                           AS check_name,
-                       CASE doc_id % 16 WHEN 14 THEN 0 ELSE doc_id END AS id, lang
-                FROM documents WHERE lang <> 'fr' AND doc_id % 16 IN (6, 14)
-            ),
-            checks(table_name, check_name) AS (
-                VALUES ('siteinfo', 'primary_key'), ('namespaces', 'primary_key'),
-                       ('namespaces', 'fk_siteinfo'), ('contributor', 'primary_key'),
-                       ('contributor', 'fk_siteinfo'), ('revision', 'primary_key'),
-                       ('revision', 'fk_contributor'), ('revision', 'fk_siteinfo'),
-                       ('page', 'primary_key'), ('page', 'fk_namespaces'),
-                       ('page', 'fk_revision'), ('page', 'fk_siteinfo')
-            )
-            SELECT table_name, check_name, count(DISTINCT lang || id) AS broken_keys,
-                   count(lang) AS "rows"
-            FROM checks LEFT JOIN broken USING (table_name, check_name) GROUP BY 1, 2
-        """,
-        "lookup_layout": """
-            SELECT 'Doc ' || doc_id AS title, lang || 'wiki' AS dbname,
-                   CASE WHEN doc_id % 10 = 0 THEN 'Doc ' || (doc_id + 1) END AS redirect,
-                   CASE WHEN doc_id % 5 > 1 THEN doc_id % 37 END AS contributor_id
-            FROM documents
-        """,
-        "added_columns": _PAGE,
-        "stream_page": _PAGE,
-        "stream_progress": f"""
-            WITH total AS (SELECT count(*) AS files FROM {_FILES})
-            SELECT i AS batch_id, least(3, files - 3 * i) AS files,
-                   least(files, 3 * (i + 1)) AS total_files
-            FROM total, range(CAST(1000000 AS BIGINT)) AS r(i) WHERE 3 * i < files
+    found = dict(SQL)
+    if text_queries is not None:
+        found |= text_queries.SQL
+        if corpus_pipeline.ORACLE_SQL:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
+
+
+SQL = {
+    "siteinfo": """
+        SELECT DISTINCT lang || 'wiki' AS dbname, 'Wiki ' || lang AS sitename,
+               'https://' || lang || '.example/wiki/Main' AS base,
+               'fixture 1' AS generator, 'first-letter' AS "case"
+        FROM documents
+    """,
+    "namespaces": """
+        SELECT CAST(k AS SMALLINT) AS "key", dbname, 'first-letter' AS "case", name
+        FROM (SELECT DISTINCT lang || 'wiki' AS dbname FROM documents),
+             (VALUES (-2, 'Media'), (0, NULL), (1, 'Talk'), (4, 'Project')) AS s(k, name)
+    """,
+    "page": _PAGE,
+    "revision": """
+        SELECT doc_id + 1000000 AS id, lang || 'wiki' AS dbname,
+               CASE WHEN doc_id % 4 <> 0 THEN doc_id + 999999 END AS parentid,
+               TIMESTAMP '2024-01-01 00:00:00' + doc_id * INTERVAL 1 SECOND AS "timestamp",
+               CASE WHEN doc_id % 5 <> 0 THEN 'c & d ' || doc_id END AS comment,
+               'wikitext' AS model, 'text/x-wiki' AS format, text,
+               CAST(strlen(text) AS BIGINT) AS bytes, md5(text) AS sha1,
+               CASE WHEN doc_id % 5 > 1 THEN doc_id % 37 END AS contributor_id
+        FROM documents
+    """,
+    "contributor_first_writer": f"""
+        SELECT doc_id % 37 AS id, lang || 'wiki' AS dbname, 'u' || min(doc_id) AS username
+        FROM {_AUTHORS} GROUP BY 1, 2
+    """,
+    "page_current_revision": f"""
+        SELECT conv_id AS id, 'convwiki' AS dbname, CAST(0 AS SMALLINT) AS ns,
+               'Conv ' || conv_id AS title, conv_id * {TURNS} + min(turn) + 1 AS revision_id
+        FROM conversations GROUP BY conv_id
+    """,
+    "revision_history": f"""
+        SELECT conv_id * {TURNS} + turn + 1 AS id, 'convwiki' AS dbname, text,
+               CAST(strlen(text) AS BIGINT) AS bytes,
+               CAST(CASE role WHEN 'user' THEN 1 WHEN 'assistant' THEN 2 END AS BIGINT)
+                   AS contributor_id
+        FROM conversations
+    """,
+    "contributor_history": """
+        SELECT DISTINCT CAST(CASE role WHEN 'user' THEN 1 ELSE 2 END AS BIGINT) AS id,
+               'convwiki' AS dbname, role AS username
+        FROM conversations WHERE role <> 'system'
+    """,
+    "order_page": """
+        SELECT l_orderkey AS id, 'orderwiki' AS dbname, 'Order ' || l_orderkey AS title,
+               l_orderkey * 10 + min(l_linenumber) AS revision_id
+        FROM lineitem GROUP BY l_orderkey
+    """,
+    "order_contributor": """
+        SELECT DISTINCT l_suppkey AS id, 'orderwiki' AS dbname, 's' || l_suppkey AS username
+        FROM lineitem
+    """,
+    "order_revision": """
+        SELECT l_orderkey * 10 + l_linenumber AS id, 'orderwiki' AS dbname, text,
+               CAST(strlen(text) AS BIGINT) AS bytes, l_suppkey AS contributor_id
+        FROM (SELECT *, 'part ' || l_partkey || ' quantity ' || CAST(l_quantity AS BIGINT) AS text
+              FROM lineitem)
+        QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+                                   ORDER BY l_partkey, l_suppkey, l_quantity) = 1
+    """,
+    "order_rejects": """
+        SELECT 'revision' AS table_name, 'duplicate_key' AS reason,
+               count(*) - count(DISTINCT l_orderkey * 10 + l_linenumber) AS n
+        FROM lineitem
+    """,
+    "page_zero_defaults": f"""
+        SELECT id, dbname, CAST(coalesce(ns, 0) AS SMALLINT) AS ns, revision_id
+        FROM ({_PAGE})
+    """,
+    "pages_per_file": f"""
+        SELECT lang || 'wiki' AS dbname, doc_id // {PAGES_PER_FILE} AS part, count(*) AS pages
+        FROM documents GROUP BY 1, 2
+    """,
+    "load_totals": f"""
+        SELECT count(*) AS pages, (SELECT count(*) FROM {_FILES}) AS files FROM documents
+    """,
+    "load_counts": _LOAD_COUNTS,
+    "load_again": f"""
+        SELECT table_name, CAST(sum(n) AS BIGINT) AS n
+        FROM ({_LOAD_COUNTS} UNION ALL {_CONVERSATION_COUNTS}) GROUP BY table_name
+    """,
+    "rejects": f"""
+        WITH doc AS (SELECT lang, doc_id % 16 AS kind FROM documents),
+        known AS (SELECT kind FROM doc WHERE lang <> 'fr'),
+        file AS (SELECT lang FROM {_FILES}),
+        found AS (
+            SELECT 'page' AS table_name,
+                   CASE kind WHEN 3 THEN 'bad_ns' WHEN 4 THEN 'bad_id' WHEN 5 THEN 'no_id'
+                        WHEN 6 THEN 'fk_revision' WHEN 7 THEN 'malformed_xml'
+                        ELSE 'fk_namespaces' END AS reason
+            FROM known WHERE kind IN (3, 4, 5, 6, 7, 14)
+            UNION ALL
+            SELECT 'revision', CASE kind WHEN 6 THEN 'bad_timestamp' WHEN 7 THEN 'malformed_xml'
+                                    ELSE 'no_id' END
+            FROM known WHERE kind IN (6, 7, 10)
+            UNION ALL
+            SELECT 'page', CASE kind WHEN 7 THEN 'malformed_xml' ELSE 'no_dbname' END
+            FROM doc WHERE lang = 'fr'
+            UNION ALL
+            SELECT 'revision', CASE kind WHEN 7 THEN 'malformed_xml' ELSE 'no_dbname' END
+            FROM doc WHERE lang = 'fr' AND kind <> 13
+            UNION ALL
+            SELECT 'revision', 'no_dbname' FROM doc WHERE lang = 'fr' AND kind = 10
             UNION ALL
-            SELECT -1, (SELECT count(*) FROM documents), files FROM total
-        """,
-        "insert_absent": """
-            SELECT doc_id, lang, source FROM documents
-            WHERE doc_id NOT IN (SELECT doc_id FROM labels)
-        """,
-        "duplicate_keys": """
-            SELECT user_id, count(*) AS n FROM events GROUP BY user_id HAVING count(*) > 1
-        """,
-        "keep_first": """
-            SELECT user_id, event_type, ts, event_id FROM events
-            QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) = 1
-        """,
-        "fk_violations": """
-            SELECT doc_id, lang FROM documents d
-            WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)
-        """,
-        "fk_accepted": """
-            SELECT doc_id, lang FROM documents d
-            WHERE EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)
-        """,
-        "fk_missing_keys": """
-            SELECT l_suppkey, CAST(l_linenumber AS INTEGER) AS l_linenumber, count(*) AS n
-            FROM lineitem
-            WHERE NOT EXISTS (SELECT 1 FROM supplier
-                              WHERE s_suppkey = l_suppkey AND s_nationkey = l_linenumber)
-            GROUP BY 1, 2
-        """,
-        "fk_page_namespaces": """
-            SELECT doc_id AS id, lang || 'wiki' AS dbname, CAST(99 AS SMALLINT) AS ns
-            FROM documents WHERE lang <> 'fr' AND doc_id % 16 = 14
-        """,
-    }
+            SELECT 'contributor', 'no_dbname' FROM doc
+            WHERE lang = 'fr' AND kind NOT IN (7, 13)
+            UNION ALL
+            SELECT t, 'truncated' FROM file, (VALUES ('page'), ('revision')) AS v(t)
+            WHERE lang = 'es'
+            UNION ALL SELECT 'siteinfo', 'no_dbname' FROM file WHERE lang = 'fr'
+            UNION ALL
+            SELECT 'namespaces', 'no_dbname' FROM file, range(5) WHERE lang = 'fr'
+            UNION ALL SELECT 'namespaces', 'no_key' FROM file WHERE lang <> 'fr'
+        )
+        SELECT table_name, reason, count(*) AS n FROM found GROUP BY 1, 2
+    """,
+    "faulty_page": """
+        SELECT doc_id AS id, lang || 'wiki' AS dbname, CAST(0 AS SMALLINT) AS ns,
+               CASE WHEN doc_id % 16 <> 0 THEN 'Doc ' || doc_id END AS title,
+               CAST(NULL AS VARCHAR) AS redirect,
+               CASE WHEN doc_id % 16 <> 13 THEN doc_id + 1000000 END AS revision_id
+        FROM documents
+        WHERE lang <> 'fr' AND doc_id % 16 NOT IN (3, 4, 5, 6, 7, 14)
+    """,
+    "faulty_revision": """
+        SELECT doc_id + 1000000 AS id, lang || 'wiki' AS dbname,
+               CAST(NULL AS BIGINT) AS parentid,
+               TIMESTAMP '2024-01-01 00:00:00' AS "timestamp",
+               CASE WHEN doc_id % 16 <> 0 THEN 'c' END AS comment,
+               'wikitext' AS model, 'text/x-wiki' AS format,
+               CASE doc_id % 16 WHEN 1 THEN NULL WHEN 15 THEN ' '
+                    WHEN 8 THEN 'a </page> b </revision> ' || text ELSE text END AS text,
+               CAST(CASE doc_id % 16 WHEN 1 THEN 3 WHEN 15 THEN 1 ELSE strlen(text) END
+                    AS BIGINT) AS bytes,
+               CAST(NULL AS VARCHAR) AS sha1,
+               CASE doc_id % 16 WHEN 2 THEN doc_id + 1000 ELSE doc_id % 37 END
+                   AS contributor_id
+        FROM documents WHERE lang <> 'fr' AND doc_id % 16 NOT IN (6, 7, 13)
+    """,
+    "faulty_pages_per_wiki": """
+        SELECT lang || 'wiki' AS wiki, count(*) AS pages FROM documents GROUP BY 1
+    """,
+    "verify": """
+        WITH broken AS (
+            SELECT 'page' AS table_name,
+                   CASE doc_id % 16 WHEN 14 THEN 'fk_namespaces' ELSE 'fk_revision' END
+                       AS check_name,
+                   CASE doc_id % 16 WHEN 14 THEN 0 ELSE doc_id END AS id, lang
+            FROM documents WHERE lang <> 'fr' AND doc_id % 16 IN (6, 14)
+        ),
+        checks(table_name, check_name) AS (
+            VALUES ('siteinfo', 'primary_key'), ('namespaces', 'primary_key'),
+                   ('namespaces', 'fk_siteinfo'), ('contributor', 'primary_key'),
+                   ('contributor', 'fk_siteinfo'), ('revision', 'primary_key'),
+                   ('revision', 'fk_contributor'), ('revision', 'fk_siteinfo'),
+                   ('page', 'primary_key'), ('page', 'fk_namespaces'),
+                   ('page', 'fk_revision'), ('page', 'fk_siteinfo')
+        )
+        SELECT table_name, check_name, count(DISTINCT lang || id) AS broken_keys,
+               count(lang) AS "rows"
+        FROM checks LEFT JOIN broken USING (table_name, check_name) GROUP BY 1, 2
+    """,
+    "lookup_layout": """
+        SELECT 'Doc ' || doc_id AS title, lang || 'wiki' AS dbname,
+               CASE WHEN doc_id % 10 = 0 THEN 'Doc ' || (doc_id + 1) END AS redirect,
+               CASE WHEN doc_id % 5 > 1 THEN doc_id % 37 END AS contributor_id
+        FROM documents
+    """,
+    "added_columns": _PAGE,
+    "stream_page": _PAGE,
+    "stream_progress": f"""
+        WITH total AS (SELECT count(*) AS files FROM {_FILES})
+        SELECT i AS batch_id, least(3, files - 3 * i) AS files,
+               least(files, 3 * (i + 1)) AS total_files
+        FROM total, range(CAST(1000000 AS BIGINT)) AS r(i) WHERE 3 * i < files
+        UNION ALL
+        SELECT -1, (SELECT count(*) FROM documents), files FROM total
+    """,
+    "insert_absent": """
+        SELECT doc_id, lang, source FROM documents
+        WHERE doc_id NOT IN (SELECT doc_id FROM labels)
+    """,
+    "duplicate_keys": """
+        SELECT user_id, count(*) AS n FROM events GROUP BY user_id HAVING count(*) > 1
+    """,
+    "keep_first": """
+        SELECT user_id, event_type, ts, event_id FROM events
+        QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) = 1
+    """,
+    "fk_violations": """
+        SELECT doc_id, lang FROM documents d
+        WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)
+    """,
+    "fk_accepted": """
+        SELECT doc_id, lang FROM documents d
+        WHERE EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)
+    """,
+    "fk_missing_keys": """
+        SELECT l_suppkey, CAST(l_linenumber AS INTEGER) AS l_linenumber, count(*) AS n
+        FROM lineitem
+        WHERE NOT EXISTS (SELECT 1 FROM supplier
+                          WHERE s_suppkey = l_suppkey AND s_nationkey = l_linenumber)
+        GROUP BY 1, 2
+    """,
+    "fk_page_namespaces": """
+        SELECT doc_id AS id, lang || 'wiki' AS dbname, CAST(99 AS SMALLINT) AS ns
+        FROM documents WHERE lang <> 'fr' AND doc_id % 16 = 14
+    """,
+}
