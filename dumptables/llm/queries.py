@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dumptables.llm import decontaminate, exact_dedup, url_filter
+from dumptables.llm import decontaminate, exact_dedup, simhash, url_filter
 from dumptables.llm.common import LOWER, UPPER, table
 
 # The rules of the contract: fixed values.
@@ -20,6 +20,12 @@ URL_RULES = (
 )
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.close_groups(table(spark, sf_dir, "documents"))
+    digits = F.lower(F.lpad(F.hex("f0"), 16, "0"))
+    return found.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return url_filter.judge(table(spark, sf_dir, "pages"), rules)
@@ -46,7 +52,13 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    f.__name__: f for f in (op8_url_filter, op9_exact_dedup, op10_decontamination)
+    f.__name__: f
+    for f in (
+        op5_simhash,
+        op8_url_filter,
+        op9_exact_dedup,
+        op10_decontamination,
+    )
 }
 
 _LOWERED = f"translate(coalesce(text, ''), '{UPPER}', '{LOWER}')"
