@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dumptables.llm import decontaminate, exact_dedup, simhash, url_filter
+from dumptables.llm import decontaminate, exact_dedup, pieces, simhash, url_filter
 from dumptables.llm.common import LOWER, UPPER, table
 
 # The rules of the contract: fixed values.
@@ -20,6 +20,15 @@ URL_RULES = (
 )
 
 
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every text, and the digest of the text that they decode to."""
+    decoded = pieces.decode(pieces.encode(table(spark, sf_dir, "documents")))
+    return decoded.select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids",
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.close_groups(table(spark, sf_dir, "documents"))
     digits = F.lower(F.lpad(F.hex("f0"), 16, "0"))
@@ -54,6 +63,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op4_sentencepiece,
         op5_simhash,
         op8_url_filter,
         op9_exact_dedup,
