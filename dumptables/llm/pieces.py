@@ -379,10 +379,10 @@ _ROWS = 256
 
 def encode(docs: DataFrame, path: str = MODEL) -> DataFrame:
     """doc_id, ids of every row of ``docs``."""
-    shared = docs.sparkSession.sparkContext.broadcast(load(path))  # as large as the vocabulary
+    shared = docs.sparkSession.sparkContext.broadcast(vars(load(path)))  # as large as the vocabulary
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(shared.value)
+        encoder = Encoder(Vocabulary(**shared.value))
         for whole in batches:
             for at in range(0, whole.num_rows, _ROWS):
                 batch = whole.slice(at, _ROWS)
@@ -399,10 +399,10 @@ def encode(docs: DataFrame, path: str = MODEL) -> DataFrame:
 
 def decode(encoded: DataFrame, path: str = MODEL) -> DataFrame:
     """The rows of ``encoded`` (doc_id, ids) with the text the ids stand for; null ids are none."""
-    shared = encoded.sparkSession.sparkContext.broadcast(load(path))
+    shared = encoded.sparkSession.sparkContext.broadcast(vars(load(path)))
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = shared.value
+        vocabulary = Vocabulary(**shared.value)
         for whole in batches:
             for at in range(0, whole.num_rows, _ROWS):
                 batch = whole.slice(at, _ROWS)
