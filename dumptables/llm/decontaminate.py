@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dumptables.llm.common import ascii_lower, let, written
+from dumptables.llm.sieve import bitmap, passes
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 SPAN = 13
@@ -119,29 +120,6 @@ def _short_windows(words: Column, sizes: list[int], sift) -> Column:
     return let(words, lambda w: F.flatten(F.array(*(of(n, w) for n in sizes))))
 
 
-def _bitmap(hashes: DataFrame, bits: int) -> Column:
-    """One array of 2**bits bits with those of ``hash`` set, as a scalar subquery."""
-    slot = F.expr(f"cast(pmod(hash, {1 << bits}) as int)")
-    cells = (
-        hashes.select((slot / 64).cast("int").alias("cell"), F.pmod(slot, F.lit(64)).alias("bit"))
-        .groupBy("cell")
-        .agg(F.expr("bit_or(shiftleft(1L, bit))").alias("mask"))
-    )
-    all_cells = hashes.sparkSession.range(1 << (bits - 6)).select(F.col("id").cast("int").alias("cell"))
-    full = all_cells.join(cells, "cell", "left").select("cell", F.coalesce("mask", F.lit(0)).alias("mask"))
-    packed = full.agg(F.array_sort(F.collect_list(F.struct("cell", "mask"))).alias("cells"))
-    return packed.select(F.transform("cells", lambda c: c["mask"]).alias("m")).scalar()
-
-
-def _sifter(bitmap: Column, bits: int):
-    def sift(value: Column) -> Column:
-        slot = F.pmod(value, F.lit(1 << bits)).cast("int")
-        mask = F.get(bitmap, F.shiftright(slot, 6))
-        return F.getbit(mask, slot.bitwiseAND(F.lit(63))) == 1
-
-    return sift
-
-
 def _equal_run(mine: Column, theirs: Column) -> Column:
     """How many words agree from the front on."""
     differs = F.array_position(
@@ -187,15 +165,15 @@ def contamination_spans(
     text = docs.select(
         "doc_id",
         words_of().alias("words"),
-        _bitmap(long.select("hash"), bits).alias("long_bits"),
-        _bitmap(short.select("hash"), bits).alias("short_bits"),
+        bitmap(long.select("hash"), bits).alias("long_bits"),
+        bitmap(short.select("hash"), bits).alias("short_bits"),
     )
     found = text.select(
         "doc_id",
         F.size("words").cast("bigint").alias("n_words"),
-        _fingerprints(F.col("words"), gram, span, _sifter(F.col("long_bits"), bits)).alias("long"),
+        _fingerprints(F.col("words"), gram, span, passes(F.col("long_bits"), bits)).alias("long"),
         _short_windows(
-            F.col("words"), sorted(sizes), _sifter(F.col("short_bits"), bits)
+            F.col("words"), sorted(sizes), passes(F.col("short_bits"), bits)
         ).alias("short"),
     )
     found = written(found, "doc_fingerprints")

@@ -22,10 +22,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dumptables.llm.common import SPACE, written
+from dumptables.llm.sieve import bitmap, passes
 from dumptables.session import work_folder
 
-_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_STATE = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # Room for logs is not reserved ahead: with many small stores it would be most of the disk.
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
+SIEVE_BITS = 22  # 512 KiB
 
 
 def normalised(text: str | Column = "text") -> Column:
@@ -38,15 +44,17 @@ def digest_of(text: Column) -> Column:
 
 @contextmanager
 def _state_on_disk(spark: SparkSession):
-    before = spark.conf.get(_PROVIDER, None)
-    spark.conf.set(_PROVIDER, _ROCKSDB)
+    before = {key: spark.conf.get(key, None) for key in _STATE}
+    for key, value in _STATE.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(_PROVIDER)
-        else:
-            spark.conf.set(_PROVIDER, before)
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
 
 
 def arrivals(docs: DataFrame) -> DataFrame:
@@ -103,12 +111,16 @@ def read_hits(spark: SparkSession, hits: str, id_type: str) -> DataFrame:
 def confirmed(docs: DataFrame, hits: DataFrame) -> DataFrame:
     """Classes of equal bytes among the rows of ``docs`` whose digest is a hit.
 
-    Grouping by the text itself compares whole texts; it combines copies within each task, so
-    no more than one text of a class leaves a task.
+    A sieve keeps texts that are no hits from moving. Grouping by the text itself compares
+    whole texts; it combines copies within each task, so no more than one text of a class
+    leaves a task.
     """
-    text = docs.select("doc_id", normalised().alias("body"))
+    digests = hits.select("digest")
+    bits = bitmap(digests.select(F.xxhash64("digest").alias("hash")), SIEVE_BITS)
+    text = docs.select("doc_id", normalised().alias("body"), bits.alias("bits"))
     text = text.withColumn("digest", digest_of(F.col("body")))
-    hit = text.join(hits.select("digest"), "digest", "left_semi")
+    text = text.filter(passes(F.col("bits"), SIEVE_BITS)(F.xxhash64("digest"))).drop("bits")
+    hit = text.join(digests, "digest", "left_semi")
     return (
         hit.groupBy("body")
         .agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
@@ -124,7 +136,8 @@ def exact_groups(docs: DataFrame, stream: DataFrame, work: str | None = None) ->
     spark = docs.sparkSession
     work = work or work_folder(spark)
     register(stream, f"{work}/state", f"{work}/hits")
-    hits = read_hits(spark, f"{work}/hits", docs.schema["doc_id"].dataType.simpleString())
+    found = read_hits(spark, f"{work}/hits", docs.schema["doc_id"].dataType.simpleString())
+    hits = written(found, "hits")
     classes = written(
         confirmed(docs, hits).withColumn("many", F.expr("group_size > 1")), "classes"
     )
