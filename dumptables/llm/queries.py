@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dumptables.llm import decontaminate, exact_dedup, pieces, simhash, url_filter
+from dumptables.llm import decontaminate, exact_dedup, pieces, simhash, superkmers, url_filter
 from dumptables.llm.common import LOWER, UPPER, table
 
 # The rules of the contract: fixed values.
@@ -20,6 +20,10 @@ URL_RULES = (
 )
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return superkmers.dedup_report(table(spark, sf_dir, "documents"))
+
+
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text, and the digest of the text that they decode to."""
     decoded = pieces.decode(pieces.encode(table(spark, sf_dir, "documents")))
@@ -63,6 +67,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op3_substring_dedup,
         op4_sentencepiece,
         op5_simhash,
         op8_url_filter,
@@ -76,6 +81,28 @@ _URL_PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 _RULE_VALUES = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
 
 SQL = {
+    "op3_substring_dedup": r"""
+        WITH d AS (
+            SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+            FROM documents
+        ),
+        win AS (
+            SELECT doc_id, i, array_to_string(w[i:i + 49], ' ') AS body
+            FROM (SELECT *, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50)
+        ),
+        owner AS (SELECT body, min(doc_id) AS first FROM win GROUP BY body),
+        hit AS (SELECT doc_id, i FROM win JOIN owner USING (body) WHERE first < doc_id),
+        gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS p FROM hit),
+        word AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS p, unnest(w) AS word FROM d),
+        kept AS (
+            SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS body, count(*) AS n
+            FROM word ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id
+        )
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+               CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+               sha256(coalesce(body, '')) AS kept_sha256
+        FROM d LEFT JOIN kept USING (doc_id)
+    """,
     "op8_url_filter": f"""
         WITH parts AS (
             SELECT page_id,

@@ -37,3 +37,19 @@ def passes(bitmap: Column, bits: int):
         return F.getbit(mask, slot.bitwiseAND(F.lit(63))) == 1
 
     return test
+
+
+def local_bitmap(hashes: DataFrame, bits: int) -> bytes:
+    """The same bits as bytes for use in tasks; 2**bits bits, whatever ``hashes`` holds."""
+    import numpy as np
+
+    slot = F.expr(f"cast(pmod(hash, {1 << bits}) as int)")
+    cells = (
+        hashes.select(F.shiftright(slot, 6).alias("cell"), F.pmod(slot, F.lit(64)).alias("bit"))
+        .groupBy("cell")
+        .agg(F.expr("bit_or(shiftleft(1L, bit))").alias("mask"))
+        .toArrow()
+    )
+    words = np.zeros(1 << (bits - 6), np.int64)
+    words[cells.column("cell").to_numpy()] = cells.column("mask").to_numpy()
+    return words.astype("<i8").tobytes()
