@@ -8,7 +8,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dumptables.llm import decontaminate, exact_dedup, pieces, simhash, superkmers, url_filter
+from dumptables.llm import (
+    decontaminate,
+    exact_dedup,
+    importance,
+    pieces,
+    simhash,
+    superkmers,
+    toxicity,
+    url_filter,
+)
 from dumptables.llm.common import LOWER, UPPER, table
 
 # The rules of the contract: fixed values.
@@ -20,6 +29,10 @@ URL_RULES = (
 )
 
 
+def op2_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return superkmers.dedup_report(table(spark, sf_dir, "documents"))
 
@@ -39,6 +52,10 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return url_filter.judge(table(spark, sf_dir, "pages"), rules)
@@ -67,9 +84,11 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op2_importance_resampling,
         op3_substring_dedup,
         op4_sentencepiece,
         op5_simhash,
+        op7_toxicity,
         op8_url_filter,
         op9_exact_dedup,
         op10_decontamination,
