@@ -12,6 +12,7 @@ from dumptables.llm import (
     decontaminate,
     exact_dedup,
     importance,
+    line_dedup,
     pieces,
     simhash,
     superkmers,
@@ -29,6 +30,10 @@ URL_RULES = (
 )
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup(table(spark, sf_dir, "documents"))
+
+
 def op2_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -84,6 +89,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_line_dedup,
         op2_importance_resampling,
         op3_substring_dedup,
         op4_sentencepiece,
@@ -100,6 +106,40 @@ _URL_PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 _RULE_VALUES = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
 
 SQL = {
+    "op1_line_dedup": f"""
+        WITH l AS (
+            SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+                   unnest(range(len(string_split(text, chr(10))))) AS i
+            FROM documents
+        ),
+        h AS (SELECT *, CAST('0x' || substr(md5(line), 1, 8) AS BIGINT) AS h FROM l),
+        e AS (
+            SELECT *, i = max(i) OVER (PARTITION BY doc_id)
+                      OR (h + 31 * coalesce(lag(h) OVER w, 0)) % {line_dedup.DIVISOR} = 0 AS ends
+            FROM h WINDOW w AS (PARTITION BY doc_id ORDER BY i)
+        ),
+        c AS (
+            SELECT *, coalesce(sum(CAST(ends AS INT)) OVER (
+                PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING
+            ), 0) AS k FROM e
+        ),
+        chunk AS (
+            SELECT doc_id, k, min(i) AS first, count(*) AS n,
+                   string_agg(line, chr(10) ORDER BY i) AS body
+            FROM c GROUP BY doc_id, k
+        ),
+        judged AS (
+            SELECT *, n > 1 AND row_number() OVER (PARTITION BY body ORDER BY doc_id, first) > 1
+                   AS goes
+            FROM chunk
+        )
+        SELECT d.doc_id, CAST(coalesce(sum(n), 0) AS BIGINT) AS n_lines,
+               count(n) AS n_chunks,
+               CAST(coalesce(sum(n) FILTER (goes), 0) AS BIGINT) AS n_removed,
+               sha256(coalesce(string_agg(body, chr(10) ORDER BY first) FILTER (NOT goes), ''))
+                   AS kept_sha256
+        FROM documents d LEFT JOIN judged USING (doc_id) GROUP BY d.doc_id
+    """,
     "op3_substring_dedup": r"""
         WITH d AS (
             SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
