@@ -15,6 +15,7 @@ from dumptables.llm import (
     line_dedup,
     pieces,
     simhash,
+    suffixes,
     superkmers,
     toxicity,
     url_filter,
@@ -57,6 +58,10 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.dedup_report(table(spark, sf_dir, "documents"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -94,6 +99,7 @@ QUERIES = {
         op3_substring_dedup,
         op4_sentencepiece,
         op5_simhash,
+        op6_suffix_array_dedup,
         op7_toxicity,
         op8_url_filter,
         op9_exact_dedup,

@@ -34,14 +34,13 @@ from pyspark.sql import functions as F
 
 from dumptables.llm.common import written
 from dumptables.llm.passages import (
-    SEED, Bits, rows_of, run_hashes, sliding_min, text_key, word_hashes,
+    SEED, Bits, kept_words, rows_of, run_hashes, sliding_min, texts, word_hashes,
 )
-from dumptables.llm.sieve import bitmap, local_bitmap, passes
+from dumptables.llm.sieve import local_bitmap
 
 WINDOW = 50
 GRAM = 8
 BUCKET_BITS = 24  # 2 MiB
-ROW_BITS = 22
 LONGEST = 200  # windows in one string
 CROWDED = 1000  # different strings from which on a bucket's windows are dealt out
 
@@ -59,10 +58,6 @@ def _runs(words: list[bytes], window: int, gram: int) -> tuple[np.ndarray, np.nd
     return starts, np.diff(np.append(starts, len(least))), least[starts]
 
 
-def _texts(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", text_key().alias("row"), F.col("text").cast("binary").alias("text"))
-
-
 def cuts(docs: DataFrame, window: int, gram: int) -> DataFrame:
     """doc_id, row, n_words, sha256 of the words, buckets (without repeats) of every row."""
 
@@ -81,7 +76,7 @@ def cuts(docs: DataFrame, window: int, gram: int) -> DataFrame:
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return _texts(docs).mapInArrow(
+    return texts(docs).mapInArrow(
         make, f"doc_id {kind}, row bigint, n_words bigint, sha256 binary, buckets array<bigint>"
     )
 
@@ -115,7 +110,7 @@ def packed_strings(docs: DataFrame, raw: bytes, window: int, gram: int) -> DataF
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return _texts(docs).mapInArrow(
+    return texts(docs).mapInArrow(
         make,
         f"bucket bigint, name bigint, packed binary, doc_id {kind}, row bigint, start int",
     )
@@ -249,47 +244,14 @@ def repeated_windows(docs: DataFrame, cut: DataFrame, window: int, gram: int) ->
     )
 
 
-def _covered(starts: np.ndarray, n_words: int, window: int) -> np.ndarray:
-    mask = np.zeros(n_words + 1, np.int64)
-    np.add.at(mask, starts, 1)
-    np.add.at(mask, np.minimum(starts + window, n_words), -1)
-    return np.cumsum(mask)[:n_words] > 0
-
-
-def kept_words(docs: DataFrame, windows: DataFrame, window: int) -> DataFrame:
-    """doc_id, row, n_removed, kept: the words left of each text that has ``windows`` (doc_id,
-    row, starts), joined by blanks. Texts without any are sifted out before they move."""
-    key = F.xxhash64("doc_id", "row")
-    bits = bitmap(windows.select(key.alias("hash")), ROW_BITS)
-    rows = _texts(docs).withColumn("bits", bits)
-    rows = rows.filter(passes(F.col("bits"), ROW_BITS)(key)).drop("bits").distinct()
-    joined = rows.join(windows, ["doc_id", "row"])
-
-    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in rows_of(batches):
-            removed, kept = [], []
-            for text, starts in zip(batch.column(2), batch.column(3), strict=True):
-                words = (text.as_py() or b"").split()
-                gone = _covered(np.array(starts.as_py(), np.int64), len(words), window)
-                removed.append(int(gone.sum()))
-                kept.append(b" ".join(w for w, x in zip(words, gone.tolist(), strict=True) if not x))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(removed, pa.int64()),
-                 pa.array(kept, pa.binary())],
-                ["doc_id", "row", "n_removed", "kept"],
-            )
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return joined.select("doc_id", "row", "text", "starts").mapInArrow(
-        make, f"doc_id {kind}, row bigint, n_removed bigint, kept binary"
-    )
-
-
 def dedup_report(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 of every row of ``docs``."""
     cut = written(cuts(docs, window, gram), "cuts")
     windows = written(repeated_windows(docs, cut, window, gram), "windows")
-    changed = kept_words(docs, windows, window).select(
+    spans = windows.select(
+        "doc_id", "row", "starts", F.transform("starts", lambda at: at + window).alias("stops")
+    )
+    changed = kept_words(docs, spans).select(
         "doc_id", "row", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
     )
     return cut.join(written(changed, "changed"), ["doc_id", "row"], "left").select(
