@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dumptables.llm.common import ascii_lower, let, written
-from dumptables.llm.sieve import bitmap, passes
+from dumptables.llm.sieve import bitmap, passes, without
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 SPAN = 13
@@ -241,5 +241,5 @@ def clean_of(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     A doc_id of which one row is contaminated goes with all its rows.
     """
-    gone = written(contamination(docs, benchmark).filter(is_contaminated()).select(F.col("doc_id").alias("__id")).distinct(), "contaminated")
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["__id"]), "left_anti")
+    bad = contamination(docs, benchmark).filter(is_contaminated())
+    return without(docs, [F.col("doc_id")], written(bad.select("doc_id"), "contaminated"))

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dumptables.llm.common import SPACE, written
-from dumptables.llm.sieve import bitmap, passes
+from dumptables.llm.sieve import bitmap, passes, without
 from dumptables.session import work_folder
 
 _STATE = {
@@ -179,16 +179,11 @@ def exact_dedup(docs: DataFrame) -> DataFrame:
         "id", "digest", F.struct("_metadata.file_path", "_metadata.row_index").alias("locator")
     )
     groups = written(exact_groups(docs, stream), "groups")
-    gone = groups.filter("NOT kept").select(F.col("doc_id").alias("__id"), "digest")
-    digest = digest_of(normalised())
-    found = docs.withColumn("__digest", digest)
     # An id may carry several texts, so both decide.
-    stay = found.join(
-        gone.distinct(),
-        found["doc_id"].eqNullSafe(F.col("__id")) & (F.col("__digest") == F.col("digest")),
-        "left_anti",
-    )
+    both = [F.col("doc_id"), digest_of(normalised())]
+    stay = without(docs, both, groups.filter("NOT kept").select("doc_id", "digest"))
     twice = groups.filter("kept").groupBy("doc_id", "digest").count().filter("count > 1")
     if not twice.isEmpty():  # whole rows repeated: one of each
-        stay = stay.dropDuplicates(["doc_id", "__digest"])
-    return stay.select(*(F.col(f"`{c}`") for c in docs.columns))
+        stay = stay.withColumn("__digest", digest_of(normalised()))
+        stay = stay.dropDuplicates(["doc_id", "__digest"]).drop("__digest")
+    return stay

@@ -6,6 +6,10 @@ fills it sifts less, and results stay the same.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,8 +45,6 @@ def passes(bitmap: Column, bits: int):
 
 def local_bitmap(hashes: DataFrame, bits: int) -> bytes:
     """The same bits as bytes for use in tasks; 2**bits bits, whatever ``hashes`` holds."""
-    import numpy as np
-
     slot = F.expr(f"cast(pmod(hash, {1 << bits}) as int)")
     cells = (
         hashes.select(F.shiftright(slot, 6).alias("cell"), F.pmod(slot, F.lit(64)).alias("bit"))
@@ -53,3 +55,17 @@ def local_bitmap(hashes: DataFrame, bits: int) -> bytes:
     words = np.zeros(1 << (bits - 6), np.int64)
     words[cells.column("cell").to_numpy()] = cells.column("mask").to_numpy()
     return words.astype("<i8").tobytes()
+
+
+def without(docs: DataFrame, keys: list[Column], gone: DataFrame, bits: int = 22) -> DataFrame:
+    """The rows of ``docs`` whose ``keys`` are no row of ``gone`` (a column for each, null equal
+    to null), all columns unchanged. Rows that the bitmap clears stay where they are; only the
+    others meet ``gone``, however large that is."""
+    gone = gone.toDF(*(f"__k{i}" for i in range(len(keys)))).distinct()
+    found = bitmap(gone.select(F.xxhash64("*").alias("hash")), bits)
+    marked = docs.withColumn("__bits", found)
+    suspect = passes(F.col("__bits"), bits)(F.xxhash64(*keys))
+    match = reduce(and_, (k.eqNullSafe(gone[f"__k{i}"]) for i, k in enumerate(keys)))
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    cleared = marked.filter(~suspect).select(names)
+    return cleared.union(marked.filter(suspect).select(names).join(gone, match, "left_anti"))

@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 
 from dumptables.llm.common import let, written
 from dumptables.llm.components import components
+from dumptables.llm.sieve import without
 
 SEED = 42
 BLOCK = 1 << 15
@@ -316,6 +317,5 @@ def one_of_each(docs: DataFrame, size: int = 5, limit: int = WIDE_LIMIT) -> Data
     """The rows of ``docs`` without those that have a near copy of smaller doc_id; all columns
     unchanged. Rows with a null doc_id stay."""
     groups = near_groups(docs, size, limit)
-    gone = groups.filter("doc_id <> component_id").select(F.col("doc_id").alias("__id"))
-    gone = written(gone.distinct(), "near_copies")
-    return docs.join(gone, docs["doc_id"] == gone["__id"], "left_anti")
+    gone = groups.filter("doc_id <> component_id").select("doc_id")
+    return without(docs, [F.col("doc_id")], written(gone, "near_copies"))
