@@ -66,7 +66,8 @@ def target_ids(labels: DataFrame, most: int = TARGETS) -> DataFrame:
 def log_ratios(docs: DataFrame, labels: DataFrame) -> np.ndarray | None:
     """For each bucket the log ratio of its probability in target text and in all text."""
     targets = target_ids(labels).select(F.col("doc_id").alias("__target"))
-    marked = docs.join(F.broadcast(targets), F.col("doc_id") == F.col("__target"), "left")
+    plain = docs.select("doc_id", "text")
+    marked = plain.join(F.broadcast(targets), F.col("doc_id") == F.col("__target"), "left")
     marked = marked.select(
         F.col("text").cast("binary").alias("text"), F.col("__target").isNotNull().alias("target")
     )

@@ -126,7 +126,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> D
     slot = F.pmod(F.xxhash64(F.lit("part"), "doc_id"), F.lit(20))
     part = F.when(slot < 9, 0).when(slot < 16, 1).otherwise(2)
     some = some.select(F.col("doc_id").alias("__id"), "toxic", part.alias("part"))
-    joined = docs.join(F.broadcast(some), F.col("doc_id") == F.col("__id"))
+    plain = docs.select("doc_id", "text")
+    joined = plain.join(F.broadcast(some), F.col("doc_id") == F.col("__id"))
     return joined.select("doc_id", "text", "toxic", "part")
 
 
