@@ -559,7 +559,7 @@ SQL = {
         WITH total AS (SELECT count(*) AS files FROM {_FILES})
         SELECT i AS batch_id, least(3, files - 3 * i) AS files,
                least(files, 3 * (i + 1)) AS total_files
-        FROM total, range(CAST(1000000 AS BIGINT)) AS r(i) WHERE 3 * i < files
+        FROM total, range(CAST((SELECT files FROM total) AS BIGINT)) AS r(i) WHERE 3 * i < files
         UNION ALL
         SELECT -1, (SELECT count(*) FROM documents), files FROM total
     """,

@@ -8,9 +8,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The accepted spellings of a number and of a UTC instant.
-NUMBER = "^[+-]?[0-9]+$"
-INSTANT = "^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}([.][0-9]{1,9})?Z$"
+# The accepted spellings of a number and of a UTC instant. They end at the very
+# end of the text (``$`` would allow a line end after it).
+NUMBER = r"^[+-]?[0-9]+\z"
+INSTANT = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}([.][0-9]{1,9})?Z\z"
 
 
 def number_sql(text: str, kind: str) -> str:
@@ -18,13 +19,17 @@ def number_sql(text: str, kind: str) -> str:
 
     The pattern matters: a plain cast would accept surrounding blanks.
     """
-    return f"(CASE WHEN {text} RLIKE '{NUMBER}' THEN try_cast({text} AS {kind}) END)"
+    return f"(CASE WHEN {text} RLIKE r'{NUMBER}' THEN try_cast({text} AS {kind}) END)"
 
 
 def instant_sql(text: str) -> str:
-    """UTC instant cut to whole seconds, as TIMESTAMP_NTZ; independent of the session time zone."""
+    """UTC instant cut to whole seconds, as TIMESTAMP_NTZ; independent of the session time zone.
+
+    Years have four digits, hours run to 23 and seconds to 59: midnight written as 24:00:00 and
+    leap seconds, which dumps do not contain, count as unreadable.
+    """
     seconds = f"try_cast(substring({text}, 1, 19) AS TIMESTAMP_NTZ)"
-    return f"(CASE WHEN {text} RLIKE '{INSTANT}' THEN {seconds} END)"
+    return f"(CASE WHEN {text} RLIKE r'{INSTANT}' THEN {seconds} END)"
 
 
 def strict_long(text: str) -> Column:

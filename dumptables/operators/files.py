@@ -14,6 +14,17 @@ def position() -> Column:
     return F.struct("block_start", "row_id", "seg")
 
 
+def scan_part() -> Column:
+    """The scan task that read a row: the upper bits of its ``row_id``."""
+    return F.shiftright("row_id", 33).cast("int")
+
+
+def file_marks(stage: DataFrame, files: DataFrame) -> DataFrame:
+    """What rows need to know of their file, once for each scan task that read some of it."""
+    marks = files.select("file_path", "dbname", "complete", "end", "page_starts")
+    return stage.select("scan_part", "file_path").distinct().join(marks, "file_path")
+
+
 def dump_files(stage: DataFrame) -> DataFrame:
     """Per-file facts of a stage.
 

@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from dumptables.operators.files import scan_part
 from dumptables.schemas import POSITION, ForeignKey
 
 
@@ -44,6 +45,15 @@ def insert_absent(new: DataFrame, existing: DataFrame, key: Sequence[str]) -> Da
     return new.join(existing.select(*key), list(key), "left_anti")
 
 
+def stored_of(stored: DataFrame, new: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Those of the stored keys that are among the new ones.
+
+    New keys are few beside what is stored, so they go to the stored ones: as a broadcast, if
+    Spark finds them small, and the stored side is then read, not moved.
+    """
+    return stored.select(*key).join(new.select(*key), list(key), "left_semi")
+
+
 def contested_keys(
     rows: DataFrame, key: Sequence[str], stored: DataFrame | None = None
 ) -> DataFrame:
@@ -54,7 +64,7 @@ def contested_keys(
     counts = rows.groupBy(*key).agg(F.count("*").alias("n"))
     if stored is None:
         return counts.filter("n > 1").withColumn("stored", F.lit(False))
-    present = stored.select(*key).withColumn("present", F.lit(True))
+    present = stored_of(stored, counts, key).withColumn("present", F.lit(True))
     return (
         counts.join(present, list(key), "left")
         .filter("n > 1 OR present")
@@ -86,14 +96,19 @@ def lost_claims(claimed: DataFrame, first: DataFrame, key: Sequence[str]) -> Dat
     )
 
 
-def at(rows: DataFrame, positions: DataFrame) -> DataFrame:
-    """Rows standing at the given positions."""
-    return rows.join(positions.select(*POSITION), list(POSITION), "left_semi")
+def places(positions: DataFrame) -> DataFrame:
+    """Positions as the few bytes that tell rows of one scan apart."""
+    return positions.select(scan_part().alias("scan_part"), "row_id", "seg")
+
+
+def at(rows: DataFrame, places: DataFrame) -> DataFrame:
+    """Rows (with ``scan_part``) standing at the given places."""
+    return rows.join(places, ["scan_part", "row_id", "seg"], "left_semi")
 
 
-def not_at(rows: DataFrame, positions: DataFrame) -> DataFrame:
+def not_at(rows: DataFrame, places: DataFrame) -> DataFrame:
     """Rows standing anywhere else."""
-    return rows.join(positions.select(*POSITION), list(POSITION), "left_anti")
+    return rows.join(places, ["scan_part", "row_id", "seg"], "left_anti")
 
 
 def fk_missing_keys(child: DataFrame, parent: DataFrame, fk: ForeignKey) -> DataFrame:
@@ -106,7 +121,8 @@ def fk_missing_keys(child: DataFrame, parent: DataFrame, fk: ForeignKey) -> Data
     wanted = parent.select(
         *[F.col(p).alias(c) for p, c in zip(fk.parent_columns, fk.columns, strict=True)]
     )
-    return used.join(wanted, list(fk.columns), "left_anti")
+    met = stored_of(wanted, used, fk.columns)
+    return used.join(met, list(fk.columns), "left_anti")
 
 
 def fk_violations(child: DataFrame, missing: DataFrame, fk: ForeignKey) -> DataFrame:

@@ -2,18 +2,24 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dumptables.functions import last_filled
+from dumptables.operators.files import scan_part
 from dumptables.operators.rules import PAGE_VALUE_RULES, REVISION_RULES, any_broken
 from dumptables.schemas import PAGE_XML, SEGMENTS, XML_OPTIONS
+from dumptables.session import settings
 
 # The tags a dump is cut at.
 PAGE_END = "</page>"
 FILE_END = "</mediawiki>"
 PAGE_START = "<page[ \\t\\r\\n>]"
 
+MOST_BUCKETS = 100_000  # what Spark allows unless told otherwise
+
 
 def cut(records: DataFrame) -> DataFrame:
     """Split each record at its page ends into segments of one revision or less.
@@ -26,6 +32,7 @@ def cut(records: DataFrame) -> DataFrame:
         records.withColumn("row_id", F.monotonically_increasing_id())
         .withColumn("parts", F.split("value", PAGE_END))
         .select(
+            scan_part().alias("scan_part"),
             "file_path",
             "block_start",
             "row_id",
@@ -35,6 +42,7 @@ def cut(records: DataFrame) -> DataFrame:
     )
     last = F.col("seg") == F.col("n_parts") - 1
     flagged = parts.withColumn("last", last).selectExpr(
+        "scan_part",
         "file_path",
         "block_start",
         "row_id",
@@ -62,12 +70,23 @@ def _xml() -> Column:
     return F.when(holds_page, F.concat(start, end))
 
 
+def _filled(values: str) -> str:
+    """Last value of an array that is neither missing nor empty."""
+    return f"try_element_at(array_remove(array_compact({values}), ''), -1)"
+
+
 # Body of <text>; the parser drops a body of blanks only, so that is read by pattern.
-FLAT_TEXT = r"""coalesce(
-    nullif(page.revision.text._VALUE, ''),
+FLAT_TEXT = rf"""coalesce(
+    {_filled('page.revision.text._VALUE')},
     CASE WHEN page.revision.text IS NOT NULL
          THEN nullif(regexp_extract(xml, r'<text\b[^<>]*>(\s+)</text>', 1), '') END)"""
 
+# Every author named in the revision, each with its own last filled values.
+AUTHORS = f"""filter(
+    transform(page.revision.contributor,
+              c -> struct({_filled('c.id')} AS id, {_filled('c.username')} AS username)),
+    c -> c.id IS NOT NULL OR c.username IS NOT NULL)"""
+
 
 def _tag(name: str) -> Column:
     return last_filled(f"page.revision.{name}").alias(name)
@@ -76,8 +95,7 @@ def _tag(name: str) -> Column:
 def _either(name: str, flat: str) -> Column:
     """A value from the ``<content>`` wrapper of newer dumps, which follows the flat ones,
     or else the flat one."""
-    wrapped = f"array_compact(page.revision.content.{name})"
-    return F.expr(f"coalesce(try_element_at(array_remove({wrapped}, ''), -1), {flat})")
+    return F.expr(f"coalesce({_filled(f'page.revision.content.{name}')}, {flat})")
 
 
 def parse(cuts: DataFrame) -> DataFrame:
@@ -86,7 +104,7 @@ def parse(cuts: DataFrame) -> DataFrame:
     Pieces that are no XML are ``malformed``; no value is taken from them. Any piece at
     fault keeps its source in ``raw``, so the reject list never has to read the texts.
     """
-    flags = ["file_path", "block_start", "row_id", "seg", "starts_page", "has_revision", "may_end_file"]
+    flags = ["scan_part", "file_path", "block_start", "row_id", "seg", "starts_page", "has_revision", "may_end_file"]
     parsed = cuts.withColumn("xml", _xml()).withColumn(
         "page", F.from_xml("xml", PAGE_XML, XML_OPTIONS)
     )
@@ -106,7 +124,8 @@ def parse(cuts: DataFrame) -> DataFrame:
         last_filled("page.id").alias("page_id"),
         last_filled("page.ns").alias("ns"),
         last_filled("page.title").alias("title"),
-        F.col("page.redirect._title").alias("redirect"),
+        # An attribute counts when it is there; an empty one too.
+        F.expr("try_element_at(array_compact(page.redirect._title), -1)").alias("redirect"),
         last_filled("page.revision.id").alias("revision_id"),
         _tag("parentid"),
         _tag("timestamp"),
@@ -114,10 +133,10 @@ def parse(cuts: DataFrame) -> DataFrame:
         _either("model", "try_element_at(array_remove(page.revision.model, ''), -1)").alias("model"),
         _either("format", "try_element_at(array_remove(page.revision.format, ''), -1)").alias("format"),
         _either("text._VALUE", FLAT_TEXT).alias("text"),
-        _either("text._bytes", "page.revision.text._bytes").alias("bytes"),
+        _either("text._bytes", _filled("page.revision.text._bytes")).alias("bytes"),
         _tag("sha1"),
-        last_filled("page.revision.contributor.id").alias("contributor_id"),
-        last_filled("page.revision.contributor.username").alias("username"),
+        F.expr(_filled("flatten(array_compact(page.revision.contributor.id))")).alias("contributor_id"),
+        F.expr(AUTHORS).alias("authors"),
     )
     faulty = f"""malformed OR {any_broken(PAGE_VALUE_RULES)}
         OR (starts_page AND page_id IS NULL)
@@ -136,7 +155,20 @@ def stage_segments(records: DataFrame, path: str) -> DataFrame:
 
     Five tables are built from it, each reading only its own columns. A lost executor
     costs the tasks it ran, never the parse of the whole dump. Sorted by nothing and
-    shuffled by nothing: every scan task writes its own file.
+    shuffled by nothing: every scan task writes its own file. As that file is a bucket of
+    its own, later joins on the scan task leave the texts where they are.
+
+    The table's name is an entry of the session catalog; its files lie at ``path``.
     """
-    to_segments(records).write.mode("overwrite").parquet(path)
-    return records.sparkSession.read.schema(SEGMENTS).parquet(path)
+    spark = records.sparkSession
+    tasks = min(max(records.rdd.getNumPartitions(), 1), MOST_BUCKETS)
+    name = f"stage_{uuid.uuid4().hex}"
+    with settings(spark, {"spark.sql.maxConcurrentOutputFileWriters": "4"}):  # no sort by bucket
+        (
+            to_segments(records)
+            .write.format("parquet")
+            .bucketBy(tasks, "scan_part")
+            .option("path", f"{path}/{name}")
+            .saveAsTable(name)
+        )
+    return spark.table(name)

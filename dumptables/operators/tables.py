@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dumptables.functions import instant_seconds, strict_long, strict_short
+from dumptables.operators.files import scan_part
 from dumptables.operators.rules import (
     CONTRIBUTOR_RULES,
     NAMESPACE_RULES,
@@ -44,11 +45,10 @@ CUT_OFF: Rule = ("truncated", "NOT complete AND struct(block_start, row_id, seg)
 CUT_PAGE: Rule = ("truncated", "NOT complete AND page_seq = page_starts")
 
 
-def _stamp(rows: DataFrame, files: DataFrame) -> DataFrame:
-    """Give each row its file's wiki name and end. ``files`` has one row per file; the
-    caller decides whether it is small enough to be broadcast."""
-    marks = files.select("file_path", "dbname", "complete", "end", "page_starts")
-    return rows.join(marks, "file_path", "left")
+def _stamp(rows: DataFrame, marks: DataFrame) -> DataFrame:
+    """Give each row its file's wiki name and end. ``marks`` has a row for each file and scan
+    task; the caller says how it comes to the rows."""
+    return rows.join(marks, ["scan_part", "file_path"], "left")
 
 
 def _as_json(*names: str) -> str:
@@ -91,11 +91,15 @@ def namespace_rows(files: DataFrame) -> DataFrame:
     )
 
 
-def contributor_rows(stage: DataFrame, files: DataFrame) -> DataFrame:
+def contributor_rows(stage: DataFrame, marks: DataFrame) -> DataFrame:
     """One row per named or numbered author of a revision; addresses and hidden authors have neither."""
-    authors = stage.filter("contributor_id IS NOT NULL OR username IS NOT NULL")
-    authors = authors.select(*POSITION, "contributor_id", "username")
-    return _stamp(authors, files).select(
+    authors = stage.filter("size(authors) > 0").select(
+        "scan_part", *POSITION, F.explode("authors").alias("author")
+    )
+    authors = authors.select(
+        "scan_part", *POSITION, F.col("author.id").alias("contributor_id"), F.col("author.username").alias("username")
+    )
+    return _stamp(authors, marks).select(
         *POSITION,
         strict_long("contributor_id").alias("id"),
         "dbname",
@@ -105,12 +109,13 @@ def contributor_rows(stage: DataFrame, files: DataFrame) -> DataFrame:
     )
 
 
-def revision_rows(stage: DataFrame, files: DataFrame) -> DataFrame:
+def revision_rows(stage: DataFrame, marks: DataFrame) -> DataFrame:
     fields = _as_json(
         "revision_id", "dbname", "parentid", "timestamp", "comment", "model", "format",
         "bytes", "sha1", "contributor_id",
     )
-    return _stamp(stage.filter("has_revision"), files).select(
+    return _stamp(stage.filter("has_revision"), marks).select(
+        "scan_part",
         *POSITION,
         strict_long("revision_id").alias("id"),
         "dbname",
@@ -128,7 +133,7 @@ def revision_rows(stage: DataFrame, files: DataFrame) -> DataFrame:
     )
 
 
-def page_rows(pages: DataFrame, files: DataFrame, zero_defaults: bool = False) -> DataFrame:
+def page_rows(pages: DataFrame, marks: DataFrame, zero_defaults: bool = False) -> DataFrame:
     """Typed pages from assembled ones.
 
     zero_defaults: store 0 instead of NULL for a missing namespace or current revision.
@@ -138,7 +143,9 @@ def page_rows(pages: DataFrame, files: DataFrame, zero_defaults: bool = False) -
         zero = F.lit(0).cast("smallint")
         ns, revision_id = F.coalesce(ns, zero), F.coalesce(revision_id, zero)
     fields = _as_json("page_id", "dbname", "ns", "title", "redirect", "revision_id")
-    return _stamp(pages, files).select(
+    pages = pages.withColumn("scan_part", scan_part())
+    return _stamp(pages, marks).select(
+        "scan_part",
         *POSITION,
         strict_long("page_id").alias("id"),
         "dbname",

@@ -9,7 +9,7 @@ from functools import cached_property, reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dumptables.operators.files import dump_files
+from dumptables.operators.files import dump_files, file_marks
 from dumptables.operators.integrity import (
     at,
     claims,
@@ -21,6 +21,7 @@ from dumptables.operators.integrity import (
     keep_first,
     lost_claims,
     not_at,
+    places,
 )
 from dumptables.operators.metrics import load_totals, pages_per_file
 from dumptables.operators.pages import assemble_pages
@@ -34,15 +35,11 @@ from dumptables.operators.tables import (
     siteinfo_rows,
 )
 from dumptables.schemas import LOAD_ORDER, POSITION, REJECTS, TABLES, ForeignKey, TableSpec
-from dumptables.session import is_bounded, small_side, together, work_folder
+from dumptables.session import SAME_TASK, beside, settings, small_side, together, work_folder
 from dumptables.sinks.base import CallableSink, Sink
 from dumptables.sources.dump import DumpOptions, scan_records
 
 
-# Five short columns per file are joined to its rows; a million files are some 200 MB.
-FILE_ROWS = 1_000_000
-
-
 class RejectedRows(ValueError):
     """A load in mode FAILFAST met a row it would have to set aside."""
 
@@ -65,13 +62,14 @@ class LoadOptions:
 
 @dataclass(frozen=True)
 class Staged:
-    """The parsed dump as written to the work folder, read back from there. ``files`` is
-    hinted for broadcast when counted small; ``pages`` are put together on first use."""
+    """The parsed dump as written to the work folder, read back from there. ``marks`` come
+    to the rows of their scan tasks; ``pages`` are put together on first use."""
 
     spark: SparkSession
     work: str
     segments: DataFrame
     files: DataFrame
+    marks: DataFrame
 
     @cached_property
     def pages(self) -> DataFrame:
@@ -84,10 +82,10 @@ class Staged:
         if table == "namespaces":
             return namespace_rows(self.files)
         if table == "contributor":
-            return contributor_rows(self.segments, self.files)
+            return contributor_rows(self.segments, self.marks)
         if table == "revision":
-            return revision_rows(self.segments, self.files)
-        return page_rows(self.pages, self.files, zero_defaults)
+            return revision_rows(self.segments, self.marks)
+        return page_rows(self.pages, self.marks, zero_defaults)
 
 
 @dataclass(frozen=True)
@@ -109,8 +107,9 @@ def _kept(df: DataFrame, path: str) -> DataFrame:
 def stage(records: DataFrame, work: str) -> Staged:
     """Parse records into the work folder."""
     segments = stage_segments(records, f"{work}/segments")
-    files = small_side(_kept(dump_files(segments), f"{work}/files"), FILE_ROWS)
-    return Staged(records.sparkSession, work, segments, files)
+    files = _kept(dump_files(segments), f"{work}/files")
+    marks = beside(_kept(file_marks(segments, files), f"{work}/marks"))
+    return Staged(records.sparkSession, work, segments, files, marks)
 
 
 class _TableLoad:
@@ -158,18 +157,17 @@ class _TableLoad:
         )
         orphans = _kept(orphans.select(*POSITION), f"{self.work}/orphans_{fk.parent}")
         self._refuse(orphans, fk.reason)
-        self.rows = not_at(self.rows, small_side(orphans))
+        self.rows = not_at(self.rows, beside(places(orphans)))
         self.contested = None
 
     def _refuse(self, positions: DataFrame, reason: str) -> None:
-        refused = at(self.rows, small_side(positions)).withColumn("reason", F.lit(reason))
+        refused = at(self.rows, beside(places(positions))).withColumn("reason", F.lit(reason))
         self.rejects.append(rejected(refused, self.spec.name))
 
     def keep_winners(self) -> None:
         """Leave one row per key that is not stored yet, for keys that should not repeat.
 
-        Wide rows are filtered against whichever side is short: on a first load almost
-        nothing is lost, on a repeated one almost everything.
+        The places of the losers go to the wide rows, never the other way round.
         """
         if self.contested is None:
             self.find_contested()
@@ -185,11 +183,7 @@ class _TableLoad:
         repeated = lost.filter("NOT stored")
         if not repeated.isEmpty():
             self._refuse(repeated, "duplicate_key")
-        if is_bounded(lost):
-            self.rows = not_at(self.rows, F.broadcast(lost))
-        else:
-            won = _kept(not_at(narrow, lost).select(*POSITION), f"{self.work}/won")
-            self.rows = at(self.rows, small_side(won))
+        self.rows = not_at(self.rows, beside(places(lost)))
 
     def keep_first(self) -> None:
         """The same for short rows whose keys are expected to repeat: every revision names
@@ -197,7 +191,7 @@ class _TableLoad:
         first = keep_first(
             self.rows.select(*self.spec.columns, *POSITION), self.spec.key, POSITION
         )
-        stored = self.sink.keys(self.spec, first.select(*self.spec.key))
+        stored = self.sink.keys(self.spec, self.rows.select(*self.spec.key))
         self.rows = first if stored is None else insert_absent(first, stored, self.spec.key)
 
     # -- writes -------------------------------------------------------------------
@@ -240,7 +234,9 @@ def _load_tables(staged: Staged, sink: Sink, work: str, options: LoadOptions) ->
     def all_but_pages() -> None:
         small = [begin(name) for name in ("siteinfo", "namespaces", "contributor")]
         revision = begin("revision")
-        together(staged.spark, *[t.run_keep_first for t in small], revision.find_contested)
+        # A database may enforce the references of the other two to the first.
+        together(staged.spark, small[0].run_keep_first, revision.find_contested)
+        together(staged.spark, *[t.run_keep_first for t in small[1:]])
         refuse_orphans(revision)
         revision.keep_winners()
         together(
@@ -269,10 +265,11 @@ def load_records(
     """Load scanned records. Each use needs a work folder of its own, or that of the very
     load it repeats; a repeated or half-done load then adds only what is missing."""
     sink.ensure()
-    staged = stage(records, work)
-    if options.mode == "FAILFAST":
-        _fail_on_rejects(staged, options)
-    _load_tables(staged, sink, work, options)
+    with settings(records.sparkSession, SAME_TASK):
+        staged = stage(records, work)
+        if options.mode == "FAILFAST":
+            _fail_on_rejects(staged, options)
+        _load_tables(staged, sink, work, options)
     rejects = staged.spark.read.schema(REJECTS).parquet(f"{work}/rejects")
     return LoadReport(
         staged=staged,

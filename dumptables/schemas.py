@@ -140,8 +140,8 @@ REJECTS = _schema(
 
 # --- raw XML shapes -------------------------------------------------------------
 # Leaves stay strings, so that a bad number rejects one row by name instead of
-# leaving it half filled. Scalar tags are arrays because a repeated tag counts by
-# its last non-empty value. Tags not listed here are never materialised.
+# leaving it half filled. Tags are arrays because a repeated tag counts by its last
+# non-empty value, field by field where it has several. Tags not listed here are never materialised.
 
 XML_OPTIONS = {
     "mode": "PERMISSIVE",
@@ -151,15 +151,15 @@ XML_OPTIONS = {
 
 PAGE_XML = """
     id ARRAY<STRING>, ns ARRAY<STRING>, title ARRAY<STRING>,
-    redirect STRUCT<_title: STRING>,
+    redirect ARRAY<STRUCT<_title: STRING>>,
     revision STRUCT<
         id: ARRAY<STRING>, parentid: ARRAY<STRING>, timestamp: ARRAY<STRING>,
         comment: ARRAY<STRING>, model: ARRAY<STRING>, format: ARRAY<STRING>,
-        sha1: ARRAY<STRING>, text: STRUCT<_VALUE: STRING, _bytes: STRING>,
+        sha1: ARRAY<STRING>, text: ARRAY<STRUCT<_VALUE: STRING, _bytes: STRING>>,
         content: ARRAY<STRUCT<
             model: STRING, format: STRING,
             text: STRUCT<_VALUE: STRING, _bytes: STRING>>>,
-        contributor: STRUCT<id: ARRAY<STRING>, username: ARRAY<STRING>>>,
+        contributor: ARRAY<STRUCT<id: ARRAY<STRING>, username: ARRAY<STRING>>>>,
     _corrupt STRING
 """
 
@@ -172,7 +172,9 @@ SITEINFO_XML = """
 
 # One row per piece of a dump: a page head with its first revision, a further
 # revision, or a page end. All values as found in the XML.
+# ``scan_part`` is the scan task that read the piece; the stage is bucketed by it.
 SEGMENTS = _schema(
+    ("scan_part", T.IntegerType()),
     ("file_path", T.StringType()),
     ("block_start", T.LongType()),
     ("row_id", T.LongType()),
@@ -197,5 +199,5 @@ SEGMENTS = _schema(
     ("bytes", T.StringType()),
     ("sha1", T.StringType()),
     ("contributor_id", T.StringType()),
-    ("username", T.StringType()),
+    ("authors", T.ArrayType(_schema(("id", T.StringType()), ("username", T.StringType())))),
 )

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -31,6 +32,34 @@ def work_folder(spark: SparkSession) -> str:
     return f"{shared.rstrip('/')}/dumptables-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Session settings for the time of a block."""
+    before = {key: spark.conf.get(key, None) for key in values}
+    for key, value in values.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
+# A join on the scan task and more finds both sides dealt by the scan task alone.
+SAME_TASK = {"spark.sql.requireAllClusterKeysForCoPartition": "false"}
+
+
+def beside(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """``df`` (with ``scan_part`` among its join columns) hinted to come to the stage's rows:
+    to all tasks when counted small, else to the task that holds the rows of its scan task.
+    Either way the stage's rows stay where they are.
+    """
+    return F.broadcast(df) if is_bounded(df, rows or BROADCAST_ROWS) else df.hint("shuffle_hash")
+
+
 def is_bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
     """Whether ``df`` has at most ``rows`` rows. Meant for written tables, where counting
     reads file footers or a few narrow columns."""

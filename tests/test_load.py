@@ -121,7 +121,6 @@ def test_failfast_writes_nothing(spark, write_dump, sink):
 def test_large_losing_side(spark, write_dump, sink, monkeypatch):
     """Beyond the broadcast bound the exact result comes by the other way."""
     monkeypatch.setattr("dumptables.session.is_bounded", lambda df, rows=0: df.count() <= 2)
-    monkeypatch.setattr("dumptables.plans.load.is_bounded", lambda df, rows=0: df.count() <= 2)
     body = [page(i, revision(100 + i)) for i in range(1, 11)]
     path = write_dump(a=[header("wa"), *body, END], b=[header("wa"), *body, END])
     report = load_dump(spark, path, sink)
@@ -185,3 +184,49 @@ def test_turns_equal_one_batch(spark, write_dump, sink, tmp_path):
     assert [r for r in turned["page"] if r[0] != 50] == [r for r in whole["page"] if r[0] != 50]
     assert len(turned["page"]) == len(whole["page"])
     assert rejects_of_turns(spark, work).filter("table = 'namespaces'").count() == 5
+
+
+def exchanged_columns(df):
+    """Names of the columns that each shuffle of a plan moves."""
+    found = []
+
+    def walk(node):
+        if node.nodeName() == "Exchange":
+            attributes = node.output()
+            found.append({attributes.apply(i).name() for i in range(attributes.size())})
+        children = node.children()
+        for i in range(children.size()):
+            walk(children.apply(i))
+
+    plan = df._jdf.queryExecution().executedPlan()
+    walk(plan.initialPlan() if plan.nodeName() == "AdaptiveSparkPlan" else plan)
+    return found
+
+
+def test_texts_stay_where_they_are(spark, tmp_path, write_dump, monkeypatch):
+    """Beyond every bound, stamps and lost places come to the texts by the scan task."""
+    from dumptables import session
+    from dumptables.operators.integrity import at, not_at, places
+    from dumptables.plans import load
+    from dumptables.sources import scan_records
+
+    pages = [
+        f"<page><title>P{i}</title><ns>0</ns><id>{i}</id><revision><id>{i}</id>"
+        f"<text>text {i}</text></revision></page>\n"
+        for i in range(40)
+    ]
+    files = {f"f{k}": [header(), *pages[k * 10 : k * 10 + 10], END] for k in range(4)}
+    monkeypatch.setattr(session, "BROADCAST_ROWS", -1)
+    with session.settings(
+        spark, {**session.SAME_TASK, "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    ):
+        staged = load.stage(scan_records(spark, write_dump(**files)), f"{tmp_path}/work")
+        rows = staged.rows("revision")
+        lost = places(rows.filter("id % 3 = 0").select("row_id", "seg"))
+        lost.write.parquet(f"{tmp_path}/lost")
+        lost = session.beside(spark.read.parquet(f"{tmp_path}/lost"))
+        for kept, wanted in ((not_at(rows, lost), 26), (at(rows, lost), 14)):
+            moved = exchanged_columns(kept)
+            assert moved and not any("text" in columns for columns in moved)
+            assert kept.count() == wanted
+            assert kept.filter("dbname = 'testwiki' AND text = concat('text ', id)").count() == wanted
