@@ -78,21 +78,27 @@ def claims(rows: DataFrame, contested: DataFrame, key: Sequence[str]) -> DataFra
 
 
 def first_claims(claimed: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Position of the first row of each key that is not stored yet; one row per key."""
-    first = F.min(F.struct(*POSITION)).alias("first")
-    return claimed.filter("NOT stored").groupBy(*key).agg(first)
+    """Position of the first row of each contested key; one row per key.
+
+    Stored keys too: which rows repeat another of the same load does not depend on what an
+    earlier, half-done attempt has stored.
+    """
+    return claimed.groupBy(*key).agg(F.min(F.struct(*POSITION)).alias("first"))
 
 
 def lost_claims(claimed: DataFrame, first: DataFrame, key: Sequence[str]) -> DataFrame:
     """Positions of the rows not to insert: all of a stored key, all but the first of another.
+    ``repeated`` marks those that are not the first of their key in this load.
 
     Join two written tables here: then a key claimed by most rows is either looked up in a
     broadcast side, or its shuffle partition is split by adaptive execution.
     """
+    repeated = F.struct(*POSITION) != F.col("first")
     return (
-        claimed.join(first, list(key), "left")
-        .filter(F.col("stored") | (F.struct(*POSITION) != F.col("first")))
-        .select(*POSITION, "stored")
+        claimed.join(first, list(key))
+        .withColumn("repeated", repeated)
+        .filter("stored OR repeated")
+        .select(*POSITION, "repeated")
     )
 
 

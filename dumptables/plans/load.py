@@ -6,7 +6,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cached_property, reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from dumptables.operators.files import dump_files, file_marks
@@ -47,7 +47,8 @@ class RejectedRows(ValueError):
 @dataclass(frozen=True)
 class LoadOptions:
     """zero_defaults: store 0 for a missing page namespace or current revision.
-    mode: PERMISSIVE sets faulty rows aside; FAILFAST raises before any table is written.
+    mode: PERMISSIVE sets faulty rows aside; FAILFAST raises before any table is written,
+        whatever the reason: values, repeated keys or missing parents.
     foreign_keys: refuse rows that refer to a missing parent.
     """
 
@@ -180,7 +181,7 @@ class _TableLoad:
         )
         first = _kept(first_claims(claimed, key), f"{self.work}/first")
         lost = _kept(lost_claims(claimed, small_side(first), key), f"{self.work}/lost")
-        repeated = lost.filter("NOT stored")
+        repeated = lost.filter("repeated")
         if not repeated.isEmpty():
             self._refuse(repeated, "duplicate_key")
         self.rows = not_at(self.rows, beside(places(lost)))
@@ -250,14 +251,41 @@ def _load_tables(staged: Staged, sink: Sink, work: str, options: LoadOptions) ->
     together(staged.spark, page.write, page.write_rejects)
 
 
-def _fail_on_rejects(staged: Staged, options: LoadOptions) -> None:
-    for spec in LOAD_ORDER:
-        first = rejected(staged.rows(spec.name, options.zero_defaults), spec.name).first()
-        if first is not None:
+class _Rehearsal:
+    """A sink that knows what is stored in another and what would have been added to it."""
+
+    def __init__(self, sink: Sink):
+        self.sink = sink
+        self.added: dict[str, DataFrame] = {}
+
+    def ensure(self) -> None:
+        pass
+
+    def keys(self, spec: TableSpec, new: DataFrame) -> DataFrame | None:
+        stored, added = self.sink.keys(spec, new), self.added.get(spec.name)
+        if stored is None or added is None:
+            return added if stored is None else stored
+        return stored.union(added)
+
+    def append(self, spec: TableSpec, rows: DataFrame) -> None:
+        self.added[spec.name] = rows.select(*spec.key)
+
+
+def _fail_on_rejects(staged: Staged, sink: Sink, work: str, options: LoadOptions) -> None:
+    """Raise on the first reject: faulty values first, table by table, then all other checks of
+    a load, done without writing to the sink."""
+
+    def fail(found: Row | None) -> None:
+        if found is not None:
             raise RejectedRows(
-                f"{first['table']}: {first['reason']} at {first['file_path']}: {first['raw']}"
+                f"{found['table']}: {found['reason']} at {found['file_path']}: {found['raw']}"
             )
 
+    for spec in LOAD_ORDER:
+        fail(rejected(staged.rows(spec.name, options.zero_defaults), spec.name).first())
+    _load_tables(staged, _Rehearsal(sink), work, options)
+    fail(staged.spark.read.schema(REJECTS).parquet(f"{work}/rejects").first())
+
 
 def load_records(
     records: DataFrame, sink: Sink, work: str, options: LoadOptions = LoadOptions()
@@ -268,7 +296,7 @@ def load_records(
     with settings(records.sparkSession, SAME_TASK):
         staged = stage(records, work)
         if options.mode == "FAILFAST":
-            _fail_on_rejects(staged, options)
+            _fail_on_rejects(staged, sink, f"{work}/rehearsal", options)
         _load_tables(staged, sink, work, options)
     rejects = staged.spark.read.schema(REJECTS).parquet(f"{work}/rejects")
     return LoadReport(

@@ -230,3 +230,76 @@ def test_texts_stay_where_they_are(spark, tmp_path, write_dump, monkeypatch):
             assert moved and not any("text" in columns for columns in moved)
             assert kept.count() == wanted
             assert kept.filter("dbname = 'testwiki' AND text = concat('text ', id)").count() == wanted
+
+
+def revision_dump(*ids, author=""):
+    pages = [
+        f"<page><title>P</title><ns>0</ns><id>{n}</id><revision><id>{i}</id>{author}"
+        f"<text>t{n}</text></revision></page>\n"
+        for n, i in enumerate(ids)
+    ]
+    return [header(), *pages, END]
+
+
+class Recording:
+    """A sink in memory of the names of the tables written, which may break once."""
+
+    def __init__(self, sink, break_after=None):
+        self.sink, self.break_after, self.names = sink, break_after, []
+
+    def ensure(self):
+        self.sink.ensure()
+
+    def keys(self, spec, new):
+        return self.sink.keys(spec, new)
+
+    def append(self, spec, rows):
+        self.sink.append(spec, rows)
+        self.names.append(spec.name)
+        if spec.name == self.break_after:
+            self.break_after = None
+            raise OSError("the sink broke")
+
+
+def test_tables_follow_those_they_refer_to(spark, write_dump, tmp_path):
+    sink = Recording(ParquetSink(spark, f"{tmp_path}/tables"))
+    load_dump(spark, write_dump(a=revision_dump(1, 2)), sink)
+    assert sink.names[0] == "siteinfo" and sorted(sink.names[1:3]) == ["contributor", "namespaces"]
+    assert sink.names[3:] == ["revision", "page"]
+
+
+def test_repeated_keys_are_reported_after_a_crash(spark, write_dump, tmp_path):
+    dump = write_dump(a=revision_dump(1, 2, 2, 3, 3, 3))
+    undisturbed = load_dump(spark, dump, ParquetSink(spark, f"{tmp_path}/one")).rejects
+    sink = Recording(ParquetSink(spark, f"{tmp_path}/two"), break_after="revision")
+    with pytest.raises(OSError):
+        load_dump(spark, dump, sink, work=f"{tmp_path}/work")
+    replayed = load_dump(spark, dump, sink, work=f"{tmp_path}/work").rejects
+    columns = ["table", "reason", "row_id", "seg"]
+    assert rows_of(replayed, *columns) == rows_of(undisturbed, *columns)
+    assert replayed.filter("reason = 'duplicate_key'").count() == 3
+
+
+@pytest.mark.parametrize(
+    "pages", [revision_dump(1, 1), revision_dump(1, author="<contributor><id>x</id></contributor>")]
+)
+def test_failfast_raises_before_anything_is_written(spark, write_dump, tmp_path, pages):
+    sink = Recording(ParquetSink(spark, f"{tmp_path}/tables"))
+    with pytest.raises(RejectedRows):
+        load_dump(spark, write_dump(a=pages), sink, options=LoadOptions(mode="FAILFAST"))
+    assert sink.names == []
+
+
+def test_repeated_structured_tags(spark, write_dump, tmp_path):
+    page = (
+        '<page><title>P</title><ns>0</ns><id>1</id><redirect title="A"/><redirect/><revision><id>5</id>'
+        "<contributor><username>n</username><id>7</id></contributor>"
+        "<contributor><username>other</username></contributor>"
+        '<text bytes="3">abc</text><text/></revision></page>\n'
+    )
+    sink = ParquetSink(spark, f"{tmp_path}/tables")
+    report = load_dump(spark, write_dump(a=[header(), page, END]), sink)
+    assert rows_of(sink.read("page"), "redirect") == [("A",)]
+    assert rows_of(sink.read("revision"), "contributor_id", "text", "bytes") == [(7, "abc", 3)]
+    assert rows_of(sink.read("contributor"), "id", "username") == [(7, "n")]
+    assert rows_of(report.rejects.filter("table = 'contributor'"), "reason") == [("no_id",)]

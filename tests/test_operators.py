@@ -119,3 +119,51 @@ def test_ddl():
         'alter table revision add constraint dbname_fk foreign key ("dbname") '
         'references siteinfo ("dbname")',
     ]
+
+
+def test_numbers_and_instants_end_where_their_text_does(spark):
+    from dumptables.functions import instant_seconds, strict_long, strict_short
+
+    texts = [("7\n", "2024-01-01T00:00:00Z\n"), ("7 ", "2024-01-01T24:00:00Z"), ("7", "2024-01-01T00:00:00Z")]
+    found = spark.createDataFrame(texts, "n string, t string").select(
+        strict_long("n"), strict_short("n"), instant_seconds("t")
+    ).collect()
+    assert [tuple(r) for r in found[:2]] == [(None, None, None)] * 2
+    assert None not in tuple(found[2])
+
+
+def test_jdbc_statements(spark):
+    from dumptables import JdbcSink
+    from dumptables.sinks.jdbc import SQL_TYPES, MissingTables, column_ddl
+
+    class Fake(JdbcSink):
+        stored: dict = {}
+        written: list = []
+
+        def _stored_columns(self, spec):
+            return self.stored.get(spec.name, set())
+
+        def append(self, spec, rows):
+            self.written.append((spec.name, rows.columns))
+
+    sink = Fake(spark, JdbcOptions(name="wiki", user="me", password="secret"))
+    page = TABLES["page"]
+    assert "createTableColumnTypes" not in sink.writer_options(page)
+    assert "current_schema()" in sink.columns_query(page)
+    statements = sink.statements()
+    assert len(statements) == 5 * 2 + sum(len(t.foreign_keys) for t in TABLES.values())
+    assert all(s.startswith("alter") for s in statements[10:])
+    sink.ensure()
+    assert [name for name, _ in sink.written] == list(TABLES)
+    sink.stored = {t.name: set(t.columns) for t in TABLES.values()} | {"page": {"id", "dbname"}}
+    assert sink.statements() == column_ddl(page, {"id", "dbname"})
+    assert 'add column "title" text' in "; ".join(sink.statements())
+    with pytest.raises(MissingTables):
+        sink.ensure()
+    # The dialect maps Spark's types to those stated in the statements.
+    dialects = spark._jvm.org.apache.spark.sql.jdbc.JdbcDialects.get("jdbc:postgresql://h/d")
+    for kind, name in SQL_TYPES.items():
+        parsed = spark._jvm.org.apache.spark.sql.types.DataType.fromJson(kind.json())
+        mapped = dialects.getJDBCType(parsed)
+        if mapped.isDefined():
+            assert mapped.get().databaseTypeDefinition().lower().startswith(name)
