@@ -10,6 +10,7 @@ import os
 import sys
 import uuid
 from collections.abc import Callable
+from functools import lru_cache
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -218,6 +219,37 @@ def lookup_layout(spark, sf_dir):
     )
 
 
+@lru_cache(maxsize=None)
+def _lookup_tables(spark, sf_dir) -> CatalogSink:
+    """The documents loaded into tables bucketed and sorted for lookups."""
+    sink = CatalogSink(spark, _unique_database(), buckets=8, location=f"{work_folder(spark)}/db")
+    load_dump(
+        spark, dump(spark, sf_dir, "documents"), sink,
+        work=work_folder(spark), source=EVERY_FOLDER,
+    )
+    return sink
+
+
+def lookup_by_title(spark, sf_dir):
+    """The page each redirect of the corpus leads to, in its own wiki. Pages are bucketed by
+    title, so only the titles looked up are moved."""
+    pages = _lookup_tables(spark, sf_dir).read("page")
+    wanted = _table(spark, sf_dir, "documents").filter("doc_id % 10 = 0").select(
+        F.concat(F.lit("Doc "), (F.col("doc_id") + 1).cast("string")).alias("title"),
+        F.concat("lang", F.lit("wiki")).alias("from_wiki"),
+    )
+    return op.look_up(pages, wanted, "title").select("title", "from_wiki", "dbname", "id", "revision_id")
+
+
+def lookup_by_username(spark, sf_dir):
+    """Ids of the authors named after a document."""
+    authors = _lookup_tables(spark, sf_dir).read("contributor")
+    wanted = _table(spark, sf_dir, "documents").select(
+        F.concat(F.lit("u"), F.col("doc_id").cast("string")).alias("username")
+    )
+    return op.look_up(authors, wanted, "username").select("username", "dbname", "id")
+
+
 def added_columns(spark, sf_dir):
     """A load into a catalog whose page table lacks columns."""
     database, place = _unique_database(), f"{work_folder(spark)}/db"
@@ -327,7 +359,7 @@ QUERIES = (
     pages_per_file, load_totals,
     load_counts, load_again, rejects, faulty_page, faulty_revision, faulty_pages_per_wiki,
     verify,
-    lookup_layout, added_columns,
+    lookup_layout, lookup_by_title, lookup_by_username, added_columns,
     stream_page, stream_progress,
     insert_absent, duplicate_keys, keep_first,
     fk_violations, fk_accepted, fk_missing_keys, fk_page_namespaces,
@@ -553,6 +585,17 @@ SQL = {
                CASE WHEN doc_id % 5 > 1 THEN doc_id % 37 END AS contributor_id
         FROM documents
     """,
+    "lookup_by_title": """
+        SELECT 'Doc ' || p.doc_id AS title, d.lang || 'wiki' AS from_wiki,
+               p.lang || 'wiki' AS dbname, p.doc_id AS id, p.doc_id + 1000000 AS revision_id
+        FROM documents d JOIN documents p ON p.doc_id = d.doc_id + 1
+        WHERE d.doc_id % 10 = 0
+    """,
+    "lookup_by_username": """
+        SELECT 'u' || doc_id AS username, lang || 'wiki' AS dbname, doc_id % 37 AS id
+        FROM documents WHERE doc_id % 5 > 1
+        QUALIFY row_number() OVER (PARTITION BY doc_id % 37, lang ORDER BY doc_id) = 1
+    """,
     "added_columns": _PAGE,
     "stream_page": _PAGE,
     "stream_progress": f"""

@@ -6,6 +6,7 @@ from dumptables.operators.integrity import (
     fk_violations,
     insert_absent,
     keep_first,
+    look_up,
 )
 from dumptables.operators.metrics import load_totals, pages_per_file, running_totals
 from dumptables.operators.pages import assemble_pages
@@ -31,6 +32,7 @@ __all__ = [
     "insert_absent",
     "keep_first",
     "load_totals",
+    "look_up",
     "namespace_rows",
     "page_rows",
     "pages_per_file",

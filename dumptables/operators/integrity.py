@@ -139,3 +139,12 @@ def fk_violations(child: DataFrame, missing: DataFrame, fk: ForeignKey) -> DataF
 def fk_accepted(child: DataFrame, missing: DataFrame, fk: ForeignKey) -> DataFrame:
     """Child rows whose reference is met or absent."""
     return child.join(missing.select(*fk.columns), list(fk.columns), "left_anti")
+
+
+def look_up(table: DataFrame, wanted: DataFrame, column: str) -> DataFrame:
+    """Rows of ``table`` for each value of ``column`` in ``wanted``, with its other columns.
+
+    A table bucketed by the column is read as it lies: the values looked up are dealt into its
+    buckets, or broadcast if Spark finds them small.
+    """
+    return wanted.join(table, column)

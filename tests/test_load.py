@@ -303,3 +303,21 @@ def test_repeated_structured_tags(spark, write_dump, tmp_path):
     assert rows_of(sink.read("revision"), "contributor_id", "text", "bytes") == [(7, "abc", 3)]
     assert rows_of(sink.read("contributor"), "id", "username") == [(7, "n")]
     assert rows_of(report.rejects.filter("table = 'contributor'"), "reason") == [("no_id",)]
+
+
+def test_lookups_read_one_bucket_and_move_no_table(spark, write_dump, tmp_path):
+    from dumptables.operators import look_up
+    from dumptables.session import settings
+
+    sink = CatalogSink(spark, "lookups", buckets=4, location=f"{tmp_path}/db")
+    load_dump(spark, write_dump(a=revision_dump(*range(1, 30))), sink)
+    pages = sink.read("page")
+    # Buckets are skipped in any case; a plan says so only where it also counts on buckets.
+    with settings(spark, {"spark.sql.sources.bucketing.autoBucketedScan.enabled": "false"}):
+        plan = pages.filter("title = 'P'")._jdf.queryExecution().executedPlan().toString()
+    assert "SelectedBucketsCount: 1 out of 4" in plan
+    wanted = spark.createDataFrame([("P", 1), ("none", 2)], "title string, n int")
+    with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        found = look_up(pages, wanted, "title")
+        assert exchanged_columns(found) == [{"title", "n"}]
+        assert found.count() == 29
