@@ -79,6 +79,15 @@ def contributor_first_writer(spark, sf_dir):
     return _first_rows(staged(spark, sf_dir, "documents").rows("contributor"), "contributor")
 
 
+def multistream_page(spark, sf_dir):
+    """Pages of files that consist of many bz2 streams and are read in many splits each."""
+    return op.valid(staged(spark, sf_dir, "multistream").rows("page"), "page")
+
+
+def multistream_revision(spark, sf_dir):
+    return op.valid(staged(spark, sf_dir, "multistream").rows("revision"), "revision")
+
+
 def page_current_revision(spark, sf_dir):
     pages = op.valid(staged(spark, sf_dir, "conversations").rows("page"), "page")
     return pages.select("id", "dbname", "ns", "title", "revision_id")
@@ -354,6 +363,7 @@ def fk_page_namespaces(spark, sf_dir):
 
 QUERIES = (
     siteinfo, namespaces, page, revision, contributor_first_writer,
+    multistream_page, multistream_revision,
     page_current_revision, revision_history, contributor_history, page_zero_defaults,
     order_page, order_contributor, order_revision, order_rejects,
     pages_per_file, load_totals,
@@ -375,6 +385,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 # --- the same in SQL on the given tables ----------------------------------------------
 
+_REVISION = """
+    SELECT doc_id + 1000000 AS id, lang || 'wiki' AS dbname,
+           CASE WHEN doc_id % 4 <> 0 THEN doc_id + 999999 END AS parentid,
+           TIMESTAMP '2024-01-01 00:00:00' + doc_id * INTERVAL 1 SECOND AS "timestamp",
+           CASE WHEN doc_id % 5 <> 0 THEN 'c & d ' || doc_id END AS comment,
+           'wikitext' AS model, 'text/x-wiki' AS format, text,
+           CAST(strlen(text) AS BIGINT) AS bytes, md5(text) AS sha1,
+           CASE WHEN doc_id % 5 > 1 THEN doc_id % 37 END AS contributor_id
+    FROM documents
+"""
+
 _PAGE = """
     SELECT doc_id AS id, lang || 'wiki' AS dbname,
            CASE WHEN doc_id % 13 = 0 THEN NULL
@@ -429,20 +450,13 @@ SQL = {
              (VALUES (-2, 'Media'), (0, NULL), (1, 'Talk'), (4, 'Project')) AS s(k, name)
     """,
     "page": _PAGE,
-    "revision": """
-        SELECT doc_id + 1000000 AS id, lang || 'wiki' AS dbname,
-               CASE WHEN doc_id % 4 <> 0 THEN doc_id + 999999 END AS parentid,
-               TIMESTAMP '2024-01-01 00:00:00' + doc_id * INTERVAL 1 SECOND AS "timestamp",
-               CASE WHEN doc_id % 5 <> 0 THEN 'c & d ' || doc_id END AS comment,
-               'wikitext' AS model, 'text/x-wiki' AS format, text,
-               CAST(strlen(text) AS BIGINT) AS bytes, md5(text) AS sha1,
-               CASE WHEN doc_id % 5 > 1 THEN doc_id % 37 END AS contributor_id
-        FROM documents
-    """,
+    "revision": _REVISION,
     "contributor_first_writer": f"""
         SELECT doc_id % 37 AS id, lang || 'wiki' AS dbname, 'u' || min(doc_id) AS username
         FROM {_AUTHORS} GROUP BY 1, 2
     """,
+    "multistream_page": _PAGE,
+    "multistream_revision": _REVISION,
     "page_current_revision": f"""
         SELECT conv_id AS id, 'convwiki' AS dbname, CAST(0 AS SMALLINT) AS ns,
                'Conv ' || conv_id AS title, conv_id * {TURNS} + min(turn) + 1 AS revision_id

@@ -7,10 +7,16 @@ job grows by files, not by file size.
 
 from __future__ import annotations
 
+import bz2
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 PAGES_PER_FILE = 500
+PAGES_PER_STREAM = 100
 ORDERS_PER_FILE = 5_000
 TURNS = 1_000_000  # room for revision ids within one conversation
 NAMESPACES = (("-2", "Media"), ("0", ""), ("1", "Talk"), ("4", "Project"))
@@ -283,3 +289,58 @@ def render_faulty(spark: SparkSession, sf_dir: str, path: str) -> None:
     write_dump(
         faulty_pages(documents(spark, sf_dir)), path, header(F.col("wiki"), site, named), tail
     )
+
+
+def write_multistream(pages: DataFrame, path: str, head: Column) -> None:
+    """Write ``wiki, site, seq, xml`` as one file per wiki, as large dumps are published: a bz2
+    stream with the header, one for every hundred pages, and one with the end, joined.
+
+    Streams are compressed by all tasks; only finished ones meet in a wiki's file. ``path`` must
+    be a place that pyarrow can open.
+    """
+    streams = pages.groupBy("wiki", F.expr(f"seq div {PAGES_PER_STREAM}").alias("nth")).agg(
+        F.array_join(
+            F.transform(F.array_sort(F.collect_list(F.struct("seq", "xml"))), lambda x: x["xml"]), "\n"
+        ).alias("xml")
+    )
+    edges = pages.groupBy("wiki").agg(F.first("site").alias("site"))
+    first = edges.select("wiki", F.lit(-1).cast("bigint").alias("nth"), head.alias("xml"))
+    last = edges.select("wiki", F.lit((1 << 63) - 1).alias("nth"), F.lit("</mediawiki>\n").alias("xml"))
+
+    def compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            body = [bz2.compress(x.as_py().encode(), 1) for x in batch.column(2)]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:2], pa.array(body, pa.binary())], ["wiki", "nth", "body"]
+            )
+
+    def join_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_wiki, out, done = None, None, []
+        store, folder = fs.FileSystem.from_uri(path)
+        store.create_dir(folder)
+        for batch in batches:
+            for wiki, body in zip(batch.column(0), batch.column(2), strict=True):
+                if wiki.as_py() != open_wiki:
+                    if out is not None:
+                        out.close()
+                    open_wiki = wiki.as_py()
+                    out = store.open_output_stream(f"{folder}/{open_wiki}.xml.bz2", compression=None)
+                    done.append(open_wiki)
+                out.write(body.as_py())
+        if out is not None:
+            out.close()
+        yield pa.RecordBatch.from_arrays([pa.array(done, pa.string())], ["wiki"])
+
+    every = streams.select("wiki", "nth", "xml").union(first).union(last)
+    packed = every.repartition(F.col("wiki"), F.col("nth")).mapInArrow(
+        compress, "wiki string, nth bigint, body binary"
+    )
+    dealt = packed.repartition("wiki").sortWithinPartitions("wiki", "nth")
+    dealt.mapInArrow(join_up, "wiki string").count()
+
+
+def render_multistream(spark: SparkSession, sf_dir: str, path: str) -> None:
+    uri = path if "://" in path or path.startswith("file:") else f"file://{path}"
+    write_multistream(
+        document_pages(documents(spark, sf_dir)), uri, header(F.col("wiki"), F.col("site"))
+    )

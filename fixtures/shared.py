@@ -8,7 +8,7 @@ from pyspark.sql import SparkSession
 
 from dumptables import DumpOptions, LoadReport, ParquetSink, load_dump
 from dumptables.plans import Staged, stage
-from dumptables.session import work_folder
+from dumptables.session import settings, work_folder
 from dumptables.sources import scan_records
 from fixtures import render
 
@@ -17,7 +17,10 @@ RENDERERS = {
     "conversations": render.render_conversations,
     "orders": render.render_orders,
     "faulty": render.render_faulty,
+    "multistream": render.render_multistream,
 }
+# Files of several streams are read in splits smaller than a file.
+SPLITS = {"multistream": {"spark.sql.files.maxPartitionBytes": "32768"}}
 EVERY_FOLDER = DumpOptions(recursive=True)
 
 
@@ -32,8 +35,9 @@ def dump(spark: SparkSession, sf_dir: str, name: str) -> str:
 @lru_cache(maxsize=None)
 def staged(spark: SparkSession, sf_dir: str, name: str) -> Staged:
     """The dump scanned and parsed."""
-    records = scan_records(spark, dump(spark, sf_dir, name), EVERY_FOLDER)
-    return stage(records, work_folder(spark))
+    folder = dump(spark, sf_dir, name)
+    with settings(spark, SPLITS.get(name, {})):
+        return stage(scan_records(spark, folder, EVERY_FOLDER), work_folder(spark))
 
 
 @lru_cache(maxsize=None)

@@ -48,3 +48,9 @@ def test_query(spark, database, name):
 
 def test_entry(spark):
     assert entry_points.entry(spark).count() > 0
+
+
+def test_multistream_files_are_read_in_splits(spark):
+    pieces = entry_points.staged(spark, entry_points.SMALL, "multistream").segments
+    splits = pieces.select("file_path", "block_start").distinct().count()
+    assert splits > pieces.select("file_path").distinct().count()
