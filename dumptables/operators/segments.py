@@ -150,7 +150,7 @@ def to_segments(records: DataFrame) -> DataFrame:
     return parse(cut(records))
 
 
-def stage_segments(records: DataFrame, path: str) -> DataFrame:
+def stage_segments(records: DataFrame, path: str, name: str | None = None) -> DataFrame:
     """Decompress and parse once, keep the result as Parquet, and read from there.
 
     Five tables are built from it, each reading only its own columns. A lost executor
@@ -158,11 +158,11 @@ def stage_segments(records: DataFrame, path: str) -> DataFrame:
     shuffled by nothing: every scan task writes its own file. As that file is a bucket of
     its own, later joins on the scan task leave the texts where they are.
 
-    The table's name is an entry of the session catalog; its files lie at ``path``.
+    ``name`` is an entry of the session catalog, new by default; the files lie at ``path``.
     """
     spark = records.sparkSession
     tasks = min(max(records.rdd.getNumPartitions(), 1), MOST_BUCKETS)
-    name = f"stage_{uuid.uuid4().hex}"
+    name = name or f"stage_{uuid.uuid4().hex}"
     with settings(spark, {"spark.sql.maxConcurrentOutputFileWriters": "4"}):  # no sort by bucket
         (
             to_segments(records)

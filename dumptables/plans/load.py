@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cached_property, reduce
@@ -71,6 +72,13 @@ class Staged:
     segments: DataFrame
     files: DataFrame
     marks: DataFrame
+    name: str
+
+    def discard(self) -> None:
+        """Give up the parsed dump and all other intermediate tables of the load."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.work)
+        folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
 
     @cached_property
     def pages(self) -> DataFrame:
@@ -107,10 +115,11 @@ def _kept(df: DataFrame, path: str) -> DataFrame:
 
 def stage(records: DataFrame, work: str) -> Staged:
     """Parse records into the work folder."""
-    segments = stage_segments(records, f"{work}/segments")
+    name = f"stage_{uuid.uuid4().hex}"
+    segments = stage_segments(records, f"{work}/segments", name)
     files = _kept(dump_files(segments), f"{work}/files")
     marks = beside(_kept(file_marks(segments, files), f"{work}/marks"))
-    return Staged(records.sparkSession, work, segments, files, marks)
+    return Staged(records.sparkSession, work, segments, files, marks, name)
 
 
 class _TableLoad:

@@ -43,6 +43,8 @@ def load_in_turns(
         report.totals.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode(
             "overwrite"
         ).parquet(f"{work}/progress/turn={batch_id}")
+        # What the turn found is saved; its copy of the dump is not needed again.
+        report.staged.discard()
 
     query = (
         stream_records(spark, path, files_per_turn, source)

@@ -321,3 +321,10 @@ def test_lookups_read_one_bucket_and_move_no_table(spark, write_dump, tmp_path):
         found = look_up(pages, wanted, "title")
         assert exchanged_columns(found) == [{"title", "n"}]
         assert found.count() == 29
+
+
+def test_turns_leave_no_copy_of_the_dump(spark, write_dump, tmp_path):
+    sink = ParquetSink(spark, f"{tmp_path}/tables")
+    load_in_turns(spark, write_dump(a=revision_dump(1), b=revision_dump(2)), sink, work=f"{tmp_path}/work", files_per_turn=1)
+    assert sink.read("revision").count() == 2
+    assert not list((tmp_path / "work" / "turns").iterdir())
