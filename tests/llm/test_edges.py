@@ -136,9 +136,7 @@ def test_toxicity(docs, labels):
 def test_exact_dedup(docs):
     kept = exact_dedup.exact_dedup(docs)
     assert kept.columns == docs.columns
-    expected = {" ".join(brute.SPACE.split(t or "")) if t else "" for _, t in TEXTS}
     assert kept.count() == len({brute.SPACE.sub(" ", t or "") for _, t in TEXTS})
-    assert expected
     assert rows_of(kept.filter("text LIKE 'One%'"), "doc_id") == [(1,)]
     assert rows_of(kept.filter("text IS NULL OR text = ''"), "doc_id") == [(3,)]
 
