@@ -42,7 +42,7 @@ WINDOW = 50
 GRAM = 8
 BUCKET_BITS = 24  # 2 MiB
 LONGEST = 200  # windows in one string
-CROWDED = 1000  # different strings from which on a bucket's windows are dealt out
+CROWDED = 100_000  # different strings, some 60 MB, from which on a bucket's windows are dealt out
 
 
 def _runs(words: list[bytes], window: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -116,13 +116,64 @@ def packed_strings(docs: DataFrame, raw: bytes, window: int, gram: int) -> DataF
     )
 
 
+def _bounds(packed: bytes, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where the windows of a packed string begin and end, in bytes."""
+    sizes = np.fromiter(map(len, packed.split(b" ")), np.int32)
+    stops = np.cumsum(sizes + 1, dtype=np.int32) - 1
+    starts = stops - sizes
+    ends = stops[window - 1 :]
+    return starts[: len(ends)], ends
+
+
 def _windows(packed: bytes, window: int) -> list[bytes]:
-    """Every window of a packed string, as bytes."""
-    sizes = np.fromiter(map(len, packed.split(b" ")), np.int64)
-    stops = np.cumsum(sizes + 1) - 1
-    starts = (stops - sizes).tolist()
-    ends = stops[window - 1 :].tolist()
-    return [packed[a:b] for a, b in zip(starts, ends, strict=False)]
+    starts, ends = _bounds(packed, window)
+    return [packed[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+
+
+def _first_documents(strings: list[tuple[bytes, int, int]], window: int) -> list[list[int | None]]:
+    """For each string (packed, low, high) of a bucket the smallest doc_id of each of its
+    windows, or None where that is the only one.
+
+    Windows are sorted by hash and those with one hash compared by their bytes. Besides the
+    strings only hashes and bounds are held.
+    """
+    digest = xxhash.xxh64_intdigest
+    bounds = [_bounds(packed, window) for packed, _, _ in strings]
+    hashes = np.concatenate(
+        [np.array([digest(w, SEED) for w in _windows(packed, window)], np.uint64) for packed, _, _ in strings]
+    )
+    counts = [len(starts) for starts, _ in bounds]
+    owner = np.repeat(np.arange(len(strings)), counts)
+    place = np.concatenate([np.arange(n) for n in counts])
+    low = np.array([x[1] for x in strings], np.int64)[owner]
+    high = np.array([x[2] for x in strings], np.int64)[owner]
+
+    def body(at: int) -> bytes:
+        k, i = owner[at], place[at]
+        return strings[k][0][bounds[k][0][i] : bounds[k][1][i]]
+
+    order = np.argsort(hashes, kind="stable")
+    cuts = np.flatnonzero(np.diff(hashes[order])) + 1
+    heads = np.concatenate([[0], cuts])
+    first, last = np.minimum.reduceat(low[order], heads), np.maximum.reduceat(high[order], heads)
+    sizes = np.diff(np.append(heads, len(order)))
+    first, last = np.repeat(first, sizes), np.repeat(last, sizes)
+    for head, size in zip(heads[sizes > 1].tolist(), sizes[sizes > 1].tolist(), strict=True):
+        members = order[head : head + size].tolist()
+        one = body(members[0])
+        if all(body(m) == one for m in members):
+            continue
+        apart: dict[bytes, list[int]] = {}  # several windows under one hash
+        for at, m in enumerate(members, head):
+            apart.setdefault(body(m), []).append(at)
+        for same in apart.values():
+            first[same], last[same] = low[order[same]].min(), high[order[same]].max()
+    found = np.empty(len(order), np.int64)
+    shared = np.empty(len(order), bool)
+    found[order], shared[order] = first, first < last
+    values = [x if y else None for x, y in zip(found.tolist(), shared.tolist(), strict=True)]
+    ends = np.cumsum(counts).tolist()
+    return [values[b - n : b] for b, n in zip(ends, counts, strict=True)]
 
 
 _FIRSTS = "bucket bigint, name bigint, firsts array<bigint>"
@@ -133,25 +184,10 @@ def _sorted_buckets(strings: DataFrame, window: int) -> DataFrame:
     where there is no other."""
 
     def firsts(rows: list[tuple]) -> Iterator[tuple]:
-        all_windows = [
-            (w, low, high, i, k)
-            for i, (_, _, packed, low, high) in enumerate(rows)
-            for k, w in enumerate(_windows(packed, window))
-        ]
-        all_windows.sort(key=lambda x: x[0])
-        found: list[list] = [[] for _ in rows]
-        for _, same in groupby(all_windows, key=lambda x: x[0]):
-            same = list(same)
-            low, high = min(x[1] for x in same), max(x[2] for x in same)
-            if low < high:
-                for x in same:
-                    found[x[3]].append((x[4], low))
+        found = _first_documents([row[2:] for row in rows], window)
         for (bucket, name, *_), own in zip(rows, found, strict=True):
-            if own:
-                values = [None] * (max(k for k, _ in own) + 1)
-                for k, low in own:
-                    values[k] = low
-                yield bucket, name, values
+            if any(x is not None for x in own):
+                yield bucket, name, own
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
