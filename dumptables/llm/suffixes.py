@@ -259,11 +259,11 @@ def repeated_spans(docs: DataFrame, cut: DataFrame) -> DataFrame:
     seen = cut.filter("doc_id IS NOT NULL").select("doc_id", F.explode("keys").alias("hash"))
     shared = seen.groupBy("hash").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
     raw = local_bitmap(shared.filter("low < high").select("hash"), KEY_BITS)
-    kept = written(kept_suffixes(known, raw), "suffixes")
+    kept = written(kept_suffixes(known, raw), "suffixes", "zstd")
     contexts = kept.groupBy("key", "name", "ahead", "behind").agg(
         F.min("doc_id").cast("bigint").alias("low"), F.max("doc_id").cast("bigint").alias("high")
     )
-    contexts = written(contexts, "contexts")
+    contexts = written(contexts, "contexts", "zstd")
     groups = contexts.groupBy("key").agg(F.min("low").alias("a"), F.max("high").alias("b"))
     contexts = contexts.join(groups.filter("a < b").select("key"), "key", "left_semi")
     matches = compare_neighbours(contexts).union(compare_with_first(contexts)).distinct()
