@@ -242,3 +242,31 @@ def test_pipeline(spark):
     clean = {i for i, n, hit, _ in report if not (hit and 20 * hit >= n)}
     assert set(rows["benchmark decontamination"]) == clean == set(rows["SentencePiece"])
     assert corpus_pipeline.run(spark, SMALL).select(F.count("*")).first()[0] == len(clean)
+
+
+def test_near_copies_are_those_of_the_similarity(spark):
+    """Pairs just over Jaccard 0.8 lose one, long and short; pairs at 0.6 to 0.79 keep both."""
+    random.seed(12)
+    word = lambda: f"w{random.randrange(10**6)}"
+    shingles = lambda w: {tuple(w[k : k + 5]) for k in range(len(w) - 4)}
+    rows, near = [], {}
+    for i in range(400):
+        n = random.choice([9, 12, 40, 150])
+        lowest, highest = (0.8, 0.84) if i % 2 else (0.6, 0.8)
+        base = [word() for _ in range(n)]
+        while True:
+            copy = list(base)
+            for at in random.sample(range(n), random.randint(0, max(1, n // 20))):
+                copy[at] = word()
+            copy += [word() for _ in range(random.randint(0, max(1, n // 6)))]
+            a, b = shingles(base), shingles(copy)
+            similarity = len(a & b) / len(a | b)
+            if lowest <= similarity < highest:
+                break
+        rows += [(2 * i, " ".join(base)), (2 * i + 1, " ".join(copy))]
+        near[2 * i + 1] = similarity >= 0.8
+    # One shingle fills most of these texts and decides all bits of a fingerprint that counts it.
+    rows += [(1000 + i, "a " * 60 + " ".join(word() for _ in range(30))) for i in range(4)]
+    kept = simhash.one_of_each(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    gone = {i for i, _ in rows} - {r.doc_id for r in kept.collect()}
+    assert gone == {i for i, close in near.items() if close}
