@@ -12,9 +12,13 @@ agreeing suffixes so far, and with the smallest doc_id of its group; neighbours
 of partitions are compared too. A match is extended word by word to both sides; if it has
 ``PASSAGE`` words, they go from every document but those of smaller or equal doc_id.
 
+A neighbour in this order need not share the words to the left. So each kept suffix is compared
+once more for every left extension of 0 to ``BEHIND`` words, by a 128-bit hash of the ``PASSAGE``
+words that begin there: suffixes with equal ones form a run, and all learn its smallest doc_id.
+Every passage lies in the words kept with its suffix, so no match is missed.
+
 No word goes that does not stand in such a passage of a document of smaller doc_id, so one copy
-of everything stays. Where many documents share different parts of one neighbourhood, a match
-with a document that is none of those compared can be missed.
+of everything stays.
 
 Nulls and ties: as for super-k-mers. A null text has no words; rows with a null doc_id neither
 change nor count; rows that share a doc_id are told apart by their text.
@@ -253,6 +257,39 @@ def compare_with_first(contexts: DataFrame) -> DataFrame:
     )
 
 
+def compare_windows(contexts: DataFrame) -> DataFrame:
+    """key, name, first, mask of each suffix: bit e is set if ``first`` is the smallest doc_id
+    that has the PASSAGE words from e words to its left on, and a later one has the suffix."""
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows_of(batches):
+            taken, windows, extensions = [], [], []
+            for k, (right, left) in enumerate(zip(*batch.columns[2:4], strict=True)):
+                ahead, behind = right.as_py().split(), left.as_py().split()
+                run = behind[::-1] + ahead
+                for e in range(max(0, PASSAGE - len(ahead)), len(behind) + 1):
+                    at = len(behind) - e
+                    taken.append(k)
+                    windows.append(xxhash.xxh128_digest(b" ".join(run[at : at + PASSAGE]), SEED))
+                    extensions.append(e)
+            rows = pa.array(taken, pa.int32())
+            kept = [batch.column(i).take(rows) for i in (0, 1, 4, 5)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(windows, pa.binary()), pa.array(extensions, pa.int32()), *kept],
+                ["window", "e", "key", "name", "low", "high"],
+            )
+
+    dealt = contexts.select("key", "name", "ahead", "behind", "low", "high").mapInArrow(
+        make, "window binary, e int, key bigint, name bigint, low bigint, high bigint"
+    )
+    dealt = written(dealt, "windows", "zstd")
+    runs = dealt.groupBy("window").agg(F.min("low").alias("first"), F.max("high").alias("last"))
+    due = dealt.join(runs.filter("first < last").select("window", "first"), "window")
+    return due.filter("first < high").groupBy("key", "name", "first").agg(
+        F.expr("bit_or(shiftleft(1, e))").alias("mask")
+    )
+
+
 def repeated_spans(docs: DataFrame, cut: DataFrame) -> DataFrame:
     """doc_id, row, starts, stops of the passages that a document of smaller doc_id has too."""
     known = docs.filter("doc_id IS NOT NULL")
@@ -268,10 +305,18 @@ def repeated_spans(docs: DataFrame, cut: DataFrame) -> DataFrame:
     contexts = contexts.join(groups.filter("a < b").select("key"), "key", "left_semi")
     matches = compare_neighbours(contexts).union(compare_with_first(contexts)).distinct()
     matches = written(matches, "matches")
-    hits = kept.select("key", "name", "doc_id", "row", "place").join(matches, ["key", "name"])
-    hits = hits.filter("first < doc_id").select(
+    at = kept.select("key", "name", "doc_id", "row", "place")
+    hits = at.join(matches, ["key", "name"]).filter("first < doc_id").select(
         "doc_id", "row", F.expr("place - `left`").alias("start"), F.expr("place + `right`").alias("stop")
     )
+    masks = written(compare_windows(contexts), "masks")
+    found = at.join(masks, ["key", "name"]).filter("first < doc_id").select(
+        "doc_id", "row",
+        F.expr(f"explode(filter(sequence(0, {BEHIND}), e -> getbit(mask, e) = 1))").alias("e"), "place",
+    )
+    hits = hits.union(
+        found.select("doc_id", "row", F.expr("place - e"), F.expr(f"place - e + {PASSAGE}"))
+    )
     return hits.groupBy("doc_id", "row").agg(F.collect_set(F.struct("start", "stop")).alias("s")).select(
         "doc_id", "row", F.col("s.start").alias("starts"), F.col("s.stop").alias("stops")
     )

@@ -10,7 +10,7 @@ import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 
-from dumptables.llm import exact_dedup, importance, passages, pieces, queries, simhash, superkmers
+from dumptables.llm import exact_dedup, importance, passages, pieces, queries, simhash, suffixes, superkmers
 from dumptables.llm.components import components
 
 from . import brute
@@ -270,3 +270,20 @@ def test_near_copies_are_those_of_the_similarity(spark):
     kept = simhash.one_of_each(spark.createDataFrame(rows, "doc_id bigint, text string"))
     gone = {i for i, _ in rows} - {r.doc_id for r in kept.collect()}
     assert gone == {i for i, close in near.items() if close}
+
+
+def test_suffixes_with_a_hot_core(spark):
+    """Pairs that share 10 + 49 words, of which all documents share the 49."""
+    random.seed(13)
+    word = lambda: f"w{random.randrange(10**6)}"
+    core = [f"c{i}" for i in range(49)]
+    rows = []
+    for i in range(100):
+        lead = [word() for _ in range(10)]
+        for k in range(2):
+            before, after = ([word() for _ in range(20)] for _ in range(2))
+            rows.append((i + 100 * k, " ".join(before + lead + core + after)))
+    random.shuffle(rows)
+    found = suffixes.dedup_report(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    found = found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+    assert sorted(tuple(r) for r in found.collect()) == sorted(brute.substring_report(rows))
