@@ -19,7 +19,7 @@ def comparable(names, rows):
 @pytest.mark.parametrize("name", list(queries.SQL))
 def test_query(spark, name):
     database = duckdb.connect()
-    for table in ("documents", "pages", "benchmark", "labels"):
+    for table in ("documents", "pages", "benchmark", "labels", "conversations"):
         database.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SMALL}/{table}.parquet'")
     found = queries.QUERIES[name](spark, SMALL)
     wanted = database.execute(queries.SQL[name])
