@@ -31,10 +31,12 @@ PAGE_VALUE_RULES: list[Rule] = [
     ("bad_ns", _no_short("ns")),
 ]
 
+# Pages put together hold numbers, and whether there was anything to make one of.
 PAGE_RULES: list[Rule] = [
-    ("no_id", "page_id IS NULL"),
-    *PAGE_VALUE_RULES,
-    ("bad_revision_id", _no_long("revision_id")),
+    ("no_id", "NOT has_id"),
+    ("bad_id", "page_id IS NULL"),
+    ("bad_ns", "has_ns AND ns IS NULL"),
+    ("bad_revision_id", "has_revision_id AND revision_id IS NULL"),
 ]
 
 REVISION_RULES: list[Rule] = [

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from dumptables.functions import last_filled
+from dumptables.functions import instant_seconds, last_filled, number_sql, strict_long
 from dumptables.operators.files import scan_part
-from dumptables.operators.rules import PAGE_VALUE_RULES, REVISION_RULES, any_broken
+from dumptables.operators.rules import PAGE_VALUE_RULES, REVISION_RULES, any_broken, first_reason
 from dumptables.schemas import PAGE_XML, SEGMENTS, XML_OPTIONS
 from dumptables.session import settings
 
@@ -24,21 +24,20 @@ MOST_BUCKETS = 100_000  # what Spark allows unless told otherwise
 def cut(records: DataFrame) -> DataFrame:
     """Split each record at its page ends into segments of one revision or less.
 
-    ``row_id`` is taken straight on the scan, so within one file and block it follows
-    document order. The last segment of a record ran up to the end of a revision; the
+    ``row_id`` numbers the segments straight on the scan, so within one file and block it
+    follows document order. The last segment of a record ran up to the end of a revision; the
     others ran up to the end of a page.
     """
     parts = (
-        records.withColumn("row_id", F.monotonically_increasing_id())
-        .withColumn("parts", F.split("value", PAGE_END))
+        records.withColumn("parts", F.split("value", PAGE_END))
         .select(
-            scan_part().alias("scan_part"),
             "file_path",
             "block_start",
-            "row_id",
             F.size("parts").alias("n_parts"),
             F.posexplode_outer("parts").alias("seg", "body"),
         )
+        .withColumn("row_id", F.monotonically_increasing_id())
+        .withColumn("scan_part", scan_part())
     )
     last = F.col("seg") == F.col("n_parts") - 1
     flagged = parts.withColumn("last", last).selectExpr(
@@ -99,9 +98,9 @@ def _either(name: str, flat: str) -> Column:
 
 
 def parse(cuts: DataFrame) -> DataFrame:
-    """Segments with every wanted tag as a flat string column (:data:`SEGMENTS`).
+    """Segments with every wanted tag as a flat column (:data:`SEGMENTS`).
 
-    Pieces that are no XML are ``malformed``; no value is taken from them. Any piece at
+    Values of a revision are converted and judged here, once for all uses. Pieces that are no XML are ``malformed``; no value is taken from them. Any piece at
     fault keeps its source in ``raw``, so the reject list never has to read the texts.
     """
     flags = ["scan_part", "file_path", "block_start", "row_id", "seg", "starts_page", "has_revision", "may_end_file"]
@@ -138,11 +137,19 @@ def parse(cuts: DataFrame) -> DataFrame:
         F.expr(_filled("flatten(array_compact(page.revision.contributor.id))")).alias("contributor_id"),
         F.expr(AUTHORS).alias("authors"),
     )
-    faulty = f"""malformed OR {any_broken(PAGE_VALUE_RULES)}
-        OR (starts_page AND page_id IS NULL)
-        OR (has_revision AND {any_broken(REVISION_RULES)})"""
+    typed = {
+        "fault": first_reason(*REVISION_RULES),
+        "revision_id": strict_long("revision_id"),
+        "parentid": strict_long("parentid"),
+        "timestamp": instant_seconds("timestamp"),
+        "bytes": strict_long("bytes"),
+        "contributor_id": strict_long("contributor_id"),
+    }
+    typed["fault"] = F.when(F.col("has_revision"), typed["fault"])
+    faulty = f"""malformed OR fault IS NOT NULL OR {any_broken(PAGE_VALUE_RULES)}
+        OR (starts_page AND page_id IS NULL)"""
     raw = F.expr(f"CASE WHEN {faulty} THEN xml END")
-    return flat.withColumn("raw", raw).select(SEGMENTS.fieldNames())
+    return flat.withColumns(typed).withColumn("raw", raw).select(SEGMENTS.fieldNames())
 
 
 def to_segments(records: DataFrame) -> DataFrame:
@@ -150,7 +157,48 @@ def to_segments(records: DataFrame) -> DataFrame:
     return parse(cut(records))
 
 
-def stage_segments(records: DataFrame, path: str, name: str | None = None) -> DataFrame:
+def stage_metrics() -> list[Column]:
+    """What is to be known of a stage as a whole, for :meth:`DataFrame.observe` or an aggregation:
+    about how many splits were read, pieces at fault, titles that do not stand where their page
+    begins, and the bounds of the ids that rows have or refer to."""
+    number = lambda name: f"array({number_sql(name, 'BIGINT')})"
+    ids = {
+        "page": number("page_id"),
+        "revision": "array(revision_id)",
+        "contributor": "concat(array(contributor_id), "
+        f"transform(authors, a -> {number_sql('a.id', 'BIGINT')}))",
+    }
+    return [
+        F.expr("approx_count_distinct(struct(file_path, block_start)) AS splits"),
+        F.expr("count_if(raw IS NOT NULL) AS faulty"),
+        F.expr("count_if(NOT starts_page AND (title IS NOT NULL OR redirect IS NOT NULL)) AS astray"),
+        *[F.expr(f"min(array_min({values})) AS {name}_low") for name, values in ids.items()],
+        *[F.expr(f"max(array_max({values})) AS {name}_high") for name, values in ids.items()],
+    ]
+
+
+def scan_tasks(records: DataFrame) -> int:
+    """How many tasks read the records."""
+    return min(max(records.rdd.getNumPartitions(), 1), MOST_BUCKETS)
+
+
+def stage_table(spark: SparkSession, path: str, name: str, tasks: int) -> DataFrame:
+    """A stage written before, which this session may not know of."""
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in SEGMENTS.fields)
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
+        f"CLUSTERED BY (scan_part) INTO {tasks} BUCKETS LOCATION '{path}/{name}'"
+    )
+    return spark.table(name)
+
+
+def stage_segments(
+    records: DataFrame,
+    path: str,
+    name: str | None = None,
+    tasks: int | None = None,
+    seen: Observation | None = None,
+) -> DataFrame:
     """Decompress and parse once, keep the result as Parquet, and read from there.
 
     Five tables are built from it, each reading only its own columns. A lost executor
@@ -159,13 +207,17 @@ def stage_segments(records: DataFrame, path: str, name: str | None = None) -> Da
     its own, later joins on the scan task leave the texts where they are.
 
     ``name`` is an entry of the session catalog, new by default; the files lie at ``path``.
+    ``tasks`` is the number of scan tasks, if known. ``seen`` observes the rows as they are written.
     """
     spark = records.sparkSession
-    tasks = min(max(records.rdd.getNumPartitions(), 1), MOST_BUCKETS)
+    tasks = tasks or scan_tasks(records)
     name = name or f"stage_{uuid.uuid4().hex}"
+    segments = to_segments(records)
+    if seen is not None:
+        segments = segments.observe(seen, *stage_metrics())
     with settings(spark, {"spark.sql.maxConcurrentOutputFileWriters": "4"}):  # no sort by bucket
         (
-            to_segments(records)
+            segments
             .write.format("parquet")
             .bucketBy(tasks, "scan_part")
             .option("path", f"{path}/{name}")

@@ -10,8 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dumptables.functions import instant_seconds, strict_long, strict_short
-from dumptables.operators.files import scan_part
+from dumptables.functions import strict_long, strict_short
+from dumptables.operators.files import PLACE, scan_part
 from dumptables.operators.rules import (
     CONTRIBUTOR_RULES,
     NAMESPACE_RULES,
@@ -37,6 +37,8 @@ def rejected(rows: DataFrame, table: str) -> DataFrame:
     )
 
 
+# Rules that were tried when the piece was parsed.
+NAMED_FAULTS: list[Rule] = [(name, f"fault = '{name}'") for name, _ in REVISION_RULES]
 NO_DBNAME: Rule = ("no_dbname", "dbname IS NULL")
 MALFORMED: Rule = ("malformed_xml", "malformed")
 # The row's source is the unfinished end of an incomplete file.
@@ -46,9 +48,9 @@ CUT_PAGE: Rule = ("truncated", "NOT complete AND page_seq = page_starts")
 
 
 def _stamp(rows: DataFrame, marks: DataFrame) -> DataFrame:
-    """Give each row its file's wiki name and end. ``marks`` has a row for each file and scan
-    task; the caller says how it comes to the rows."""
-    return rows.join(marks, ["scan_part", "file_path"], "left")
+    """Give each row its file's wiki name and end. ``marks`` has a row for each split; the
+    caller says how it comes to the rows."""
+    return rows.join(marks, ["scan_part", "file_path", "block_start"], "left")
 
 
 def _as_json(*names: str) -> str:
@@ -94,13 +96,17 @@ def namespace_rows(files: DataFrame) -> DataFrame:
 def contributor_rows(stage: DataFrame, marks: DataFrame) -> DataFrame:
     """One row per named or numbered author of a revision; addresses and hidden authors have neither."""
     authors = stage.filter("size(authors) > 0").select(
-        "scan_part", *POSITION, F.explode("authors").alias("author")
+        "scan_part", *POSITION, F.posexplode("authors").alias("nth", "author")
     )
     authors = authors.select(
-        "scan_part", *POSITION, F.col("author.id").alias("contributor_id"), F.col("author.username").alias("username")
+        "scan_part", *POSITION, "nth", F.col("author.id").alias("contributor_id"),
+        F.col("author.username").alias("username"),
     )
     return _stamp(authors, marks).select(
+        "scan_part",
         *POSITION,
+        "nth",
+        F.expr(PLACE).alias("place"),
         strict_long("contributor_id").alias("id"),
         "dbname",
         "username",
@@ -111,25 +117,16 @@ def contributor_rows(stage: DataFrame, marks: DataFrame) -> DataFrame:
 
 def revision_rows(stage: DataFrame, marks: DataFrame) -> DataFrame:
     fields = _as_json(
-        "revision_id", "dbname", "parentid", "timestamp", "comment", "model", "format",
+        "id", "dbname", "parentid", "timestamp", "comment", "model", "format",
         "bytes", "sha1", "contributor_id",
     )
-    return _stamp(stage.filter("has_revision"), marks).select(
+    rows = _stamp(stage.filter("has_revision"), marks).withColumnRenamed("revision_id", "id")
+    return rows.select(
         "scan_part",
         *POSITION,
-        strict_long("revision_id").alias("id"),
-        "dbname",
-        strict_long("parentid").alias("parentid"),
-        instant_seconds("timestamp").alias("timestamp"),
-        "comment",
-        "model",
-        "format",
-        "text",
-        strict_long("bytes").alias("bytes"),
-        "sha1",
-        strict_long("contributor_id").alias("contributor_id"),
+        *TABLES["revision"].columns,
         F.expr(f"coalesce(raw, {fields})").alias("raw"),
-        first_reason(CUT_OFF, MALFORMED, NO_DBNAME, *REVISION_RULES).alias("reason"),
+        first_reason(CUT_OFF, MALFORMED, NO_DBNAME, *NAMED_FAULTS).alias("reason"),
     )
 
 
@@ -138,7 +135,7 @@ def page_rows(pages: DataFrame, marks: DataFrame, zero_defaults: bool = False) -
 
     zero_defaults: store 0 instead of NULL for a missing namespace or current revision.
     """
-    ns, revision_id = strict_short("ns"), strict_long("revision_id")
+    ns, revision_id = F.col("ns"), F.col("revision_id")
     if zero_defaults:
         zero = F.lit(0).cast("smallint")
         ns, revision_id = F.coalesce(ns, zero), F.coalesce(revision_id, zero)
@@ -147,7 +144,7 @@ def page_rows(pages: DataFrame, marks: DataFrame, zero_defaults: bool = False) -
     return _stamp(pages, marks).select(
         "scan_part",
         *POSITION,
-        strict_long("page_id").alias("id"),
+        F.col("page_id").alias("id"),
         "dbname",
         ns.alias("ns"),
         "title",

@@ -3,20 +3,20 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from functools import cached_property, reduce
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
-from dumptables.operators.files import dump_files, file_marks
+from dumptables import session
+from dumptables.operators.files import dump_files, few_files, file_marks
 from dumptables.operators.integrity import (
     at,
     claims,
-    contested_keys,
     first_claims,
-    fk_missing_keys,
+    first_writers,
     fk_violations,
     insert_absent,
     keep_first,
@@ -24,9 +24,19 @@ from dumptables.operators.integrity import (
     not_at,
     places,
 )
+from dumptables.operators.keys import (
+    CONTESTED,
+    MISSING,
+    REPEATING,
+    key_uses,
+    keys_of,
+    settle_keys,
+    stored_form,
+    summary,
+)
 from dumptables.operators.metrics import load_totals, pages_per_file
 from dumptables.operators.pages import assemble_pages
-from dumptables.operators.segments import stage_segments
+from dumptables.operators.segments import scan_tasks, stage_metrics, stage_segments
 from dumptables.operators.tables import (
     contributor_rows,
     namespace_rows,
@@ -36,8 +46,17 @@ from dumptables.operators.tables import (
     siteinfo_rows,
 )
 from dumptables.schemas import LOAD_ORDER, POSITION, REJECTS, TABLES, ForeignKey, TableSpec
-from dumptables.session import SAME_TASK, beside, settings, small_side, together, work_folder
+from dumptables.session import (
+    SAME_TASK,
+    beside,
+    delete_folder,
+    settings,
+    small_side,
+    together,
+    work_folder,
+)
 from dumptables.sinks.base import CallableSink, Sink
+from dumptables.sinks.keyindex import Bounds
 from dumptables.sources.dump import DumpOptions, scan_records
 
 
@@ -62,27 +81,67 @@ class LoadOptions:
             raise ValueError(f"mode must be PERMISSIVE or FAILFAST, not {self.mode!r}")
 
 
-@dataclass(frozen=True)
+# Splits whose facts are held by the driver: for each some numbers and a header of some kB at most.
+FEW_SPLITS = 500
+
+
 class Staged:
-    """The parsed dump as written to the work folder, read back from there. ``marks`` come
-    to the rows of their scan tasks; ``pages`` are put together on first use."""
+    """The parsed dump as written to the work folder, read back from there.
 
-    spark: SparkSession
-    work: str
-    segments: DataFrame
-    files: DataFrame
-    marks: DataFrame
-    name: str
+    ``seen`` holds what was observed while it was written; without it (a stage found again
+    after a crash) the same is read from the stage. ``files`` and ``pages`` are made on first use.
+    """
 
-    def discard(self) -> None:
-        """Give up the parsed dump and all other intermediate tables of the load."""
-        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
-        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.work)
-        folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+    def __init__(
+        self,
+        segments: DataFrame,
+        work: str,
+        name: str,
+        tasks: int,
+        seen: Observation | None = None,
+    ):
+        self.spark = segments.sparkSession
+        self.tasks = tasks
+        self.segments = segments
+        self.work = work
+        self.name = name
+        self._seen = seen
+
+    @cached_property
+    def facts(self) -> dict[str, int]:
+        """Counts and bounds over the whole stage."""
+        if self._seen is not None:
+            return self._seen.get
+        return self.segments.agg(*stage_metrics()).first().asDict()
+
+    @cached_property
+    def _are_few(self) -> bool:
+        return self.facts["splits"] <= min(FEW_SPLITS, session.BROADCAST_ROWS)
+
+    @cached_property
+    def files(self) -> DataFrame:
+        """One row per file: held by the driver if they are few, else a written table."""
+        if self._are_few:
+            return few_files(self.segments)
+        return _kept(dump_files(self.segments), f"{self.work}/files")
+
+    @cached_property
+    def marks(self) -> DataFrame:
+        """What rows must know of their file, hinted to come to them."""
+        marks = file_marks(self.files)
+        if self._are_few:
+            return F.broadcast(marks)
+        return beside(_kept(marks, f"{self.work}/marks"))
 
     @cached_property
     def pages(self) -> DataFrame:
-        return _kept(assemble_pages(self.segments), f"{self.work}/pages")
+        tidy = not self.facts["faulty"] and not self.facts["astray"]
+        return _kept(assemble_pages(self.segments, self.marks, tidy), f"{self.work}/pages")
+
+    def discard(self) -> None:
+        """Give up the parsed dump and all other intermediate tables of the load."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+        delete_folder(self.spark, self.work)
 
     def rows(self, table: str, zero_defaults: bool = False) -> DataFrame:
         """All rows of a table, typed, valid or not."""
@@ -96,15 +155,32 @@ class Staged:
             return revision_rows(self.segments, self.marks)
         return page_rows(self.pages, self.marks, zero_defaults)
 
+    def bounds(self, zero_defaults: bool = False) -> Bounds:
+        """Least and greatest id that rows have or refer to, by table."""
+        found: Bounds = {"siteinfo": (0, 0), "namespaces": (-(2**15), 2**15 - 1)}
+        for name in ("page", "revision", "contributor"):
+            low, high = self.facts[f"{name}_low"], self.facts[f"{name}_high"]
+            if name == "revision" and zero_defaults:
+                low, high = min(low or 0, 0), max(high or 0, 0)
+            if low is not None:
+                found[name] = (low, high)
+        return found
+
 
 @dataclass(frozen=True)
 class LoadReport:
-    """What a load did. The frames read small tables of the work folder."""
+    """What a load did. ``rejects`` reads a table of the work folder, the others small ones."""
 
     staged: Staged
     rejects: DataFrame
-    pages_per_file: DataFrame
-    totals: DataFrame
+
+    @property
+    def pages_per_file(self) -> DataFrame:
+        return pages_per_file(self.staged.files)
+
+    @property
+    def totals(self) -> DataFrame:
+        return load_totals(self.staged.files)
 
 
 def _kept(df: DataFrame, path: str) -> DataFrame:
@@ -113,81 +189,53 @@ def _kept(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def stage(records: DataFrame, work: str) -> Staged:
+def stage(records: DataFrame, work: str, name: str | None = None) -> Staged:
     """Parse records into the work folder."""
-    name = f"stage_{uuid.uuid4().hex}"
-    segments = stage_segments(records, f"{work}/segments", name)
-    files = _kept(dump_files(segments), f"{work}/files")
-    marks = beside(_kept(file_marks(segments, files), f"{work}/marks"))
-    return Staged(records.sparkSession, work, segments, files, marks, name)
+    name = name or f"stage_{uuid.uuid4().hex}"
+    seen, tasks = Observation(), scan_tasks(records)
+    segments = stage_segments(records, f"{work}/segments", name, tasks, seen)
+    return Staged(segments, work, name, tasks, seen)
 
 
 class _TableLoad:
-    """One table on its way from the stage to the sink.
-
-    Key checks and writes of different tables are separate steps, so that those that do
-    not wait for each other can run at the same time.
-    """
+    """One table on its way from the stage to the sink."""
 
     def __init__(self, spec: TableSpec, staged: Staged, sink: Sink, work: str, options: LoadOptions):
         rows = staged.rows(spec.name, options.zero_defaults)
         self.spec = spec
         self.sink = sink
         self.work = f"{work}/keys/{spec.name}"
-        self.rejects_path = f"{work}/rejects/table={spec.name}"
         self.rejects = [rejected(rows, spec.name)]
         self.rows = rows.filter("reason IS NULL")
-        self.contested: DataFrame | None = None
-
-    # -- keys ---------------------------------------------------------------------
-
-    def find_contested(self) -> None:
-        """Look for repeated and stored keys, from key columns only."""
-        keys = self.rows.select(*self.spec.key)
-        found = contested_keys(keys, self.spec.key, self.sink.keys(self.spec, keys))
-        self.contested = _kept(found, f"{self.work}/contested")
+        self.references = [
+            fk for fk in spec.foreign_keys if options.foreign_keys and fk.parent != "siteinfo"
+        ]
 
-    def missing_parents(self, fk: ForeignKey, loaded: _TableLoad) -> DataFrame:
-        """Referenced keys that are neither stored nor just loaded."""
-        looked_up = self.rows.select(
-            *[F.col(c).alias(p) for c, p in zip(fk.columns, fk.parent_columns, strict=True)]
-        )
-        parent = self.sink.keys(loaded.spec, looked_up)
-        if parent is None:
-            parent = loaded.rows
-        return _kept(
-            fk_missing_keys(self.rows, parent, fk), f"{self.work}/missing_{fk.parent}"
-        )
+    def uses(self) -> DataFrame:
+        return key_uses(self.rows, self.spec, self.references)
 
     def refuse_orphans(self, fk: ForeignKey, missing: DataFrame) -> None:
-        if missing.isEmpty():
-            return
-        orphans = fk_violations(
-            self.rows.select(*fk.columns, *POSITION), small_side(missing), fk
+        """Refuse rows that refer to one of the missing keys (in the parent's columns)."""
+        wanted = missing.select(
+            *[F.col(p).alias(c) for c, p in zip(fk.columns, fk.parent_columns, strict=True)]
         )
+        orphans = fk_violations(self.rows.select(*fk.columns, *POSITION), small_side(wanted), fk)
         orphans = _kept(orphans.select(*POSITION), f"{self.work}/orphans_{fk.parent}")
         self._refuse(orphans, fk.reason)
         self.rows = not_at(self.rows, beside(places(orphans)))
-        self.contested = None
 
     def _refuse(self, positions: DataFrame, reason: str) -> None:
         refused = at(self.rows, beside(places(positions))).withColumn("reason", F.lit(reason))
         self.rejects.append(rejected(refused, self.spec.name))
 
-    def keep_winners(self) -> None:
+    def keep_winners(self, contested: DataFrame) -> None:
         """Leave one row per key that is not stored yet, for keys that should not repeat.
 
         The places of the losers go to the wide rows, never the other way round.
         """
-        if self.contested is None:
-            self.find_contested()
-        if self.contested.isEmpty():
-            return
         narrow = self.rows.select(*self.spec.key, *POSITION)
         key = self.spec.key
-        claimed = _kept(
-            claims(narrow, small_side(self.contested), key), f"{self.work}/claimed"
-        )
+        claimed = _kept(claims(narrow, small_side(contested), key), f"{self.work}/claimed")
         first = _kept(first_claims(claimed, key), f"{self.work}/first")
         lost = _kept(lost_claims(claimed, small_side(first), key), f"{self.work}/lost")
         repeated = lost.filter("repeated")
@@ -195,89 +243,108 @@ class _TableLoad:
             self._refuse(repeated, "duplicate_key")
         self.rows = not_at(self.rows, beside(places(lost)))
 
-    def keep_first(self) -> None:
+    def keep_first(self, stored: DataFrame | None) -> None:
         """The same for short rows whose keys are expected to repeat: every revision names
         its author again, every file its wiki. Nothing is reported."""
+        if "place" in self.rows.columns:
+            columns = [*self.spec.columns, "row_id", "scan_part", "place", "nth"]
+            self.rows = first_writers(self.rows.select(*columns), self.spec.key, stored)
+            return
         first = keep_first(
             self.rows.select(*self.spec.columns, *POSITION), self.spec.key, POSITION
         )
-        stored = self.sink.keys(self.spec, self.rows.select(*self.spec.key))
         self.rows = first if stored is None else insert_absent(first, stored, self.spec.key)
 
-    # -- writes -------------------------------------------------------------------
-
     def write(self) -> None:
         self.sink.append(self.spec, self.rows.select(self.spec.columns))
 
-    def write_rejects(self) -> None:
-        rejects = reduce(DataFrame.unionByName, self.rejects).drop("table")
-        rejects.write.mode("overwrite").parquet(self.rejects_path)
 
-    def run_keep_first(self) -> None:
-        self.keep_first()
-        self.write()
+def _stored_keys(sink: Sink, spark: SparkSession, bounds: Bounds) -> DataFrame | None:
+    """Stored keys of all tables within the bounds, from a sink that has them at hand or else
+    from its tables one by one."""
+    if hasattr(sink, "stored_keys"):
+        return sink.stored_keys(bounds)
+    found = []
+    for name, (low, high) in bounds.items():
+        spec = TABLES[name]
+        number = [f for f in spec.schema.fields if f.name == spec.key[0] and len(spec.key) > 1]
+        ends = spark.range(2).select(
+            *[F.when(F.col("id") == 0, low).otherwise(high).cast(f.dataType).alias(f.name) for f in number]
+        )
+        stored = sink.keys(spec, ends)
+        if stored is not None:
+            found.append(stored_form(stored, spec))
+    return reduce(DataFrame.unionByName, found) if found else None
 
 
-def _load_tables(staged: Staged, sink: Sink, work: str, options: LoadOptions) -> None:
-    """Write the five tables, parents before children.
+def _load_tables(
+    staged: Staged, sink: Sink, work: str, options: LoadOptions, aside: str
+) -> None:
+    """Write the five tables, and what was set aside into the folder ``aside``.
 
-    Pages are put together while the other tables are written. A row's wiki name comes from
-    the very header loaded as siteinfo, so those references hold by construction; the other
-    three are checked.
+    One pass over the keys of all tables finds those that are stored, repeated or missing; most
+    loads have none to care for. Where parents lost rows by their references, those of their
+    children are looked up once more. A row's wiki name comes from the very header loaded as
+    siteinfo, so those references hold by construction; the other three are checked.
     """
-    load: dict[str, _TableLoad] = {}
-
-    def begin(name: str) -> _TableLoad:
-        load[name] = _TableLoad(TABLES[name], staged, sink, work, options)
-        return load[name]
-
-    def refuse_orphans(child: _TableLoad) -> None:
-        checked = [
-            fk
-            for fk in child.spec.foreign_keys
-            if options.foreign_keys and fk.parent != "siteinfo"
-        ]
-        finders = [lambda fk=fk: child.missing_parents(fk, load[fk.parent]) for fk in checked]
-        for fk, missing in zip(checked, together(staged.spark, *finders), strict=True):
-            child.refuse_orphans(fk, missing)
-
-    def all_but_pages() -> None:
-        small = [begin(name) for name in ("siteinfo", "namespaces", "contributor")]
-        revision = begin("revision")
-        # A database may enforce the references of the other two to the first.
-        together(staged.spark, small[0].run_keep_first, revision.find_contested)
-        together(staged.spark, *[t.run_keep_first for t in small[1:]])
-        refuse_orphans(revision)
-        revision.keep_winners()
-        together(
-            staged.spark, revision.write, *[t.write_rejects for t in (*small, revision)]
-        )
-
-    together(staged.spark, all_but_pages, lambda: begin("page").find_contested())
-    page = load["page"]
-    refuse_orphans(page)
-    page.keep_winners()
-    together(staged.spark, page.write, page.write_rejects)
+    spark = staged.spark
+    load = {spec.name: _TableLoad(spec, staged, sink, work, options) for spec in LOAD_ORDER}
+    bounds = staged.bounds(options.zero_defaults)
+
+    def settle(tables: Iterable[_TableLoad], label: str) -> tuple[DataFrame, dict[str, int]]:
+        uses = reduce(DataFrame.unionByName, [t.uses() for t in tables])
+        seen = Observation()
+        found = settle_keys(uses, _stored_keys(sink, spark, bounds)).observe(seen, *summary())
+        kept = _kept(found.filter(f"{CONTESTED} OR {MISSING}"), f"{work}/keys/{label}")
+        return kept, {name: count or 0 for name, count in seen.get.items()}
+
+    settled, counts = settle(load.values(), "all")
+    for name in ("revision", "page"):
+        table = load[name]
+        orphaned = [fk for fk in table.references if counts[f"{fk.parent}_missing"]]
+        for fk in orphaned:
+            table.refuse_orphans(fk, keys_of(settled, fk.parent, MISSING))
+        if orphaned:
+            # Fewer rows have keys now, and so fewer of these may be repeated or referred to.
+            settled, more = settle(load.values(), f"after_{name}")
+            counts |= {k: n for k, n in more.items() if not k.endswith("_new")}
+        if counts[f"{name}_contested"]:
+            table.keep_winners(keys_of(settled, name, CONTESTED))
+    for name in REPEATING:
+        stored = keys_of(settled, name, "stored") if counts[f"{name}_contested"] else None
+        load[name].keep_first(stored)
+
+    def write(name: str) -> None:
+        nothing = not counts[f"{name}_new"] and hasattr(sink, "holds")
+        if not (nothing and sink.holds(load[name].spec)):
+            load[name].write()
+
+    def write_rejects() -> None:
+        found = [rows for table in load.values() for rows in table.rejects]
+        reduce(DataFrame.unionByName, found).write.mode("overwrite").parquet(aside)
+
+    every = {name: lambda name=name: write(name) for name in load}
+    if getattr(sink, "enforces_keys", True):
+        every["siteinfo"]()
+        together(spark, every["namespaces"], every["contributor"])
+        every["revision"]()
+        together(spark, every["page"], write_rejects)
+    else:
+        together(spark, *every.values(), write_rejects)
 
 
 class _Rehearsal:
-    """A sink that knows what is stored in another and what would have been added to it."""
+    """A sink that knows what is stored in another, and to which nothing is added: the keys of a
+    load are settled from its own rows and from what was stored before."""
 
     def __init__(self, sink: Sink):
         self.sink = sink
-        self.added: dict[str, DataFrame] = {}
 
-    def ensure(self) -> None:
-        pass
-
-    def keys(self, spec: TableSpec, new: DataFrame) -> DataFrame | None:
-        stored, added = self.sink.keys(spec, new), self.added.get(spec.name)
-        if stored is None or added is None:
-            return added if stored is None else stored
-        return stored.union(added)
+    def stored_keys(self, bounds: Bounds) -> DataFrame | None:
+        return _stored_keys(self.sink, SparkSession.active(), bounds)
 
     def append(self, spec: TableSpec, rows: DataFrame) -> None:
-        self.added[spec.name] = rows.select(*spec.key)
+        pass
 
 
 def _fail_on_rejects(staged: Staged, sink: Sink, work: str, options: LoadOptions) -> None:
@@ -292,28 +359,42 @@ def _fail_on_rejects(staged: Staged, sink: Sink, work: str, options: LoadOptions
 
     for spec in LOAD_ORDER:
         fail(rejected(staged.rows(spec.name, options.zero_defaults), spec.name).first())
-    _load_tables(staged, _Rehearsal(sink), work, options)
+    _load_tables(staged, _Rehearsal(sink), work, options, f"{work}/rejects")
     fail(staged.spark.read.schema(REJECTS).parquet(f"{work}/rejects").first())
 
 
+def prepare(records: DataFrame, sink: Sink, work: str, name: str | None = None) -> Staged:
+    """The part of a load that does not depend on what is stored: parse, put pages together.
+    Meanwhile the sink gets ready."""
+    spark = records.sparkSession
+    with settings(spark, SAME_TASK):
+        ready = [sink.get_ready] if hasattr(sink, "get_ready") else []
+        staged = together(spark, lambda: stage(records, work, name), *ready)[0]
+        staged.pages  # noqa: B018  made now
+    return staged
+
+
+def load_staged(
+    staged: Staged, sink: Sink, options: LoadOptions = LoadOptions(), aside: str | None = None
+) -> LoadReport:
+    """The other part: settle keys and write the tables. A repeated or half-done load adds only
+    what is missing. Rejects go to the folder ``aside``, by default one in the work folder."""
+    work = staged.work
+    aside = aside or f"{work}/rejects"
+    with settings(staged.spark, SAME_TASK):
+        if options.mode == "FAILFAST":
+            _fail_on_rejects(staged, sink, f"{work}/rehearsal", options)
+        _load_tables(staged, sink, work, options, aside)
+    return LoadReport(staged, staged.spark.read.schema(REJECTS).parquet(aside))
+
+
 def load_records(
     records: DataFrame, sink: Sink, work: str, options: LoadOptions = LoadOptions()
 ) -> LoadReport:
     """Load scanned records. Each use needs a work folder of its own, or that of the very
     load it repeats; a repeated or half-done load then adds only what is missing."""
     sink.ensure()
-    with settings(records.sparkSession, SAME_TASK):
-        staged = stage(records, work)
-        if options.mode == "FAILFAST":
-            _fail_on_rejects(staged, sink, f"{work}/rehearsal", options)
-        _load_tables(staged, sink, work, options)
-    rejects = staged.spark.read.schema(REJECTS).parquet(f"{work}/rejects")
-    return LoadReport(
-        staged=staged,
-        rejects=rejects.select(REJECTS.fieldNames()),
-        pages_per_file=pages_per_file(staged.files),
-        totals=load_totals(staged.files),
-    )
+    return load_staged(prepare(records, sink, work), sink, options)
 
 
 def load_dump(

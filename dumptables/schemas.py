@@ -171,7 +171,8 @@ SITEINFO_XML = """
 """
 
 # One row per piece of a dump: a page head with its first revision, a further
-# revision, or a page end. All values as found in the XML.
+# revision, or a page end. Values of the page as found in the XML, those of the revision typed;
+# ``fault`` names the first rule that a revision breaks.
 # ``scan_part`` is the scan task that read the piece; the stage is bucketed by it.
 SEGMENTS = _schema(
     ("scan_part", T.IntegerType()),
@@ -184,20 +185,21 @@ SEGMENTS = _schema(
     ("may_end_file", T.BooleanType()),
     ("siteinfo", T.StringType()),
     ("malformed", T.BooleanType()),
+    ("fault", T.StringType()),
     ("raw", T.StringType()),
     ("page_id", T.StringType()),
     ("ns", T.StringType()),
     ("title", T.StringType()),
     ("redirect", T.StringType()),
-    ("revision_id", T.StringType()),
-    ("parentid", T.StringType()),
-    ("timestamp", T.StringType()),
+    ("revision_id", T.LongType()),
+    ("parentid", T.LongType()),
+    ("timestamp", T.TimestampNTZType()),
     ("comment", T.StringType()),
     ("model", T.StringType()),
     ("format", T.StringType()),
     ("text", T.StringType()),
-    ("bytes", T.StringType()),
+    ("bytes", T.LongType()),
     ("sha1", T.StringType()),
-    ("contributor_id", T.StringType()),
+    ("contributor_id", T.LongType()),
     ("authors", T.ArrayType(_schema(("id", T.StringType()), ("username", T.StringType())))),
 )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -75,6 +76,35 @@ def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if is_bounded(df, rows) else df
 
 
+def put_note(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file; it appears whole or not at all."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    place = hadoop.Path(path)
+    draft = hadoop.Path(place.getParent(), f"_{place.getName()}")
+    store = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = store.create(draft, True)
+    out.write(text.encode())
+    out.close()
+    store.delete(place, False)
+    store.rename(draft, place)
+
+
+def names_in(spark: SparkSession, folder: str, pattern: str) -> list[str]:
+    """Names in a folder that match, none if there is no such folder; one call however many."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    store = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not store.exists(place):
+        return []
+    paths = spark._jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(store.listStatus(place))
+    listed = spark._jvm.org.apache.commons.lang3.ArrayUtils.toString(paths)
+    return re.findall(rf"/({pattern})(?=,|\}}$)", listed)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def together(spark: SparkSession, *actions: Callable[[], object]) -> list:
     """Run independent actions at the same time, so that one fills the gaps of another."""
     if not actions:

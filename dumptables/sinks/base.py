@@ -13,6 +13,10 @@ from dumptables.schemas import TableSpec
 
 
 class Sink(Protocol):
+    """A sink may also have ``stored_keys(bounds)``: the stored keys of all tables at once, in the
+    form of :mod:`dumptables.operators.keys`, and ``get_ready()``, called while a dump is still
+    being parsed. Without ``enforces_keys = False``, parents are written before children."""
+
     def ensure(self) -> None:
         """Create missing tables and columns; harmless when repeated."""
 
@@ -44,6 +48,8 @@ def in_range_of(stored: DataFrame, new: DataFrame) -> DataFrame:
     a turn looks at its own wikis and id ranges, not at everything loaded before it.
     """
     names = new.columns
+    if not names:
+        return stored
     bounds = new.agg(
         *[f(name).alias(f"{name}_{f.__name__}") for name in names for f in (F.min, F.max)]
     ).first()

@@ -21,6 +21,8 @@ class CatalogSink:
     location: folder for the table files, for catalogs without a shared default.
     """
 
+    enforces_keys = False  # so tables may be written side by side
+
     def __init__(
         self,
         spark: SparkSession,

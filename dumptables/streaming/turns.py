@@ -1,19 +1,77 @@
-"""Incremental loading: a bounded number of new files per turn, restartable in between."""
+"""Incremental loading: a bounded number of new files per turn, restartable in between.
+
+A turn has two halves. The stream parses its files into a stage; a second thread settles keys
+and writes the tables, one turn after the other, while the stream parses the files of the next.
+A stage is kept until its turn is loaded and says so in a note, so a run that broke off anywhere
+goes on with the turns that were parsed but not loaded.
+"""
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
+from concurrent.futures import Future, ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from dumptables.operators.metrics import running_totals
-from dumptables.plans.load import LoadOptions, load_records
+from dumptables.operators.segments import stage_table
+from dumptables.plans.load import LoadOptions, Staged, load_staged, prepare
 from dumptables.schemas import REJECTS
+from dumptables.session import SAME_TASK, names_in, put_note, settings
 from dumptables.sinks.base import CallableSink, Sink
 from dumptables.sources.dump import DumpOptions, stream_records
 
 
+class _Turns:
+    """The turns of one work folder: which are parsed, which are loaded."""
+
+    def __init__(self, spark: SparkSession, sink: Sink, work: str, options: LoadOptions):
+        self.spark, self.sink, self.work, self.options = spark, sink, work, options
+        self.pool = ThreadPoolExecutor(max_workers=1)
+        self.loading: Future | None = None
+        self.loaded = set(map(int, names_in(spark, f"{work}/progress", r"\d+")))
+
+    def _folder(self, turn: int) -> str:
+        return f"{self.work}/turns/{turn}"
+
+    def resume(self) -> None:
+        """Load turns that an earlier run has parsed only."""
+        parsed = set(map(int, names_in(self.spark, f"{self.work}/parsed", r"\d+")))
+        for turn in sorted(parsed - self.loaded):
+            note = self.spark.read.text(f"{self.work}/parsed/{turn}").first()[0]
+            name, tasks = json.loads(note)
+            segments = stage_table(self.spark, f"{self._folder(turn)}/segments", name, tasks)
+            self._load(Staged(segments, self._folder(turn), name, tasks), turn)
+
+    def take(self, records: DataFrame, turn: int) -> None:
+        """Parse a turn, then have it loaded as soon as the one before it is."""
+        if turn in self.loaded:
+            return
+        staged = prepare(records, self.sink, self._folder(turn))
+        found = json.dumps([staged.name, staged.tasks])
+        put_note(self.spark, f"{self.work}/parsed/{turn}", found)
+        self.wait()
+        load = inheritable_thread_target(staged.spark)(self._load)
+        self.loading = self.pool.submit(load, staged, turn)
+
+    def _load(self, staged: Staged, turn: int) -> None:
+        aside = f"{self.work}/rejects/turn={turn}"
+        report = load_staged(staged, self.sink, self.options, aside)
+        pages, files = report.totals.first()
+        # Now the turn counts as loaded. Its copy of the dump is not needed again.
+        done = {"batch_id": turn, "pages": pages, "files": files}
+        put_note(self.spark, f"{self.work}/progress/{turn}", json.dumps(done))
+        self.loaded.add(turn)
+        staged.discard()
+
+    def wait(self) -> None:
+        """Wait for the turn being loaded; raises what went wrong with it."""
+        if self.loading is not None:
+            self.loading.result()
+
+
 def load_in_turns(
     spark: SparkSession,
     path: str,
@@ -26,40 +84,37 @@ def load_in_turns(
 ) -> DataFrame:
     """Load the files of a folder that were not loaded yet, then return the progress.
 
-    A turn finishes before the next begins. A file is never split between turns, so its
-    header and pages always meet. The checkpoint in ``work`` remembers finished turns; a
-    turn that failed half way is repeated in its own folder and adds only what is missing.
+    A turn's tables are written before those of the next. A file is never split between turns,
+    so its header and pages always meet. The checkpoint in ``work`` remembers turns that were
+    parsed; one that failed half way is repeated in its own folder and adds only what is missing.
     Duplicates across turns are found in the stored tables, so no state is kept.
     """
     work = work.rstrip("/")
     if not hasattr(sink, "append"):
         sink = CallableSink(sink)
-
-    def turn(records: DataFrame, batch_id: int) -> None:
-        report = load_records(records, sink, f"{work}/turns/{batch_id}", options)
-        report.rejects.write.mode("overwrite").partitionBy("table").parquet(
-            f"{work}/rejects/turn={batch_id}"
+    sink.ensure()
+    turns = _Turns(spark, sink, work, options)
+    # For the whole stream, as halves of two turns run at a time.
+    with settings(spark, SAME_TASK):
+        turns.resume()
+        query = (
+            stream_records(spark, path, files_per_turn, source)
+            .writeStream.foreachBatch(turns.take)
+            .option("checkpointLocation", f"{work}/checkpoint")
+            .trigger(availableNow=True)
+            .start()
         )
-        report.totals.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode(
-            "overwrite"
-        ).parquet(f"{work}/progress/turn={batch_id}")
-        # What the turn found is saved; its copy of the dump is not needed again.
-        report.staged.discard()
-
-    query = (
-        stream_records(spark, path, files_per_turn, source)
-        .writeStream.foreachBatch(turn)
-        .option("checkpointLocation", f"{work}/checkpoint")
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+        try:
+            query.awaitTermination()
+        finally:
+            turns.wait()
+            turns.pool.shutdown()
     return progress(spark, work)
 
 
 def progress(spark: SparkSession, work: str) -> DataFrame:
     """Pages and files of each turn so far, with running totals."""
-    turns = spark.read.schema("pages BIGINT, files BIGINT, batch_id BIGINT").parquet(
+    turns = spark.read.schema("pages BIGINT, files BIGINT, batch_id BIGINT").json(
         f"{work.rstrip('/')}/progress"
     )
     return running_totals(turns)
@@ -67,4 +122,5 @@ def progress(spark: SparkSession, work: str) -> DataFrame:
 
 def rejects_of_turns(spark: SparkSession, work: str) -> DataFrame:
     """Rows set aside by all turns so far."""
-    return spark.read.schema(REJECTS).parquet(f"{work.rstrip('/')}/rejects")
+    rejects = spark.read.schema(REJECTS).parquet(f"{work.rstrip('/')}/rejects")
+    return rejects.select(REJECTS.fieldNames())
