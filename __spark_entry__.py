@@ -53,6 +53,15 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # --- the five tables, straight from the stage -----------------------------------------
 
 
+def _first_authors(spark, sf_dir, name: str) -> DataFrame:
+    """Contributors with the name that their first revision gives."""
+    found, key = staged(spark, sf_dir, name), TABLES["contributor"].key
+    rows = found.rows("contributor").filter("reason IS NULL")
+    first = op.first_places(rows, key, None)
+    columns = [*TABLES["contributor"].columns, "scan_part", "row_id", "nth"]
+    return op.first_writers(rows.select(*columns), first, key).select(*TABLES["contributor"].columns)
+
+
 def _first_rows(rows: DataFrame, name: str) -> DataFrame:
     spec = TABLES[name]
     kept = rows.filter("reason IS NULL").select(*spec.columns, *POSITION)
@@ -76,7 +85,7 @@ def revision(spark, sf_dir):
 
 
 def contributor_first_writer(spark, sf_dir):
-    return _first_rows(staged(spark, sf_dir, "documents").rows("contributor"), "contributor")
+    return _first_authors(spark, sf_dir, "documents")
 
 
 def multistream_page(spark, sf_dir):
@@ -99,7 +108,7 @@ def revision_history(spark, sf_dir):
 
 
 def contributor_history(spark, sf_dir):
-    return _first_rows(staged(spark, sf_dir, "conversations").rows("contributor"), "contributor")
+    return _first_authors(spark, sf_dir, "conversations")
 
 
 def order_page(spark, sf_dir):
@@ -109,7 +118,7 @@ def order_page(spark, sf_dir):
 
 
 def order_contributor(spark, sf_dir):
-    return _first_rows(staged(spark, sf_dir, "orders").rows("contributor"), "contributor")
+    return _first_authors(spark, sf_dir, "orders")
 
 
 def page_zero_defaults(spark, sf_dir):

@@ -1,6 +1,8 @@
 from dumptables.operators.files import dump_files
 from dumptables.operators.integrity import (
     duplicate_keys,
+    first_places,
+    first_writers,
     fk_accepted,
     fk_missing_keys,
     fk_violations,
@@ -26,6 +28,8 @@ __all__ = [
     "contributor_rows",
     "dump_files",
     "duplicate_keys",
+    "first_places",
+    "first_writers",
     "fk_accepted",
     "fk_missing_keys",
     "fk_violations",

@@ -35,20 +35,23 @@ def keep_first(rows: DataFrame, key: Sequence[str], order: Sequence[str]) -> Dat
     return kept.select(*[F.col(c) if c in key else F.col("kept")[c].alias(c) for c in rows.columns])
 
 
-def first_writers(rows: DataFrame, key: Sequence[str], stored: DataFrame | None) -> DataFrame:
-    """One row per key that is not among the ``stored`` ones: the first by ``place`` (and ``nth``
-    within it), for staged rows of which many name the same key.
+def first_places(rows: DataFrame, key: Sequence[str], stored: DataFrame | None) -> DataFrame:
+    """For staged rows of which many name the same key: each key that is not among the ``stored``
+    ones, with the row (``scan_part, row_id``) of its first ``place``.
 
-    Only numbers are compared: the row of the first place is found in a hashed aggregation with
-    partial results in every task, and the winners' values are fetched from there afterwards.
+    Only numbers are compared, in a hashed aggregation with partial results in every task.
     """
-    winners = rows.groupBy(*key).agg(F.min_by("row_id", "place").alias("row_id"))
+    first = rows.groupBy(*key).agg(F.min_by("row_id", "place").alias("row_id"))
     if stored is not None:
-        winners = insert_absent(winners, stored, key)
-    winners = winners.withColumn("scan_part", scan_part())
-    rest = [name for name in rows.columns if name not in (*key, "row_id", "scan_part")]
-    # A row may name a key twice; there are as few rows left as there are keys.
-    met = rows.join(winners, ["scan_part", "row_id", *key])
+        first = insert_absent(first, stored, key)
+    return first.withColumn("scan_part", scan_part())
+
+
+def first_writers(rows: DataFrame, first: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Of the rows that stand in the ``first`` places of their keys, one for each key: the first
+    within its place, as a row may name a key twice."""
+    met = rows.join(first, ["scan_part", "row_id", *key])
+    rest = [name for name in rows.columns if name not in (*key, "scan_part", "row_id")]
     kept = met.groupBy(*key).agg(F.min_by(F.struct(*rest), "nth").alias("kept"))
     return kept.select(*key, *[F.col("kept")[name].alias(name) for name in rest])
 

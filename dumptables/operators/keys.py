@@ -69,6 +69,7 @@ MISSING = "(refers AND n = 0 AND NOT stored)"
 # The key cannot simply be inserted: stored already, or that of several rows.
 CONTESTED = f"(n > 0 AND (stored OR (n > 1 AND NOT {is_kind(*REPEATING)})))"
 NEW = "(n > 0 AND NOT stored)"
+REPEATED = f"(n > 1 AND NOT {is_kind(*REPEATING)})"
 
 
 def keys_of(settled: DataFrame, table: str, what: str) -> DataFrame:
@@ -84,9 +85,10 @@ def keys_of(settled: DataFrame, table: str, what: str) -> DataFrame:
 
 def summary() -> list[Column]:
     """Counts over settled keys, as metrics to observe: for each table its keys that are new,
-    those that are contested, and those that rows refer to in vain."""
+    those that are contested, those that several rows have, and those that rows refer to in vain."""
+    kinds = {"new": NEW, "contested": CONTESTED, "repeated": REPEATED, "missing": MISSING}
     return [
         F.expr(f"count_if({is_kind(name)} AND {what}) AS {name}_{label}")
         for name in KINDS
-        for label, what in (("new", NEW), ("contested", CONTESTED), ("missing", MISSING))
+        for label, what in kinds.items()
     ]

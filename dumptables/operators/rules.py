@@ -50,7 +50,7 @@ REVISION_RULES: list[Rule] = [
 
 CONTRIBUTOR_RULES: list[Rule] = [
     ("no_id", "contributor_id IS NULL"),
-    ("bad_id", _no_long("contributor_id")),
+    ("bad_id", "id IS NULL"),
 ]
 
 NAMESPACE_RULES: list[Rule] = [

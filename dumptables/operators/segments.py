@@ -81,10 +81,11 @@ FLAT_TEXT = rf"""coalesce(
          THEN nullif(regexp_extract(xml, r'<text\b[^<>]*>(\s+)</text>', 1), '') END)"""
 
 # Every author named in the revision, each with its own last filled values.
-AUTHORS = f"""filter(
+AUTHORS = f"""transform(filter(
     transform(page.revision.contributor,
               c -> struct({_filled('c.id')} AS id, {_filled('c.username')} AS username)),
-    c -> c.id IS NOT NULL OR c.username IS NOT NULL)"""
+    c -> c.id IS NOT NULL OR c.username IS NOT NULL),
+    c -> struct(c.id AS id, c.username AS username, {number_sql('c.id', 'BIGINT')} AS number))"""
 
 
 def _tag(name: str) -> Column:
@@ -165,8 +166,7 @@ def stage_metrics() -> list[Column]:
     ids = {
         "page": number("page_id"),
         "revision": "array(revision_id)",
-        "contributor": "concat(array(contributor_id), "
-        f"transform(authors, a -> {number_sql('a.id', 'BIGINT')}))",
+        "contributor": "concat(array(contributor_id), authors.number)",
     }
     return [
         F.expr("approx_count_distinct(struct(file_path, block_start)) AS splits"),

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dumptables.functions import strict_long, strict_short
+from dumptables.functions import strict_short
 from dumptables.operators.files import PLACE, scan_part
 from dumptables.operators.rules import (
     CONTRIBUTOR_RULES,
@@ -100,14 +100,14 @@ def contributor_rows(stage: DataFrame, marks: DataFrame) -> DataFrame:
     )
     authors = authors.select(
         "scan_part", *POSITION, "nth", F.col("author.id").alias("contributor_id"),
-        F.col("author.username").alias("username"),
+        F.col("author.username").alias("username"), F.col("author.number").alias("id"),
     )
     return _stamp(authors, marks).select(
         "scan_part",
         *POSITION,
         "nth",
         F.expr(PLACE).alias("place"),
-        strict_long("contributor_id").alias("id"),
+        "id",
         "dbname",
         "username",
         F.expr(_as_json("contributor_id", "dbname", "username")).alias("raw"),

@@ -16,6 +16,7 @@ from dumptables.operators.integrity import (
     at,
     claims,
     first_claims,
+    first_places,
     first_writers,
     fk_violations,
     insert_absent,
@@ -155,6 +156,12 @@ class Staged:
             return revision_rows(self.segments, self.marks)
         return page_rows(self.pages, self.marks, zero_defaults)
 
+    def authors_at(self, places: DataFrame) -> DataFrame:
+        """The contributor rows that stand at some places (``scan_part, row_id``)."""
+        rows = places.select("scan_part", "row_id").distinct()
+        met = self.segments.join(beside(rows), ["scan_part", "row_id"], "left_semi")
+        return contributor_rows(met, self.marks)
+
     def bounds(self, zero_defaults: bool = False) -> Bounds:
         """Least and greatest id that rows have or refer to, by table."""
         found: Bounds = {"siteinfo": (0, 0), "namespaces": (-(2**15), 2**15 - 1)}
@@ -203,6 +210,7 @@ class _TableLoad:
     def __init__(self, spec: TableSpec, staged: Staged, sink: Sink, work: str, options: LoadOptions):
         rows = staged.rows(spec.name, options.zero_defaults)
         self.spec = spec
+        self.staged = staged
         self.sink = sink
         self.work = f"{work}/keys/{spec.name}"
         self.rejects = [rejected(rows, spec.name)]
@@ -228,14 +236,18 @@ class _TableLoad:
         refused = at(self.rows, beside(places(positions))).withColumn("reason", F.lit(reason))
         self.rejects.append(rejected(refused, self.spec.name))
 
-    def keep_winners(self, contested: DataFrame) -> None:
+    def keep_winners(self, contested: DataFrame, repeated: bool) -> None:
         """Leave one row per key that is not stored yet, for keys that should not repeat.
 
-        The places of the losers go to the wide rows, never the other way round.
+        The places of the losers go to the wide rows, never the other way round. Where no key is
+        ``repeated``, these are all rows of stored keys.
         """
         narrow = self.rows.select(*self.spec.key, *POSITION)
         key = self.spec.key
         claimed = _kept(claims(narrow, small_side(contested), key), f"{self.work}/claimed")
+        if not repeated:
+            self.rows = not_at(self.rows, beside(places(claimed)))
+            return
         first = _kept(first_claims(claimed, key), f"{self.work}/first")
         lost = _kept(lost_claims(claimed, small_side(first), key), f"{self.work}/lost")
         repeated = lost.filter("repeated")
@@ -246,14 +258,16 @@ class _TableLoad:
     def keep_first(self, stored: DataFrame | None) -> None:
         """The same for short rows whose keys are expected to repeat: every revision names
         its author again, every file its wiki. Nothing is reported."""
-        if "place" in self.rows.columns:
-            columns = [*self.spec.columns, "row_id", "scan_part", "place", "nth"]
-            self.rows = first_writers(self.rows.select(*columns), self.spec.key, stored)
+        key = self.spec.key
+        if self.spec.name == "contributor":
+            # Values are fetched for the first places only; all else stays unread.
+            first = _kept(first_places(self.rows, key, stored), f"{self.work}/first")
+            authors = self.staged.authors_at(first).filter("reason IS NULL")
+            columns = [*self.spec.columns, "scan_part", "row_id", "nth"]
+            self.rows = first_writers(authors.select(*columns), beside(first), key)
             return
-        first = keep_first(
-            self.rows.select(*self.spec.columns, *POSITION), self.spec.key, POSITION
-        )
-        self.rows = first if stored is None else insert_absent(first, stored, self.spec.key)
+        first = keep_first(self.rows.select(*self.spec.columns, *POSITION), key, POSITION)
+        self.rows = first if stored is None else insert_absent(first, stored, key)
 
     def write(self) -> None:
         self.sink.append(self.spec, self.rows.select(self.spec.columns))
@@ -298,6 +312,11 @@ def _load_tables(
         kept = _kept(found.filter(f"{CONTESTED} OR {MISSING}"), f"{work}/keys/{label}")
         return kept, {name: count or 0 for name, count in seen.get.items()}
 
+    def is_idle(name: str) -> bool:
+        """The table has nothing to add and need not be made."""
+        none = not counts[f"{name}_new"] and hasattr(sink, "holds")
+        return none and sink.holds(load[name].spec)
+
     settled, counts = settle(load.values(), "all")
     for name in ("revision", "page"):
         table = load[name]
@@ -308,16 +327,17 @@ def _load_tables(
             # Fewer rows have keys now, and so fewer of these may be repeated or referred to.
             settled, more = settle(load.values(), f"after_{name}")
             counts |= {k: n for k, n in more.items() if not k.endswith("_new")}
-        if counts[f"{name}_contested"]:
-            table.keep_winners(keys_of(settled, name, CONTESTED))
-    for name in REPEATING:
-        stored = keys_of(settled, name, "stored") if counts[f"{name}_contested"] else None
-        load[name].keep_first(stored)
+        repeated = counts[f"{name}_repeated"] > 0
+        if repeated or (counts[f"{name}_contested"] and not is_idle(name)):
+            table.keep_winners(keys_of(settled, name, CONTESTED), repeated)
 
     def write(name: str) -> None:
-        nothing = not counts[f"{name}_new"] and hasattr(sink, "holds")
-        if not (nothing and sink.holds(load[name].spec)):
-            load[name].write()
+        if is_idle(name):
+            return
+        if name in REPEATING:
+            stored = keys_of(settled, name, "stored") if counts[f"{name}_contested"] else None
+            load[name].keep_first(stored)
+        load[name].write()
 
     def write_rejects() -> None:
         found = [rows for table in load.values() for rows in table.rejects]

@@ -201,5 +201,10 @@ SEGMENTS = _schema(
     ("bytes", T.LongType()),
     ("sha1", T.StringType()),
     ("contributor_id", T.LongType()),
-    ("authors", T.ArrayType(_schema(("id", T.StringType()), ("username", T.StringType())))),
+    (
+        "authors",
+        T.ArrayType(
+            _schema(("id", T.StringType()), ("username", T.StringType()), ("number", T.LongType()))
+        ),
+    ),
 )
