@@ -97,6 +97,23 @@ def multistream_revision(spark, sf_dir):
     return op.valid(staged(spark, sf_dir, "multistream").rows("revision"), "revision")
 
 
+def multistream_load(spark, sf_dir):
+    """The same files loaded whole: every page with the author and length of its current revision."""
+    tables = loaded(spark, sf_dir, "multistream")[0]
+    current = tables.read("revision").select(
+        F.col("id").alias("revision_id"), "dbname", "bytes", "contributor_id"
+    )
+    pages = tables.read("page").select("id", "dbname", "title", "revision_id")
+    authors = tables.read("contributor").select(
+        F.col("id").alias("contributor_id"), "dbname", "username"
+    )
+    return (
+        pages.join(current, ["revision_id", "dbname"])
+        .join(authors, ["contributor_id", "dbname"], "left")
+        .select("id", "dbname", "title", "revision_id", "bytes", "contributor_id", "username")
+    )
+
+
 def page_current_revision(spark, sf_dir):
     pages = op.valid(staged(spark, sf_dir, "conversations").rows("page"), "page")
     return pages.select("id", "dbname", "ns", "title", "revision_id")
@@ -252,9 +269,8 @@ def lookup_by_title(spark, sf_dir):
     """The page each redirect of the corpus leads to, in its own wiki. Pages are bucketed by
     title, so only the titles looked up are moved."""
     pages = _lookup_tables(spark, sf_dir).read("page")
-    wanted = _table(spark, sf_dir, "documents").filter("doc_id % 10 = 0").select(
-        F.concat(F.lit("Doc "), (F.col("doc_id") + 1).cast("string")).alias("title"),
-        F.concat("lang", F.lit("wiki")).alias("from_wiki"),
+    wanted = pages.filter("redirect IS NOT NULL").select(
+        F.col("redirect").alias("title"), F.col("dbname").alias("from_wiki")
     )
     return op.look_up(pages, wanted, "title").select("title", "from_wiki", "dbname", "id", "revision_id")
 
@@ -372,7 +388,7 @@ def fk_page_namespaces(spark, sf_dir):
 
 QUERIES = (
     siteinfo, namespaces, page, revision, contributor_first_writer,
-    multistream_page, multistream_revision,
+    multistream_page, multistream_revision, multistream_load,
     page_current_revision, revision_history, contributor_history, page_zero_defaults,
     order_page, order_contributor, order_revision, order_rejects,
     pages_per_file, load_totals,
@@ -466,6 +482,14 @@ SQL = {
     """,
     "multistream_page": _PAGE,
     "multistream_revision": _REVISION,
+    "multistream_load": f"""
+        SELECT r.id - 1000000 AS id, dbname, 'Doc ' || (r.id - 1000000) AS title,
+               r.id AS revision_id, bytes, contributor_id, username
+        FROM ({_REVISION}) r LEFT JOIN (
+            SELECT doc_id % 37 AS contributor_id, lang || 'wiki' AS dbname,
+                   'u' || min(doc_id) AS username
+            FROM {_AUTHORS} GROUP BY 1, 2) USING (contributor_id, dbname)
+    """,
     "page_current_revision": f"""
         SELECT conv_id AS id, 'convwiki' AS dbname, CAST(0 AS SMALLINT) AS ns,
                'Conv ' || conv_id AS title, conv_id * {TURNS} + min(turn) + 1 AS revision_id

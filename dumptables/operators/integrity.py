@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from dumptables.operators.bloom import bits_for, is_large, sifted
 from dumptables.operators.files import scan_part
 from dumptables.schemas import POSITION, ForeignKey
 
@@ -75,24 +76,6 @@ def stored_of(stored: DataFrame, new: DataFrame, key: Sequence[str]) -> DataFram
     return stored.select(*key).join(new.select(*key), list(key), "left_semi")
 
 
-def contested_keys(
-    rows: DataFrame, key: Sequence[str], stored: DataFrame | None = None
-) -> DataFrame:
-    """Keys that cannot simply be inserted: used by several rows (``n``), or ``stored`` already.
-
-    Only keys and counts are moved; both sides have each key once, so none is hot.
-    """
-    counts = rows.groupBy(*key).agg(F.count("*").alias("n"))
-    if stored is None:
-        return counts.filter("n > 1").withColumn("stored", F.lit(False))
-    present = stored_of(stored, counts, key).withColumn("present", F.lit(True))
-    return (
-        counts.join(present, list(key), "left")
-        .filter("n > 1 OR present")
-        .select(*key, "n", F.coalesce("present", F.lit(False)).alias("stored"))
-    )
-
-
 def claims(rows: DataFrame, contested: DataFrame, key: Sequence[str]) -> DataFrame:
     """Key and position of every row with a contested key, and whether that key is stored."""
     return rows.select(*key, *POSITION).join(contested.select(*key, "stored"), list(key))
@@ -138,16 +121,22 @@ def not_at(rows: DataFrame, places: DataFrame) -> DataFrame:
     return rows.join(places, ["scan_part", "row_id", "seg"], "left_anti")
 
 
-def fk_missing_keys(child: DataFrame, parent: DataFrame, fk: ForeignKey) -> DataFrame:
+def fk_missing_keys(
+    child: DataFrame, parent: DataFrame, fk: ForeignKey, keys: int = 1_000_000
+) -> DataFrame:
     """Referenced keys that the parent lacks, with the number of child rows using them.
 
     A reference with any NULL part is no reference. Child keys are counted before they
-    are joined, so a key used by most rows is moved and looked up once per task.
+    are joined, so a key used by most rows is moved and looked up once per task. Of a large
+    parent only those keys are moved that a Bloom filter of the referenced ones lets pass;
+    ``keys`` is how many of these to make room for.
     """
     used = child.filter(_all_set(fk.columns)).groupBy(*fk.columns).agg(F.count("*").alias("n"))
     wanted = parent.select(
         *[F.col(p).alias(c) for p, c in zip(fk.parent_columns, fk.columns, strict=True)]
     )
+    if is_large(wanted):
+        wanted = sifted(wanted, used.select(*fk.columns), bits_for(keys))
     met = stored_of(wanted, used, fk.columns)
     return used.join(met, list(fk.columns), "left_anti")
 

@@ -72,6 +72,22 @@ class _Turns:
             self.loading.result()
 
 
+# Turns of less compressed data than this are planned once, with few partitions: their stages are
+# over before adaptive execution has looked at them.
+SMALL_TURN = 8 << 20
+AS_SMALL = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "4"}
+
+
+def _mean_size(spark: SparkSession, path: str) -> float:
+    """Bytes of a file of the folder, on average; endless for what is no folder."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not store.exists(place):
+        return float("inf")
+    content = store.getContentSummary(place)
+    return content.getLength() / max(content.getFileCount(), 1)
+
+
 def load_in_turns(
     spark: SparkSession,
     path: str,
@@ -94,8 +110,9 @@ def load_in_turns(
         sink = CallableSink(sink)
     sink.ensure()
     turns = _Turns(spark, sink, work, options)
+    small = files_per_turn * _mean_size(spark, path) < SMALL_TURN
     # For the whole stream, as halves of two turns run at a time.
-    with settings(spark, SAME_TASK):
+    with settings(spark, {**SAME_TASK, **(AS_SMALL if small else {})}):
         turns.resume()
         query = (
             stream_records(spark, path, files_per_turn, source)

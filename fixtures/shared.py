@@ -45,7 +45,7 @@ def loaded(spark: SparkSession, sf_dir: str, name: str) -> tuple[ParquetSink, Lo
     """The dump loaded into Parquet tables."""
     work = work_folder(spark)
     sink = ParquetSink(spark, f"{work}/tables")
-    report = load_dump(
-        spark, dump(spark, sf_dir, name), sink, work=f"{work}/work", source=EVERY_FOLDER
-    )
+    folder = dump(spark, sf_dir, name)
+    with settings(spark, SPLITS.get(name, {})):
+        report = load_dump(spark, folder, sink, work=f"{work}/work", source=EVERY_FOLDER)
     return sink, report
