@@ -33,7 +33,8 @@ from pyspark.sql import functions as F
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁".encode()
 PART = 1 << 20
-CACHED = 1 << 19
+CACHED = 32 << 20  # bytes of words known, after which they are forgotten
+ENTRY = 200  # of which each word takes so many beside its own
 _NORMAL, _UNKNOWN, _CONTROL, _USER, _BYTE = 1, 2, 3, 4, 6  # kinds of pieces in the format
 _UNKNOWN_COST = 10.0
 _RUN = re.compile(rb"(?:\xe2\x96\x81)+(?:(?!\xe2\x96\x81).)*", re.DOTALL)
@@ -315,14 +316,18 @@ class Encoder:
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
         self.known: dict[bytes, tuple[int, ...]] = {}
+        self.size = 0  # bytes that the words known take, about
 
     def _learn(self, words: set[bytes]) -> None:
-        if len(self.known) > CACHED:
+        if self.size > CACHED:
             self.known.clear()
+            self.size = 0
         new = [w for w in words if w not in self.known]
-        for at in range(0, len(new), 1 << 15):
-            some = new[at : at + (1 << 15)]
-            self.known.update(zip(some, segment(some, self.vocabulary), strict=True))
+        for at in range(0, len(new), 1 << 13):
+            some = new[at : at + (1 << 13)]
+            found = segment(some, self.vocabulary)
+            self.known.update(zip(some, found, strict=True))
+            self.size += sum(ENTRY + len(w) + 8 * len(f) for w, f in zip(some, found, strict=True))
 
     def encode(self, texts: Iterable[bytes]) -> Iterator[np.ndarray]:
         """The ids of each text in turn; words are learnt for about a megabyte at a time."""
@@ -377,43 +382,81 @@ def decode_ids(ids, vocabulary: Vocabulary) -> bytes:
 _ROWS = 256
 
 
+def _each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows, some at a time."""
+    for whole in batches:
+        for at in range(0, whole.num_rows, _ROWS):
+            yield whole.slice(at, _ROWS)
+
+
+def _ids_of(encoder: Encoder, texts) -> pa.ListArray:
+    found = list(encoder.encode(text.as_py() or b"" for text in texts))
+    offsets = np.zeros(len(found) + 1, np.int32)
+    np.cumsum([len(x) for x in found], out=offsets[1:])
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(found)))
+
+
+def _texts_of(vocabulary: Vocabulary, ids) -> pa.StringArray:
+    texts = []
+    for one in ids:
+        values = one.values
+        texts.append(decode_ids(values.to_numpy().tolist() if values else (), vocabulary))
+    return pa.array(texts, pa.binary()).cast(pa.string())
+
+
+def _shared(df: DataFrame, path: str):
+    """The vocabulary for all tasks; as large as that is."""
+    return df.sparkSession.sparkContext.broadcast(vars(load(path)))
+
+
+def _bytes(docs: DataFrame) -> tuple[DataFrame, str]:
+    rows = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
+    return rows, docs.schema["doc_id"].dataType.simpleString()
+
+
 def encode(docs: DataFrame, path: str = MODEL) -> DataFrame:
     """doc_id, ids of every row of ``docs``."""
-    shared = docs.sparkSession.sparkContext.broadcast(vars(load(path)))  # as large as the vocabulary
+    shared = _shared(docs, path)
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(Vocabulary(**shared.value))
-        for whole in batches:
-            for at in range(0, whole.num_rows, _ROWS):
-                batch = whole.slice(at, _ROWS)
-                found = list(encoder.encode(text.as_py() or b"" for text in batch.column(1)))
-                offsets = np.zeros(len(found) + 1, np.int32)
-                np.cumsum([len(x) for x in found], out=offsets[1:])
-                ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(found)))
-                yield pa.RecordBatch.from_arrays([batch.column(0), ids], ["doc_id", "ids"])
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
+        for batch in _each(batches):
+            ids = _ids_of(encoder, batch.column(1))
+            yield pa.RecordBatch.from_arrays([batch.column(0), ids], ["doc_id", "ids"])
+
+    rows, kind = _bytes(docs)
     return rows.mapInArrow(make, f"doc_id {kind}, ids array<int>")
 
 
 def decode(encoded: DataFrame, path: str = MODEL) -> DataFrame:
     """The rows of ``encoded`` (doc_id, ids) with the text the ids stand for; null ids are none."""
-    shared = encoded.sparkSession.sparkContext.broadcast(vars(load(path)))
+    shared = _shared(encoded, path)
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = Vocabulary(**shared.value)
-        for whole in batches:
-            for at in range(0, whole.num_rows, _ROWS):
-                batch = whole.slice(at, _ROWS)
-                texts = []
-                for ids in batch.column(1):
-                    values = ids.values
-                    texts.append(decode_ids(values.to_numpy().tolist() if values else (), vocabulary))
-                text = pa.array(texts, pa.binary()).cast(pa.string())
-                yield pa.RecordBatch.from_arrays([*batch.columns, text], ["doc_id", "ids", "text"])
+        for batch in _each(batches):
+            text = _texts_of(vocabulary, batch.column(1))
+            yield pa.RecordBatch.from_arrays([*batch.columns, text], ["doc_id", "ids", "text"])
 
     kind = encoded.schema["doc_id"].dataType.simpleString()
     return encoded.select("doc_id", "ids").mapInArrow(
         make, f"doc_id {kind}, ids array<int>, text string"
     )
+
+
+def round_trip(docs: DataFrame, path: str = MODEL) -> DataFrame:
+    """What ``decode(encode(docs))`` gives, by one worker a task instead of two: ``doc_id``,
+    ``ids``, and the text that is read back from the ids."""
+    shared = _shared(docs, path)
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = Encoder(Vocabulary(**shared.value))
+        for batch in _each(batches):
+            ids = _ids_of(encoder, batch.column(1))
+            text = _texts_of(encoder.vocabulary, ids)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), ids, text], ["doc_id", "ids", "text"]
+            )
+
+    rows, kind = _bytes(docs)
+    return rows.mapInArrow(make, f"doc_id {kind}, ids array<int>, text string")

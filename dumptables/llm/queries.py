@@ -48,8 +48,7 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text, and the digest of the text that they decode to."""
-    decoded = pieces.decode(pieces.encode(table(spark, sf_dir, "documents")))
-    return decoded.select(
+    return pieces.round_trip(table(spark, sf_dir, "documents")).select(
         "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids",
         F.sha2("text", 256).alias("decoded_sha256"),
     )

@@ -273,3 +273,28 @@ def test_templates_that_cannot_be_read_back():
     for roles in (same, nested):
         with pytest.raises(ValueError, match="mark|control"):
             chat_format.Template("<s>", roles, ("[R]", "[T]", "[/R]"), (), "start", ())
+
+
+# --- pieces -----------------------------------------------------------------------------
+
+
+def test_one_pass_equals_two(spark, monkeypatch):
+    """Also where words are forgotten all the time."""
+    from dumptables.llm import pieces
+
+    texts = [None, "", "  ", "two words", "été 😀\n\nx", "w" * 3000, " ".join(map(str, range(4000)))]
+    docs = with_clashes(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"))
+    two = sorted(tuple(r) for r in pieces.decode(pieces.encode(docs)).collect())
+    monkeypatch.setattr(pieces, "CACHED", 1000)
+    assert sorted(tuple(r) for r in pieces.round_trip(docs).collect()) == two
+    assert [t for _, _, t in two] == [t or "" for t in texts]
+
+
+def test_what_an_encoder_remembers_is_bounded(monkeypatch):
+    from dumptables.llm import pieces
+
+    monkeypatch.setattr(pieces, "CACHED", 200_000)
+    encoder = pieces.Encoder(pieces.load(pieces.MODEL))
+    for k in range(60):
+        list(encoder.encode([" ".join(f"w{k}x{i}" for i in range(500)).encode()]))
+        assert encoder.size < 200_000 + 500 * 400
