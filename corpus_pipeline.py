@@ -38,7 +38,7 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids, and the digest of the text that the ids decode to."""
-    return pieces.decode(pieces.encode(docs)).select(
+    return pieces.round_trip(docs).select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),
         "ids",
