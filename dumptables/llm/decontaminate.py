@@ -13,8 +13,8 @@ A test item of fewer than ``span`` words is one window itself and is looked up b
 length; lengths below ``span`` are few, so they are constants of the plan.
 
 Nulls and ties: a null text has no words; a null item id is counted as an item like any other
-id; rows that share a doc_id are one document as to its hits, each with its own n_words. An
-empty table on either side gives no hits.
+id; rows that share a doc_id, or have none, are told apart by their text, each with its own hits,
+and equal rows are one document. An empty table on either side gives no hits.
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dumptables.llm.common import ascii_lower, let, written
+from dumptables.llm.passages import text_key
 from dumptables.llm.sieve import bitmap, passes, without
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -159,17 +160,20 @@ def item_windows(benchmark: DataFrame, gram: int, span: int) -> tuple[DataFrame,
 def contamination_spans(
     docs: DataFrame, benchmark: DataFrame, span: int = SPAN, gram: int = GRAM, bits: int = BITS
 ) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, n_words) of every row, and (doc_id, item_id, start, stop) of all equal runs."""
+    """(doc_id, row, n_words) of every row, and (doc_id, row, item_id, start, stop) of all equal
+    runs; ``row`` is the text's key."""
     long, short = item_windows(benchmark, gram, span)
     sizes = [r[0] for r in short.select(F.size("window")).distinct().collect()]  # below span
     text = docs.select(
         "doc_id",
+        text_key().alias("row"),
         words_of().alias("words"),
         bitmap(long.select("hash"), bits).alias("long_bits"),
         bitmap(short.select("hash"), bits).alias("short_bits"),
     )
     found = text.select(
         "doc_id",
+        "row",
         F.size("words").cast("bigint").alias("n_words"),
         _fingerprints(F.col("words"), gram, span, passes(F.col("long_bits"), bits)).alias("long"),
         _short_windows(
@@ -178,23 +182,25 @@ def contamination_spans(
     )
     found = written(found, "doc_fingerprints")
     theirs = long.select("item_id", "hash", F.col("context").alias("item_context"))
-    pairs = found.select("doc_id", F.explode("long").alias("f")).select("doc_id", "f.*").join(theirs, "hash")
+    pairs = found.select("doc_id", "row", F.explode("long").alias("f"))
+    pairs = pairs.select("doc_id", "row", "f.*").join(theirs, "hash")
     grown = pairs.select(
-        "doc_id", "item_id", "at",
+        "doc_id", "row", "item_id", "at",
         _equal_run(_before(F.col("context")), _before(F.col("item_context"))).alias("left"),
         # The gram itself is compared too: hashes may collide.
         _equal_run(_after(F.col("context"), 0), _after(F.col("item_context"), 0)).alias("right"),
     )
     long_runs = grown.filter((F.col("left") + F.col("right") >= span) & (F.col("right") >= gram)).select(
-        "doc_id", "item_id",
+        "doc_id", "row", "item_id",
         (F.col("at") - F.col("left")).alias("start"), (F.col("at") + F.col("right")).alias("stop"),
     )
-    short_hits = found.select("doc_id", F.explode("short").alias("f")).select("doc_id", "f.*")
+    short_hits = found.select("doc_id", "row", F.explode("short").alias("f"))
+    short_hits = short_hits.select("doc_id", "row", "f.*")
     short_runs = short_hits.join(short, ["hash", "window"]).select(
-        "doc_id", "item_id",
+        "doc_id", "row", "item_id",
         F.col("at").alias("start"), (F.col("at") + F.size("window")).alias("stop"),
     )
-    return found.select("doc_id", "n_words"), long_runs.union(short_runs)
+    return found.select("doc_id", "row", "n_words"), long_runs.union(short_runs)
 
 
 def covered(spans: Column) -> Column:
@@ -214,17 +220,18 @@ def covered(spans: Column) -> Column:
 def contamination(
     docs: DataFrame, benchmark: DataFrame, span: int = SPAN, gram: int = GRAM, bits: int = BITS
 ) -> DataFrame:
-    """doc_id, n_words, n_hit, items (sorted as strings), spans of every row of ``docs``."""
+    """doc_id, row (the text's key), n_words, n_hit, items (sorted as strings), spans of every
+    row of ``docs``."""
     rows, runs = contamination_spans(docs, benchmark, span, gram, bits)
     # Sets combine within tasks first: a passage shared by many documents, or many items, is
     # spread over its documents here.
-    hits = runs.groupBy(F.col("doc_id").alias("__id")).agg(
+    hits = runs.groupBy(F.col("doc_id").alias("__id"), F.col("row").alias("__row")).agg(
         F.array_sort(F.collect_set(F.struct("start", "stop"))).alias("spans"),
         F.array_sort(F.collect_set(F.coalesce(F.col("item_id").cast("string"), F.lit("")))).alias("items"),
     )
-    joined = rows.join(hits, rows["doc_id"].eqNullSafe(hits["__id"]), "left")
-    return joined.select(
-        "doc_id", "n_words",
+    same_row = rows["doc_id"].eqNullSafe(hits["__id"]) & (rows["row"] == hits["__row"])
+    return rows.join(hits, same_row, "left").select(
+        "doc_id", "row", "n_words",
         F.coalesce(covered(F.col("spans")), F.lit(0)).cast("bigint").alias("n_hit"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),
         "spans",
@@ -237,9 +244,6 @@ def is_contaminated(n_hit: str = "n_hit", n_words: str = "n_words") -> Column:
 
 
 def clean_of(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are not contaminated, all columns unchanged.
-
-    A doc_id of which one row is contaminated goes with all its rows.
-    """
-    bad = contamination(docs, benchmark).filter(is_contaminated())
-    return without(docs, [F.col("doc_id")], written(bad.select("doc_id"), "contaminated"))
+    """The rows of ``docs`` that are not contaminated, all columns unchanged."""
+    bad = contamination(docs, benchmark).filter(is_contaminated()).select("doc_id", "row")
+    return without(docs, [F.col("doc_id"), text_key()], written(bad, "contaminated"))

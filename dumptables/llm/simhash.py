@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from dumptables.llm.common import let, written
 from dumptables.llm.components import components
-from dumptables.llm.passages import rows_of
+from dumptables.llm.passages import rows_of, text_key, texts
 from dumptables.llm.sieve import bitmap, passes, without
 
 SEED = 42
@@ -241,7 +241,8 @@ def _set_of(text: bytes, size: int) -> tuple[int, np.ndarray]:
 
 
 def set_fingerprints(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, node (the set of shingles), its f0, f1, ... and its minima's keys of every row."""
+    """doc_id, row (the text's key), node (the set of shingles), its f0, f1, ... and its minima's
+    keys of every row."""
     names = [f"f{k}" for k in range(LANES)]
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -249,21 +250,21 @@ def set_fingerprints(docs: DataFrame, size: int) -> DataFrame:
             nodes = np.empty(batch.num_rows, np.uint64)
             found = np.empty((batch.num_rows, LANES), np.uint64)
             bands = np.empty((batch.num_rows, BANDS), np.uint64)
-            for i, text in enumerate(batch.column(1)):
+            for i, text in enumerate(batch.column(2)):
                 nodes[i], hashes = _set_of(text.as_py() or b"", size)
                 found[i], bands[i] = _majority(hashes, LANES), _minima_keys(hashes)
             stops = pa.array(np.arange(0, bands.size + 1, BANDS, dtype=np.int32))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(nodes.view(np.int64)),
+                [batch.column(0), batch.column(1), pa.array(nodes.view(np.int64)),
                  *(pa.array(found[:, k].view(np.int64)) for k in range(LANES)),
                  pa.ListArray.from_arrays(stops, pa.array(bands.ravel().view(np.int64)))],
-                ["doc_id", "node", *names, "bands"],
+                ["doc_id", "row", "node", *names, "bands"],
             )
 
-    rows = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
+    rows = texts(docs)
     kind = docs.schema["doc_id"].dataType.simpleString()
     words = ", ".join(f"{n} bigint" for n in names)
-    return rows.mapInArrow(make, f"doc_id {kind}, node bigint, {words}, bands array<bigint>")
+    return rows.mapInArrow(make, f"doc_id {kind}, row bigint, node bigint, {words}, bands array<bigint>")
 
 
 def _wide_keys(classes: DataFrame, orders: int, key_bits: int) -> DataFrame:
@@ -419,31 +420,45 @@ def near_links(
     return links
 
 
-def near_groups(docs: DataFrame, size: int = 5, limit: int = WIDE_LIMIT) -> DataFrame:
-    """(doc_id, component_id) of the documents that have a near copy with another set of
-    shingles or the same one; component_id is the smallest doc_id reachable."""
+def near_rows(docs: DataFrame, size: int = 5, limit: int = WIDE_LIMIT) -> DataFrame:
+    """(doc_id, row, component_id, component_row) of the rows that have a near copy with another
+    set of shingles or the same one. The component is named by the smallest doc_id reachable and
+    the smallest key of a text that it has there. Rows of one doc_id but different texts are
+    documents of their own; equal rows are one document."""
     docs = docs.filter("doc_id IS NOT NULL")
     rows = written(set_fingerprints(docs, size), "fingerprints")
     names = [f"f{k}" for k in range(LANES)]
     classes = written(
         rows.groupBy("node").agg(
             F.min("doc_id").alias("first"), F.count("*").alias("n"),
+            F.min(F.struct("doc_id", "row")).alias("head"),
             *(F.first(c).alias(c) for c in [*names, "bands"]),
         ),
         "classes",
     )
     parts = components(near_links(classes, docs, size, limit))
     placed = classes.join(parts, "node", "left").filter("n > 1 OR component IS NOT NULL")
-    placed = placed.select("node", "first", F.coalesce("component", "node").alias("component"))
+    placed = placed.select("node", "head", F.coalesce("component", "node").alias("component"))
     placed = written(placed, "placed")
-    heads = placed.groupBy("component").agg(F.min("first").alias("component_id"))
-    named = placed.join(heads, "component").select("node", "component_id")
-    return rows.select("doc_id", "node").join(named, "node").select("doc_id", "component_id")
+    heads = placed.groupBy("component").agg(F.min("head").alias("head"))
+    named = placed.drop("head").join(heads, "component").select(
+        "node",
+        F.col("head.doc_id").alias("component_id"),
+        F.col("head.row").alias("component_row"),
+    )
+    found = rows.select("doc_id", "row", "node").join(named, "node")
+    return found.select("doc_id", "row", "component_id", "component_row")
+
+
+def near_groups(docs: DataFrame, size: int = 5, limit: int = WIDE_LIMIT) -> DataFrame:
+    """(doc_id, component_id) of ``near_rows``."""
+    return near_rows(docs, size, limit).select("doc_id", "component_id")
 
 
 def one_of_each(docs: DataFrame, size: int = 5, limit: int = WIDE_LIMIT) -> DataFrame:
     """The rows of ``docs`` without those that have a near copy of smaller doc_id; all columns
-    unchanged. Rows with a null doc_id stay."""
-    groups = near_groups(docs, size, limit)
-    gone = groups.filter("doc_id <> component_id").select("doc_id")
-    return without(docs, [F.col("doc_id")], written(gone, "near_copies"))
+    unchanged. Rows with a null doc_id stay, and so do unrelated texts under one doc_id."""
+    groups = near_rows(docs, size, limit)
+    first = F.struct("doc_id", "row") == F.struct("component_id", "component_row")
+    gone = groups.filter(~first).select("doc_id", "row")
+    return without(docs, [F.col("doc_id"), text_key()], written(gone, "near_copies"))

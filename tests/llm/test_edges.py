@@ -146,12 +146,37 @@ def test_contamination(docs, items):
     wanted = brute.contamination(TEXTS, [(r.item_id, r.text) for r in items.collect()])
     # A null item id is written as the empty string.
     wanted = [(i, n, hit, sorted("" if x == "None" else x for x in got)) for i, n, hit, got in wanted]
-    by_hits = {i: (hit, got) for i, _, hit, got in wanted if i not in (6, None)}
-    got = {r.doc_id: (r.n_hit, sorted(r["items"])) for r in found.collect()}
-    assert {i: got[i] for i in by_hits} == by_hits
+    got = [(r.doc_id, r.n_words, r.n_hit, sorted(r["items"])) for r in found.collect()]
+    assert sorted(got, key=repr) == sorted(wanted, key=repr)
     clean = decontaminate.clean_of(docs, items)
     assert clean.columns == docs.columns
-    assert not {10, 11, 9} & {r.doc_id for r in clean.collect()}
+    stay = [(i, t) for (i, t), (_, n, hit, _) in zip(TEXTS, wanted, strict=True) if not (hit and 20 * hit >= n)]
+    assert rows_of(clean, "doc_id", "text") == sorted(stay, key=repr)
+
+
+def test_rows_without_id_are_judged_on_their_own(spark, items):
+    """Several null ids, and one id with unrelated texts: only the contaminated rows go."""
+    item = items.first().text
+    rows = [(None, item), (None, "four clean words here"), (None, None), (2, f"x {item}"), (2, "other words"), (2, "other words")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    clean = decontaminate.clean_of(docs, items)
+    assert rows_of(clean, "doc_id", "text") == sorted(
+        [(None, "four clean words here"), (None, None), (2, "other words"), (2, "other words")], key=repr
+    )
+
+
+def test_unrelated_texts_under_one_id_are_no_near_copies(spark):
+    base = [f"w{i}" for i in range(100)]
+    near = " ".join(base[:50] + ["changed"] + base[51:])
+    rows = [
+        (1, " ".join(base)), (2, near), (2, "something else altogether under the same id"), (2, None),
+        (3, "short"), (3, near + " end"), (None, near), (4, "p q r s t u v w x y z"), (4, "p q r s t u v w x y z"),
+    ]
+    kept = simhash.one_of_each(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    # Equal rows are one document; without a doc_id a row is no copy.
+    assert rows_of(kept, "doc_id", "text") == sorted(
+        [rows[0], rows[2], rows[3], rows[4], rows[6], rows[7], rows[8]], key=repr
+    )
 
 
 def test_url_filter(spark):
