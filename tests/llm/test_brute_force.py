@@ -3,6 +3,7 @@
 import math
 import os
 import random
+import re
 import zlib
 
 import corpus_pipeline
@@ -139,29 +140,80 @@ def test_parts_of_long_texts_encode_like_the_whole(monkeypatch):
     assert next(pieces.Encoder(vocabulary).encode([text])).tolist() == whole
 
 
+def plain_ngrams(text, buckets):
+    tokens = [zlib.crc32(t.encode()) for t in re.findall(r"[A-Za-z0-9\u0080-\U0010ffff]+|[^\sA-Za-z0-9\u0080-\U0010ffff]+", re.sub("[0-9]+", "0", text), re.ASCII)]
+    for a in tokens:
+        yield a % buckets
+    for a, b in zip(tokens, tokens[1:], strict=False):
+        mixed = (a * 0x9E3779B97F4A7C15 + b) % 2**64
+        yield 0 if a == b else (mixed ^ (mixed >> 31)) % buckets
+
+
+def plain_choice(weights, labels, held_out):
+    """The cut between labelled bad documents and good ones that are no target text."""
+    good = {weights[i] for i, q in labels.items() if q == 1 and i in weights and i in held_out}
+    bad = {weights[i] for i, q in labels.items() if q == 0 and i in weights}
+    both = sorted(good | bad)
+    gain = lambda c: sum(w < c for w in bad) / len(bad) - sum(w < c for w in good) / len(good)
+    best = max(both, key=lambda c: (round(gain(c), 9), -c))
+    return (best + max(w for w in both if w < best)) / 2
+
+
 @needs_tables
 def test_importance_query(spark):
     """Weights and choice, from counts made in plain Python."""
     docs = texts(spark, SMALL)
-    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{SMALL}/labels.parquet").collect()}
+    table = spark.read.parquet(f"{SMALL}/labels.parquet")
+    labels = {r.doc_id: r.quality for r in table.collect()}
+    held_out = {r.doc_id for r in table.filter(importance.held_out()).collect()}
+    assert 0 < len(held_out) < len(labels) / 2
     raw, target = [0] * importance.BUCKETS, [0] * importance.BUCKETS
-    grams = {}
+    grams, wanted = {}, {}
     for i, text in docs:
-        grams[i] = [g for part in importance.ngrams(text.encode()) for g in part.tolist()]
-        for g in grams[i]:
+        grams[i] = list(plain_ngrams(text, importance.BUCKETS))
+        wanted[text] = wanted.get(text, False) or (labels.get(i) == 1 and i not in held_out)
+    for text, chosen in wanted.items():
+        for g in plain_ngrams(text, importance.BUCKETS):
             raw[g] += 1
-            target[g] += labels.get(i) == 1
+            target[g] += chosen
     share = lambda counts: [math.log((c + 1) / (sum(counts) + len(counts))) for c in counts]
     ratio = [a - b for a, b in zip(share(target), share(raw), strict=True)]
     found = queries.op2_importance_resampling(spark, SMALL).collect()
     for r in found:
         assert math.isclose(r.log_weight, sum(ratio[g] for g in grams[r.doc_id]), abs_tol=1e-6)
-    good = sum(q == 1 for q in labels.values()) / len(labels)
-    k = round(len(docs) * min(1, good + importance.MARGIN))
+    weights = {r.doc_id: r.log_weight for r in found}
+    cut = plain_choice(weights, labels, held_out)
+    k = sum(w >= cut for w in weights.values())
     ranked = sorted((r.sampled for r in found), reverse=True)
     assert {r.doc_id for r in found if r.selected} == {r.doc_id for r in found if r.sampled >= ranked[k - 1]}
 
 
+@needs_tables
+def test_copies_do_not_shift_the_quality_model(spark):
+    """One clean document copied until a third of all rows: no copy goes, the bad ones do."""
+    docs = spark.read.parquet(f"{MIDDLE}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{MIDDLE}/labels.parquet")
+    good = docs.join(labels.filter("quality = 1"), "doc_id").filter("length(text) > 500")
+    text = good.orderBy("doc_id").first().text
+    copies = spark.range(10**6, 10**6 + docs.count() // 2).select(F.col("id").alias("doc_id"), F.lit(text).alias("text"))
+    plain = {r.doc_id: r.log_weight for r in importance.resample(docs, labels).collect()}
+    found = importance.resample(docs.union(copies), labels).collect()
+    assert all(r.selected for r in found if r.doc_id >= 10**6)
+    assert all(math.isclose(r.log_weight, plain[r.doc_id], abs_tol=1e-6) for r in found if r.doc_id in plain)
+    kept = {r.doc_id for r in found if r.selected}
+    bad, clean = ({r.doc_id for r in labels.collect() if r.quality == q} & set(plain) for q in (0, 1))
+    assert len(bad - kept) >= 0.9 * len(bad)
+    assert len(clean & kept) >= 0.97 * len(clean)
+    stay = importance.selected_of(docs.union(copies), labels)
+    assert sorted(r.doc_id for r in stay.collect()) == sorted(kept)
+
+
+def test_buckets_grow_with_the_texts():
+    sizes = [importance.buckets_for(n) for n in (0, 1000, 10**5, 10**8, 10**11)]
+    assert sizes[0] == sizes[1] == importance.BUCKETS
+    assert sizes[1] < sizes[2] < sizes[3] < sizes[4] < 5 * 10**6
+
+
 def test_kth_largest(spark):
     random.seed(8)
     values = [random.choice([random.gauss(0, 1), 0.5, -1e6]) for _ in range(3000)]
