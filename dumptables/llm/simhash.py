@@ -15,6 +15,8 @@ fingerprints within two bits have a common neighbour within one bit, so each sta
 neighbours and all that share one are linked to the smallest of them. A point has 65
 neighbours, so this grows in step with the fingerprints and no group is ever large.
 
+``one_of_each`` keeps one document of each group so linked.
+
 ``near_groups`` serves similarities for which no key is certain to agree: wider fingerprints of
 the set of shingles, several fixed orders of their bits, and segments of each order as keys,
 chains and distance checked as above. As bits alone miss about one pair in six at Jaccard 0.8,
@@ -93,20 +95,23 @@ def _majority(hashes: np.ndarray, lanes: int) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, size: int, lanes: int = 1) -> DataFrame:
-    """doc_id and f0, f1, ... (bigint, the bits of 64-bit words) of every row."""
+    """doc_id, row (the text's key) and f0, f1, ... (bigint, the bits of 64-bit words) of every
+    row."""
     names = [f"f{k}" for k in range(lanes)]
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = np.empty((batch.num_rows, lanes), np.uint64)
-            for i, text in enumerate(batch.column(1)):
+            for i, text in enumerate(batch.column(2)):
                 found[i] = fingerprint(text.as_py() or b"", size, lanes)
             columns = [pa.array(found[:, k].view(np.int64)) for k in range(lanes)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["doc_id", *names])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), *columns], ["doc_id", "row", *names]
+            )
 
-    rows = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
+    rows = texts(docs)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(make, f"doc_id {kind}, " + ", ".join(f"{n} bigint" for n in names))
+    return rows.mapInArrow(make, f"doc_id {kind}, row bigint, " + ", ".join(f"{n} bigint" for n in names))
 
 
 def within_chain(differences: list[Column], limit: int) -> Column:
@@ -184,9 +189,9 @@ def close_links(classes: DataFrame) -> DataFrame:
     return links.union(stars).distinct()
 
 
-def close_groups(docs: DataFrame, size: int = 3) -> DataFrame:
-    """doc_id, f0, component_id of every row: the smallest doc_id it reaches over links of at
-    most two differing bits."""
+def close_rows(docs: DataFrame, size: int = 3) -> DataFrame:
+    """doc_id, row (the text's key), f0, component (one of its fingerprints) and component_id of
+    every row: the smallest doc_id it reaches over links of at most two differing bits."""
     rows = written(fingerprints(docs, size), "fingerprints")
     classes = written(rows.groupBy("f0").agg(F.min("doc_id").alias("first")), "classes")
     parts = components(close_links(classes))
@@ -195,8 +200,25 @@ def close_groups(docs: DataFrame, size: int = 3) -> DataFrame:
     )
     placed = written(placed, "placed")
     heads = placed.groupBy("component").agg(F.min("first").alias("component_id"))
-    named = placed.join(heads, "component").select("f0", "component_id")
-    return rows.join(named, "f0").select("doc_id", "f0", "component_id")
+    named = placed.join(heads, "component").select("f0", "component", "component_id")
+    return rows.join(named, "f0").select("doc_id", "row", "f0", "component", "component_id")
+
+
+def close_groups(docs: DataFrame, size: int = 3) -> DataFrame:
+    """doc_id, f0, component_id of ``close_rows``."""
+    return close_rows(docs, size).select("doc_id", "f0", "component_id")
+
+
+def one_of_each(docs: DataFrame, size: int = 3) -> DataFrame:
+    """The rows of ``docs`` without those linked, directly or over others, to a row of smaller
+    doc_id; all columns unchanged. Of texts under one doc_id that are linked the one of smallest
+    key stays, unrelated ones all do; equal rows are one document. Rows with a null doc_id stay."""
+    groups = written(close_rows(docs.filter("doc_id IS NOT NULL"), size), "close_rows")
+    heads = groups.filter("doc_id = component_id").groupBy("component").agg(F.min("row").alias("head"))
+    met = groups.join(heads, "component")
+    gone = met.filter((F.col("doc_id") != F.col("component_id")) | (F.col("row") != F.col("head")))
+    gone = written(gone.select("doc_id", "row"), "close_copies")
+    return without(docs, [F.col("doc_id"), text_key()], gone)
 
 
 # --- wide fingerprints, any similarity ---------------------------------------------------
@@ -455,7 +477,7 @@ def near_groups(docs: DataFrame, size: int = 5, limit: int = WIDE_LIMIT) -> Data
     return near_rows(docs, size, limit).select("doc_id", "component_id")
 
 
-def one_of_each(docs: DataFrame, size: int = 5, limit: int = WIDE_LIMIT) -> DataFrame:
+def one_of_similar(docs: DataFrame, size: int = 5, limit: int = WIDE_LIMIT) -> DataFrame:
     """The rows of ``docs`` without those that have a near copy of smaller doc_id; all columns
     unchanged. Rows with a null doc_id stay, and so do unrelated texts under one doc_id."""
     groups = near_rows(docs, size, limit)

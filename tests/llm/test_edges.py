@@ -120,13 +120,27 @@ def test_simhash(docs):
     assert component[2] == 1
 
 
-def test_near_copies(docs):
-    kept = simhash.one_of_each(docs)
+@pytest.mark.parametrize("keep", [simhash.one_of_each, simhash.one_of_similar])
+def test_near_copies(docs, keep):
+    kept = keep(docs)
     assert kept.columns == docs.columns
     ids = rows_of(kept, "doc_id")
     assert (8,) not in ids and (7,) in ids and ids.count((None,)) == 2
 
 
+def test_close_copies_go_by_row(spark):
+    """Texts of one fingerprint; unrelated ones under the same id, or under none, stay."""
+    rows = [
+        (1, "a b c d e f g"), (2, "A B c  d e f g"), (2, "something else altogether here"), (2, None), (3, ""),
+        (None, "a b c d e f g"), (4, "p q r s t"), (4, "P q r s t"), (5, "u v w x"), (5, "u v w x"),
+    ]
+    kept = rows_of(simhash.one_of_each(spark.createDataFrame(rows, "doc_id bigint, text string")), "doc_id", "text")
+    fours = [r for r in kept if r[0] == 4]
+    assert len(fours) == 1
+    stay = [rows[0], rows[2], rows[3], rows[5], rows[8], rows[9]]
+    assert [r for r in kept if r[0] != 4] == sorted(stay, key=repr)
+
+
 def test_toxicity(docs, labels):
     found = toxicity.score(docs, labels)
     assert same_rows(found, docs)
@@ -172,7 +186,7 @@ def test_unrelated_texts_under_one_id_are_no_near_copies(spark):
         (1, " ".join(base)), (2, near), (2, "something else altogether under the same id"), (2, None),
         (3, "short"), (3, near + " end"), (None, near), (4, "p q r s t u v w x y z"), (4, "p q r s t u v w x y z"),
     ]
-    kept = simhash.one_of_each(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    kept = simhash.one_of_similar(spark.createDataFrame(rows, "doc_id bigint, text string"))
     # Equal rows are one document; without a doc_id a row is no copy.
     assert rows_of(kept, "doc_id", "text") == sorted(
         [rows[0], rows[2], rows[3], rows[4], rows[6], rows[7], rows[8]], key=repr
@@ -210,6 +224,7 @@ def test_empty_tables(spark, none, labels, items):
     assert pieces.decode(pieces.encode(none)).isEmpty()
     assert simhash.close_groups(none).isEmpty()
     assert simhash.one_of_each(none).isEmpty()
+    assert simhash.one_of_similar(none).isEmpty()
     assert toxicity.score(none, labels).isEmpty()
     assert exact_dedup.exact_dedup(none).isEmpty()
     assert decontaminate.contamination(none, items).isEmpty()
