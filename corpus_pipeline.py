@@ -27,7 +27,7 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of near copies (five-word shingles, similarity 0.8 or more) the one of smallest doc_id."""
+    """Of texts linked by SimHash (three-word shingles, two bits at most) the smallest doc_id."""
     return simhash.one_of_each(docs)
 
 
