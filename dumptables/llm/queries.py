@@ -422,3 +422,5 @@ SQL = {
         FROM said GROUP BY conv_id
     """,
 }
+# Both remove the same passages, found by different methods.
+SQL["op6_suffix_array_dedup"] = SQL["op3_substring_dedup"]

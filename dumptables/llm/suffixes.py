@@ -6,16 +6,15 @@ in some ``SPAN`` words. Every passage of ``PASSAGE`` words holds such a place wi
 ``AHEAD`` words at least. The hash of these words tells which suffixes are worth keeping: a
 bitmap, of fixed size, of those that several documents have goes to all tasks.
 
-Kept suffixes, with the words just before them, are combined when equal and sorted over all
-partitions by range. Each is compared with its neighbour, with the smallest doc_id of the run of
-agreeing suffixes so far, and with the smallest doc_id of its group; neighbours across the edges
-of partitions are compared too. A match is extended word by word to both sides; if it has
-``PASSAGE`` words, they go from every document but those of smaller or equal doc_id.
+Kept suffixes, with the words just before them, are combined when equal, word for word, and
+sorted. The words that neighbours have in common, to the right from the place on and to the left
+before it, say which passages of ``PASSAGE`` words around the place they share; of the documents
+that share one, all but that of smallest doc_id lose it. Every passage lies in the words kept
+with its suffix, so no match is missed.
 
-A neighbour in this order need not share the words to the left. So each kept suffix is compared
-once more for every left extension of 0 to ``BEHIND`` words, by a 128-bit hash of the ``PASSAGE``
-words that begin there: suffixes with equal ones form a run, and all learn its smallest doc_id.
-Every passage lies in the words kept with its suffix, so no match is missed.
+Suffixes of one key (that hash) are sorted in one task, up to ``CROWD`` different ones. A key with
+more, such as a phrase that many documents have in ever other surroundings, is dealt by the
+passages around it instead; the matches are the same.
 
 No word goes that does not stand in such a passage of a document of smaller doc_id, so one copy
 of everything stays.
@@ -28,6 +27,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import groupby, islice
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +40,7 @@ from dumptables.llm.passages import (
     SEED, Bits, kept_words, rows_of, run_hashes, sliding_min, texts, word_hashes,
 )
 from dumptables.llm.sieve import local_bitmap
+from dumptables.session import small_side
 
 PASSAGE = 50
 GRAM = 8
@@ -47,6 +48,7 @@ SPAN = 25
 BEHIND = SPAN - GRAM
 AHEAD = PASSAGE - BEHIND
 KEY_BITS = 24  # 2 MiB
+CROWD = 1000  # some 400 kB of words
 
 
 def places(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -136,7 +138,7 @@ def _agree(a: list[bytes], b: list[bytes]) -> int:
 
 
 class _Suffix:
-    """A distinct suffix: its words, and the smallest and largest doc_id that have it."""
+    """A distinct suffix: its words to both sides, and the smallest and largest doc_id with it."""
 
     __slots__ = ("key", "name", "ahead", "behind", "low", "high")
 
@@ -144,33 +146,57 @@ class _Suffix:
         self.key, self.name, self.low, self.high = key, name, low, high
         self.ahead, self.behind = ahead.split(), behind.split()
 
-    def matches(self, other: _Suffix) -> tuple[int, int] | None:
-        if self.key != other.key:
-            return None
-        left, right = _agree(self.behind, other.behind), _agree(self.ahead, other.ahead)
-        return (left, right) if left + right >= PASSAGE else None
-
-
-def _both(a: _Suffix, b: _Suffix, out: list[tuple]) -> bool:
-    """Report a match of two suffixes to each that has documents after the other's first."""
-    match = a.matches(b)
-    if match:
-        for x, y in ((a, b), (b, a)):
-            if y.low < x.high:
-                out.append((x.key, x.name, *match, y.low))
-    return match is not None
+    def extensions(self) -> range:
+        """How many words to the left a passage that holds this place may begin."""
+        return range(max(0, PASSAGE - len(self.ahead)), len(self.behind) + 1)
+
+
+def _spans(extensions: list[int]) -> Iterator[tuple[int, int]]:
+    """Words to the left and right of runs of passages; ``extensions`` ascend."""
+    start = before = extensions[0]
+    for e in extensions[1:]:
+        if e != before + 1:
+            yield before, PASSAGE - start
+            start = e
+        before = e
+    yield before, PASSAGE - start
+
+
+def _sorted_matches(group: list[_Suffix]) -> Iterator[tuple]:
+    """key, name, left, right, first of the suffixes of one key, which come sorted.
+
+    The common words of neighbours say which suffixes agree on so many words to the right: they
+    stand in one run. Of a run, those with the same words to the left have the passage that begins
+    there in common; the smallest doc_id among them stays.
+    """
+    common = [_agree(x.ahead, y.ahead) for x, y in zip(group, group[1:], strict=False)]
+    found: list[dict[int, list[int]]] = [{} for _ in group]
+    for e in range(BEHIND + 1):
+        at = 0
+        while at < len(group):
+            end = at + 1
+            while end < len(group) and common[end - 1] >= PASSAGE - e:
+                end += 1
+            having = [i for i in range(at, end) if e in group[i].extensions()]
+            lows: dict[tuple, int] = {}
+            for i in having:
+                left = tuple(group[i].behind[:e])
+                lows[left] = min(lows.get(left, group[i].low), group[i].low)
+            for i in having:
+                first = lows[tuple(group[i].behind[:e])]
+                if first < group[i].high:
+                    found[i].setdefault(first, []).append(e)
+            at = end
+    for own, firsts in zip(group, found, strict=True):
+        for first, extensions in firsts.items():
+            for left, right in _spans(extensions):
+                yield own.key, own.name, left, right, first
 
 
 _MATCHES = "key bigint, name bigint, `left` int, `right` int, first bigint"
-_EDGE = (
-    "edge int, key bigint, name bigint, ahead binary, behind binary, low bigint, high bigint, "
-    "`left` int, `right` int, first bigint"
-)
-_EDGE_NAMES = ["edge", "key", "name", "ahead", "behind", "low", "high", "left", "right", "first"]
-_EDGE_TYPES = [
-    pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64(),
-    pa.int32(), pa.int32(), pa.int64(),
-]
+_MATCH_NAMES = ["key", "name", "left", "right", "first"]
+_MATCH_TYPES = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64()]
+_WORDS = ["key", "name", "ahead", "behind", "low", "high"]
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
@@ -178,116 +204,82 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         yield from zip(*(c.to_pylist() for c in batch.columns), strict=True)
 
 
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    columns = zip(*rows, strict=True)
-    arrays = [pa.array(c, t) for c, t in zip(columns, _EDGE_TYPES, strict=True)]
-    return pa.RecordBatch.from_arrays(arrays, _EDGE_NAMES)
+def _batches(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+    while part := list(islice(rows, 5000)):
+        columns = zip(*part, strict=True)
+        arrays = [pa.array(c, t) for c, t in zip(columns, _MATCH_TYPES, strict=True)]
+        yield pa.RecordBatch.from_arrays(arrays, _MATCH_NAMES)
 
 
 def compare_neighbours(contexts: DataFrame) -> DataFrame:
-    """Matches of suffixes next to each other in sorted order; see the module's text."""
+    """Matches of suffixes that stand together in sorted order; at most ``CROWD`` a key."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out: list[tuple] = []
-        before = best = raw = None
-        for raw in _rows(batches):
-            own = _Suffix(*raw)
-            if before is None:
-                out.append((0, *raw, None, None, None))
-            found: list[tuple] = []
-            if own.low < own.high and len(own.ahead) + len(own.behind) >= PASSAGE:
-                found.append((own.key, own.name, len(own.behind), len(own.ahead), own.low))
-            joined = before is not None and _both(own, before, found)
-            if joined and best is not before:
-                _both(own, best, found)
-            if not joined or own.low < best.low:
-                best = own
-            out += [(None, k, n, None, None, None, None, *m) for k, n, *m in found]
-            before = own
-            if len(out) > 5000:
-                yield _batch(out)
-                out = []
-        if raw is not None:
-            out.append((1, *raw, None, None, None))
-        if out:
-            yield _batch(out)
-
-    columns = ["key", "name", "ahead", "behind", "low", "high"]
-    dealt = contexts.select(columns).repartitionByRange("key", "ahead", "behind")
-    dealt = dealt.sortWithinPartitions("key", "ahead", "behind")
-    found = written(dealt.mapInArrow(make, _EDGE), "neighbours")
-    # The last suffix of a partition and the first of the next: two rows a partition.
-    order = Window.orderBy("key", "ahead", "behind", "edge")
-    edges = found.filter("edge IS NOT NULL").select("edge", *columns)
-    lag = [F.lag(c).over(order).alias(f"p_{c}") for c in ["edge", *columns]]
-    pairs = edges.select("edge", *columns, *lag).filter("edge = 0 AND p_edge = 1")
-    across = _compare(pairs.select(*columns, *(f"p_{c}" for c in columns)))
-    return found.filter("edge IS NULL").select("key", "name", "left", "right", "first").union(across)
-
-
-def _compare(pairs: DataFrame) -> DataFrame:
-    """Matches of pairs of suffixes, six columns each."""
+        groups = groupby((_Suffix(*row) for row in _rows(batches)), lambda own: own.key)
+        yield from _batches(m for _, group in groups for m in _sorted_matches(list(group)))
 
-    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out: list[tuple] = []
-        for row in _rows(batches):
-            found: list[tuple] = []
-            _both(_Suffix(*row[:6]), _Suffix(*row[6:]), found)
-            out += [(None, k, n, None, None, None, None, *m) for k, n, *m in found]
-            if len(out) > 5000:
-                yield _batch(out)
-                out = []
-        if out:
-            yield _batch(out)
-
-    return pairs.mapInArrow(make, _EDGE).select("key", "name", "left", "right", "first")
-
-
-def compare_with_first(contexts: DataFrame) -> DataFrame:
-    """Matches of each suffix with the one of smallest doc_id in its group."""
-    first = contexts.groupBy("key").agg(
-        F.count("*").alias("n"), F.min_by(F.struct("name", "ahead", "behind", "low", "high"), "low").alias("f")
-    )
-    pairs = contexts.join(first.filter("n > 1"), "key").filter("name <> f.name")
-    return _compare(
-        pairs.select(
-            "key", "name", "ahead", "behind", "low", "high",
-            F.col("key").alias("f_key"), "f.name", "f.ahead", "f.behind", "f.low", "f.high",
-        ).toDF(*(f"c{i}" for i in range(12)))
-    )
+    # The window asks for what the function needs: keys in one place, sorted by words.
+    order = Window.partitionBy("key").orderBy("ahead", "behind", "name")
+    dealt = contexts.select(*_WORDS, F.row_number().over(order).alias("n")).filter("n > 0")
+    return dealt.select(_WORDS).mapInArrow(make, _MATCHES)
 
 
-def compare_windows(contexts: DataFrame) -> DataFrame:
-    """key, name, first, mask of each suffix: bit e is set if ``first`` is the smallest doc_id
-    that has the PASSAGE words from e words to its left on, and a later one has the suffix."""
+def compare_crowded(contexts: DataFrame) -> DataFrame:
+    """The same matches for keys with any number of suffixes, which no task could hold.
 
-    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Each suffix is named once for every extension to the left, by a 128-bit hash of the words of
+    the passage that begins there. Suffixes with equal ones are nominated together with the one
+    of smallest doc_id among them, and then compared with it word by word.
+    """
+
+    def passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows_of(batches):
-            taken, windows, extensions = [], [], []
-            for k, (right, left) in enumerate(zip(*batch.columns[2:4], strict=True)):
-                ahead, behind = right.as_py().split(), left.as_py().split()
-                run = behind[::-1] + ahead
-                for e in range(max(0, PASSAGE - len(ahead)), len(behind) + 1):
-                    at = len(behind) - e
+            taken, hashes, extensions = [], [], []
+            for k, row in enumerate(zip(*batch.columns, strict=True)):
+                own = _Suffix(*(value.as_py() for value in row))
+                run = own.behind[::-1] + own.ahead
+                for e in own.extensions():
+                    at = len(own.behind) - e
                     taken.append(k)
-                    windows.append(xxhash.xxh128_digest(b" ".join(run[at : at + PASSAGE]), SEED))
+                    hashes.append(xxhash.xxh128_digest(b" ".join(run[at : at + PASSAGE]), SEED))
                     extensions.append(e)
             rows = pa.array(taken, pa.int32())
-            kept = [batch.column(i).take(rows) for i in (0, 1, 4, 5)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(windows, pa.binary()), pa.array(extensions, pa.int32()), *kept],
+                [pa.array(hashes, pa.binary()), pa.array(extensions, pa.int32()),
+                 *(batch.column(i).take(rows) for i in (0, 1, 4, 5))],
                 ["window", "e", "key", "name", "low", "high"],
-            )
+            )
 
-    dealt = contexts.select("key", "name", "ahead", "behind", "low", "high").mapInArrow(
-        make, "window binary, e int, key bigint, name bigint, low bigint, high bigint"
+    dealt = contexts.select(_WORDS).mapInArrow(
+        passages, "window binary, e int, key bigint, name bigint, low bigint, high bigint"
     )
     dealt = written(dealt, "windows", "zstd")
-    runs = dealt.groupBy("window").agg(F.min("low").alias("first"), F.max("high").alias("last"))
-    due = dealt.join(runs.filter("first < last").select("window", "first"), "window")
-    return due.filter("first < high").groupBy("key", "name", "first").agg(
-        F.expr("bit_or(shiftleft(1, e))").alias("mask")
+    # A passage may hold several places; each is compared among suffixes of its own key.
+    same = ["window", "key", "e"]
+    runs = dealt.groupBy(same).agg(
+        F.min(F.struct("low", "name")).alias("f"), F.max("high").alias("last")
     )
+    due = dealt.join(runs.filter("f.low < last").select(*same, "f"), same)
+    due = due.filter("f.low < high").groupBy("key", "name", "f").agg(F.collect_set("e").alias("e"))
+    words = contexts.select("key", "name", "ahead", "behind")
+    first = words.select("key", *(F.col(c).alias(f"f_{c}") for c in words.columns[1:]))
+    pairs = due.select("key", "name", "e", F.col("f.low").alias("first"), F.col("f.name").alias("f_name"))
+    pairs = pairs.join(words, ["key", "name"]).join(first, ["key", "f_name"])
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def matches() -> Iterator[tuple]:
+            for key, name, first, nominated, *sides in _rows(batches):
+                ahead, behind, f_ahead, f_behind = (side.split() for side in sides)
+                left, right = _agree(behind, f_behind), _agree(ahead, f_ahead)
+                agreed = sorted(e for e in nominated if e <= left and PASSAGE - e <= right)
+                if agreed:
+                    yield from ((key, name, *span, first) for span in _spans(agreed))
+
+        return _batches(matches())
+
+    return pairs.select(
+        "key", "name", "first", "e", "ahead", "behind", "f_ahead", "f_behind"
+    ).mapInArrow(compare, _MATCHES)
 
 
 def repeated_spans(docs: DataFrame, cut: DataFrame) -> DataFrame:
@@ -301,22 +293,22 @@ def repeated_spans(docs: DataFrame, cut: DataFrame) -> DataFrame:
         F.min("doc_id").cast("bigint").alias("low"), F.max("doc_id").cast("bigint").alias("high")
     )
     contexts = written(contexts, "contexts", "zstd")
-    groups = contexts.groupBy("key").agg(F.min("low").alias("a"), F.max("high").alias("b"))
-    contexts = contexts.join(groups.filter("a < b").select("key"), "key", "left_semi")
-    matches = compare_neighbours(contexts).union(compare_with_first(contexts)).distinct()
+    groups = contexts.groupBy("key").agg(
+        F.count("*").alias("n"), F.min("low").alias("a"), F.max("high").alias("b")
+    )
+    groups = written(groups.filter("a < b").select("key", "n"), "groups")
+    crowded = written(groups.filter(F.col("n") > CROWD).select("key"), "crowded")
+    some = contexts.join(small_side(crowded), "key", "left_anti")
+    some = some.join(groups.select("key"), "key", "left_semi")
+    matches = compare_neighbours(some)
+    if not crowded.isEmpty():
+        many = written(contexts.join(small_side(crowded), "key", "left_semi"), "many", "zstd")
+        matches = matches.union(compare_crowded(many))
     matches = written(matches, "matches")
     at = kept.select("key", "name", "doc_id", "row", "place")
     hits = at.join(matches, ["key", "name"]).filter("first < doc_id").select(
         "doc_id", "row", F.expr("place - `left`").alias("start"), F.expr("place + `right`").alias("stop")
     )
-    masks = written(compare_windows(contexts), "masks")
-    found = at.join(masks, ["key", "name"]).filter("first < doc_id").select(
-        "doc_id", "row",
-        F.expr(f"explode(filter(sequence(0, {BEHIND}), e -> getbit(mask, e) = 1))").alias("e"), "place",
-    )
-    hits = hits.union(
-        found.select("doc_id", "row", F.expr("place - e"), F.expr(f"place - e + {PASSAGE}"))
-    )
     return hits.groupBy("doc_id", "row").agg(F.collect_set(F.struct("start", "stop")).alias("s")).select(
         "doc_id", "row", F.col("s.start").alias("starts"), F.col("s.stop").alias("stops")
     )

@@ -318,8 +318,10 @@ def test_near_copies_are_those_of_the_similarity(spark):
     assert gone == {i for i, close in near.items() if close}
 
 
-def test_suffixes_with_a_hot_core(spark):
+@pytest.mark.parametrize("crowd", [1000, 60, 1])
+def test_suffixes_with_a_hot_core(spark, monkeypatch, crowd):
     """Pairs that share 10 + 49 words, of which all documents share the 49."""
+    monkeypatch.setattr(suffixes, "CROWD", crowd)
     random.seed(13)
     word = lambda: f"w{random.randrange(10**6)}"
     core = [f"c{i}" for i in range(49)]
@@ -333,3 +335,22 @@ def test_suffixes_with_a_hot_core(spark):
     found = suffixes.dedup_report(spark.createDataFrame(rows, "doc_id bigint, text string"))
     found = found.select("doc_id", "n_words", "n_removed", "kept_sha256")
     assert sorted(tuple(r) for r in found.collect()) == sorted(brute.substring_report(rows))
+
+
+@pytest.mark.parametrize("crowd", [1000, 1])
+def test_suffixes_of_edited_copies(spark, monkeypatch, crowd):
+    """Few different words, so that places tie, and copies with words changed, lost and added."""
+    monkeypatch.setattr(suffixes, "CROWD", crowd)
+    random.seed(17)
+    base = [[f"b{random.randrange(40)}" for _ in range(160)] for _ in range(4)]
+    rows = []
+    for i in range(60):
+        words = list(random.choice(base))[random.randrange(30) :]
+        for _ in range(random.randrange(4)):
+            words[random.randrange(len(words))] = f"x{random.randrange(3)}"
+        del words[random.randrange(60, 120)]
+        rows.append((i % 50, " ".join(words)))
+    rows += [(90, "same " * 400), (91, "same " * 49), (92, "same " * 50), (93, None)]
+    found = suffixes.dedup_report(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    found = found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+    assert sorted(tuple(r) for r in found.collect()) == sorted(brute.substring_report(rows))
