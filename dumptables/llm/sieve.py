@@ -43,6 +43,12 @@ def passes(bitmap: Column, bits: int):
     return test
 
 
+def bits_for(n: int, least: int = 20, most: int = 27) -> int:
+    """How many bits, as a power of two, ``n`` keys need so that some 3 in 100 other keys pass;
+    at most 16 MiB of them, beyond which more pass."""
+    return max(least, min(most, (32 * n).bit_length()))
+
+
 def local_bitmap(hashes: DataFrame, bits: int) -> bytes:
     """The same bits as bytes for use in tasks; 2**bits bits, whatever ``hashes`` holds."""
     slot = F.expr(f"cast(pmod(hash, {1 << bits}) as int)")

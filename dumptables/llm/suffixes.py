@@ -4,7 +4,7 @@ Suffixes are kept at content-selected places only: where an m-gram has the small
 in some ``SPAN`` words. Every passage of ``PASSAGE`` words holds such a place within its first
 ``SPAN - GRAM + 1`` words, the same in all its copies, so it shows as two suffixes that agree on
 ``AHEAD`` words at least. The hash of these words tells which suffixes are worth keeping: a
-bitmap, of fixed size, of those that several documents have goes to all tasks.
+bitmap of those that several documents have, sized by their count, goes to all tasks.
 
 Kept suffixes, with the words just before them, are combined when equal, word for word, and
 sorted. The words that neighbours have in common, to the right from the place on and to the left
@@ -39,16 +39,15 @@ from dumptables.llm.common import written
 from dumptables.llm.passages import (
     SEED, Bits, kept_words, rows_of, run_hashes, sliding_min, texts, word_hashes,
 )
-from dumptables.llm.sieve import local_bitmap
+from dumptables.llm.sieve import bits_for, local_bitmap
 from dumptables.session import small_side
 
 PASSAGE = 50
 GRAM = 8
-SPAN = 25
+SPAN = 40
 BEHIND = SPAN - GRAM
 AHEAD = PASSAGE - BEHIND
-KEY_BITS = 24  # 2 MiB
-CROWD = 1000  # some 400 kB of words
+CROWD = 1000  # some 500 kB of words
 
 
 def places(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -169,6 +168,11 @@ def _sorted_matches(group: list[_Suffix]) -> Iterator[tuple]:
     stand in one run. Of a run, those with the same words to the left have the passage that begins
     there in common; the smallest doc_id among them stays.
     """
+    if len(group) == 1:
+        own = group[0]
+        if own.low < own.high and (held := list(own.extensions())):
+            yield own.key, own.name, held[-1], PASSAGE - held[0], own.low
+        return
     common = [_agree(x.ahead, y.ahead) for x, y in zip(group, group[1:], strict=False)]
     found: list[dict[int, list[int]]] = [{} for _ in group]
     for e in range(BEHIND + 1):
@@ -287,7 +291,8 @@ def repeated_spans(docs: DataFrame, cut: DataFrame) -> DataFrame:
     known = docs.filter("doc_id IS NOT NULL")
     seen = cut.filter("doc_id IS NOT NULL").select("doc_id", F.explode("keys").alias("hash"))
     shared = seen.groupBy("hash").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
-    raw = local_bitmap(shared.filter("low < high").select("hash"), KEY_BITS)
+    shared = written(shared.filter("low < high").select("hash"), "shared")
+    raw = local_bitmap(shared, bits_for(shared.count()))
     kept = written(kept_suffixes(known, raw), "suffixes", "zstd")
     contexts = kept.groupBy("key", "name", "ahead", "behind").agg(
         F.min("doc_id").cast("bigint").alias("low"), F.max("doc_id").cast("bigint").alias("high")
