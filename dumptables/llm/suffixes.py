@@ -47,7 +47,7 @@ GRAM = 8
 SPAN = 40
 BEHIND = SPAN - GRAM
 AHEAD = PASSAGE - BEHIND
-CROWD = 1000  # some 500 kB of words
+CROWD = 10_000  # some 5 MB of words, 50 MB as Python holds them
 
 
 def places(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
