@@ -11,7 +11,7 @@ from dumptables.functions import instant_seconds, last_filled, number_sql, stric
 from dumptables.operators.files import scan_part
 from dumptables.operators.rules import PAGE_VALUE_RULES, REVISION_RULES, any_broken, first_reason
 from dumptables.schemas import PAGE_XML, SEGMENTS, XML_OPTIONS
-from dumptables.session import settings
+from dumptables.session import TASK_BYTES, settings
 
 # The tags a dump is cut at.
 PAGE_END = "</page>"
@@ -19,6 +19,7 @@ FILE_END = "</mediawiki>"
 PAGE_START = "<page[ \\t\\r\\n>]"
 
 MOST_BUCKETS = 100_000  # what Spark allows unless told otherwise
+TASKS_PER_CORE = 4  # at least, when small splits are read several to a task
 
 
 def cut(records: DataFrame) -> DataFrame:
@@ -182,6 +183,21 @@ def scan_tasks(records: DataFrame) -> int:
     return min(max(records.rdd.getNumPartitions(), 1), MOST_BUCKETS)
 
 
+def gathered(records: DataFrame) -> DataFrame:
+    """Records of small splits with several splits to a task.
+
+    Every scan task leaves a file, which each later pass reads in a task of its own, so what a load
+    costs beside its data would grow with the number of splits. Splits are not moved or joined up:
+    each keeps its rows together and in order.
+    """
+    spark = records.sparkSession
+    tasks = records.rdd.getNumPartitions()
+    split = min(int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()), TASK_BYTES)
+    fewest = TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+    wanted = max(-(-tasks * split // TASK_BYTES), fewest)
+    return records.coalesce(wanted) if wanted < tasks else records
+
+
 def stage_table(spark: SparkSession, path: str, name: str, tasks: int) -> DataFrame:
     """A stage written before, which this session may not know of."""
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in SEGMENTS.fields)

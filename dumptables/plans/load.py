@@ -37,7 +37,7 @@ from dumptables.operators.keys import (
 )
 from dumptables.operators.metrics import load_totals, pages_per_file
 from dumptables.operators.pages import assemble_pages
-from dumptables.operators.segments import scan_tasks, stage_metrics, stage_segments
+from dumptables.operators.segments import gathered, scan_tasks, stage_metrics, stage_segments
 from dumptables.operators.tables import (
     contributor_rows,
     namespace_rows,
@@ -54,6 +54,7 @@ from dumptables.session import (
     settings,
     small_side,
     together,
+    wide_splits,
     work_folder,
 )
 from dumptables.sinks.base import CallableSink, Sink
@@ -199,6 +200,7 @@ def _kept(df: DataFrame, path: str) -> DataFrame:
 def stage(records: DataFrame, work: str, name: str | None = None) -> Staged:
     """Parse records into the work folder."""
     name = name or f"stage_{uuid.uuid4().hex}"
+    records = gathered(records)
     seen, tasks = Observation(), scan_tasks(records)
     segments = stage_segments(records, f"{work}/segments", name, tasks, seen)
     return Staged(segments, work, name, tasks, seen)
@@ -390,6 +392,7 @@ def prepare(records: DataFrame, sink: Sink, work: str, name: str | None = None)
     with settings(spark, SAME_TASK):
         ready = [sink.get_ready] if hasattr(sink, "get_ready") else []
         staged = together(spark, lambda: stage(records, work, name), *ready)[0]
+    with settings(spark, SAME_TASK | wide_splits(spark)):
         staged.pages  # noqa: B018  made now
     return staged
 
@@ -401,7 +404,7 @@ def load_staged(
     what is missing. Rejects go to the folder ``aside``, by default one in the work folder."""
     work = staged.work
     aside = aside or f"{work}/rejects"
-    with settings(staged.spark, SAME_TASK):
+    with settings(staged.spark, SAME_TASK | wide_splits(staged.spark)):
         if options.mode == "FAILFAST":
             _fail_on_rejects(staged, sink, f"{work}/rehearsal", options)
         _load_tables(staged, sink, work, options, aside)

@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 # Rows of at most a few hundred bytes each, so the largest broadcast is some 50 MB.
 BROADCAST_ROWS = 200_000
 
+# Less than this is not worth a task of its own.
+TASK_BYTES = 16 << 20
+
 
 def work_folder(spark: SparkSession) -> str:
     """A new, empty place in the folder the cluster shares (``spark.checkpoint.dir``).
@@ -53,6 +56,13 @@ def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
 SAME_TASK = {"spark.sql.requireAllClusterKeysForCoPartition": "false"}
 
 
+def wide_splits(spark: SparkSession) -> dict[str, str]:
+    """Settings for reading intermediate tables: splits of 16 MB at least. Smaller ones may be
+    wanted for compressed dumps, which are far larger once read; their tables need no more tasks."""
+    set_to = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+    return {"spark.sql.files.maxPartitionBytes": str(max(set_to, TASK_BYTES))}
+
+
 def beside(df: DataFrame, rows: int | None = None) -> DataFrame:
     """``df`` (with ``scan_part`` among its join columns) hinted to come to the stage's rows:
     to all tasks when counted small, else to the task that holds the rows of its scan task.
