@@ -20,6 +20,20 @@ def load_totals(files: DataFrame) -> DataFrame:
     )
 
 
+def turn_totals(pages: DataFrame, files_per_turn: int) -> DataFrame:
+    """Pages and files of each turn of so many files, by path; one narrow row per file is ranked."""
+    nth = F.row_number().over(Window.orderBy("file_path"))
+    turns = pages.withColumn("turn", F.floor((nth - 1) / files_per_turn))
+    totals = turns.groupBy("turn").agg(F.sum("pages").alias("pages"), F.count("*").alias("files"))
+    return totals.orderBy("turn").select("pages", "files")
+
+
+def numbered_turns(turns: DataFrame) -> DataFrame:
+    """Turns numbered one after the other, where a batch (``batch_id``) may hold several (``nth``)."""
+    order = Window.orderBy("batch_id", F.coalesce("nth", F.lit(0)))
+    return turns.withColumn("batch_id", F.row_number().over(order).cast("bigint") - 1)
+
+
 def running_totals(turns: DataFrame) -> DataFrame:
     """Pages and files up to and including each turn. One row per turn, so the list is short."""
     upto = Window.orderBy("batch_id").rowsBetween(Window.unboundedPreceding, 0)

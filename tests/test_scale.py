@@ -44,3 +44,38 @@ def test_small_splits_load_the_same(spark, write_dump, tmp_path):
         tables = [rows_of(sink.read(name)) for name in ("page", "revision", "contributor", "namespaces")]
         found.append([*tables, rows_of(report.rejects, "table", "reason", "raw")])
     assert found[0] == found[1]
+
+
+def test_many_small_turns_are_loaded_together(spark, write_dump, tmp_path, monkeypatch):
+    """Before, each turn was a load of its own. Every turn still has its line in the progress."""
+    from dumptables.streaming import turns
+
+    real, calls = turns.load_staged, []
+
+    def counts(*args):
+        calls.append(args)
+        return real(*args)
+
+    monkeypatch.setattr(turns, "load_staged", counts)
+    path = write_dump(**{f"f{k:02}": [header(f"w{k % 2}"), page(k), END] for k in range(32)})
+    sink, work = ParquetSink(spark, f"{tmp_path}/tables"), f"{tmp_path}/work"
+    progress = load_in_turns(spark, path, sink, work=work, files_per_turn=2)
+    assert len(calls) == 8  # of 16 turns
+    assert rows_of(progress) == sorted(((k, 2, 2, 2 * k + 2, 2 * k + 2) for k in range(16)), key=repr)
+    assert sorted(r.id for r in sink.read("page").collect()) == list(range(32))
+    write_dump(**{f"g{k}": [header(), page(90 + k), END] for k in range(3)})
+    progress = load_in_turns(spark, path, sink, work=work, files_per_turn=2)
+    assert len(calls) == 9  # two turns
+    assert progress.orderBy("batch_id").collect()[-1][:] == (17, 1, 1, 35, 35)
+    assert sink.read("page").count() == 35
+
+
+def test_turns_together_are_bounded():
+    from dumptables.streaming.turns import turns_at_once
+
+    assert turns_at_once(3, 1000.0, 1) == 1
+    assert turns_at_once(80, 100_000.0, 3) == 3
+    assert turns_at_once(10**6, 1000.0, 2) == 1000
+    assert turns_at_once(10**6, 10e6, 2) == 3
+    assert turns_at_once(10**6, 10e9, 2) == 1
+    assert turns_at_once(0, float("inf"), 3) == 1
