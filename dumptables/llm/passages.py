@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +30,7 @@ def texts(docs: DataFrame) -> DataFrame:
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
-    digest = xxhash.xxh64_intdigest
-    return np.fromiter((digest(w, SEED) for w in words), np.uint64, len(words))
+    return np.fromiter(map(xxhash.xxh64_intdigest, words, repeat(SEED)), np.uint64, len(words))
 
 
 def run_hashes(words: np.ndarray, size: int) -> np.ndarray:
@@ -47,11 +47,16 @@ def run_hashes(words: np.ndarray, size: int) -> np.ndarray:
 
 
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
-    """The smallest of each ``width`` consecutive values, by doubling."""
+    """The smallest of each ``width`` consecutive values."""
+    return sliding(np.minimum, values, width)
+
+
+def sliding(best: np.ufunc, values: np.ndarray, width: int) -> np.ndarray:
+    """``best`` (smallest or largest) of each ``width`` consecutive values, by doubling."""
     out, have = values, 1
     while have < width:
         step = min(have, width - have)
-        out = np.minimum(out[: len(out) - step], out[step:])
+        out = best(out[: len(out) - step], out[step:])
         have += step
     return out
 

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from dumptables.llm.common import written
 from dumptables.llm.passages import (
-    SEED, Bits, kept_words, rows_of, run_hashes, sliding_min, texts, word_hashes,
+    SEED, Bits, kept_words, rows_of, run_hashes, sliding, sliding_min, texts, word_hashes,
 )
 from dumptables.llm.sieve import bits_for, local_bitmap
 from dumptables.session import small_side
@@ -47,23 +47,50 @@ GRAM = 8
 SPAN = 40
 BEHIND = SPAN - GRAM
 AHEAD = PASSAGE - BEHIND
+TOGETHER = 1 << 15  # words hashed at a time, unless one text has more
 CROWD = 10_000  # some 5 MB of words, 50 MB as Python holds them
 
 
-def places(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """The selected places of a text and the hash of the AHEAD words from each on."""
-    if len(words) < PASSAGE:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    each = word_hashes(words)
-    grams = run_hashes(each, GRAM)
-    width = SPAN - GRAM + 1
-    least = sliding_min(grams, width)
-    chosen = np.zeros(len(grams), bool)
-    for k in range(width):
-        chosen[k : k + len(least)] |= grams[k : k + len(least)] == least
-    ahead = run_hashes(each, AHEAD)
-    found = np.flatnonzero(chosen[: len(ahead)])
-    return found, ahead[found]
+def places(texts: list[list[bytes]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each text the selected places and the hash of the AHEAD words from each on.
+
+    Texts are hashed many at a time, end to end; no run of words reaches from one into the next.
+    """
+    at = 0
+    while at < len(texts):
+        end, n = at + 1, len(texts[at])
+        while end < len(texts) and n + len(texts[end]) <= TOGETHER:
+            n += len(texts[end])
+            end += 1
+        yield from _places(texts[at:end])
+        at = end
+
+
+def _places(texts: list[list[bytes]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    sizes = np.array([len(words) for words in texts])
+    sizes[sizes < PASSAGE] = 0
+    each = word_hashes([w for words, n in zip(texts, sizes.tolist(), strict=True) if n for w in words])
+    stops = np.cumsum(sizes)
+    if not len(each):
+        found = hashes = np.zeros(0, np.int64)
+        hashes = hashes.view(np.uint64)
+    else:
+        own = np.repeat(np.arange(len(texts)), sizes)
+        # No gram is 0, which stands for windows that reach into the next text.
+        grams = np.maximum(run_hashes(each, GRAM), np.uint64(1))
+        width = SPAN - GRAM + 1
+        least = sliding_min(grams, width)
+        least = np.where(own[: len(least)] == own[SPAN - 1 :], least, np.uint64(0))
+        # A gram is the smallest of some window if it is the largest of those of all its windows.
+        room = np.zeros(width - 1, np.uint64)
+        chosen = sliding(np.maximum, np.concatenate([room, least, room]), width) == grams
+        ahead = run_hashes(each, AHEAD)
+        chosen = chosen[: len(ahead)] & (own[: len(ahead)] == own[AHEAD - 1 :])
+        found = np.flatnonzero(chosen)
+        hashes = ahead[found]
+    cut = np.searchsorted(found, np.concatenate([[0], stops])).tolist()
+    for start, first, last in zip((stops - sizes).tolist(), cut, cut[1:], strict=False):
+        yield found[first:last] - start, hashes[first:last]
 
 
 def cuts(docs: DataFrame) -> DataFrame:
@@ -72,11 +99,11 @@ def cuts(docs: DataFrame) -> DataFrame:
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows_of(batches):
             sizes, digests, keys = [], [], []
-            for text in batch.column(2):
-                words = (text.as_py() or b"").split()
+            split = [(text or b"").split() for text in batch.column(2).to_pylist()]
+            for words, (_, hashes) in zip(split, places(split), strict=True):
                 sizes.append(len(words))
                 digests.append(hashlib.sha256(b" ".join(words)).digest())
-                keys.append(np.unique(places(words)[1]).view(np.int64))
+                keys.append(np.unique(hashes).view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()),
                  pa.array(digests, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
@@ -97,9 +124,8 @@ def kept_suffixes(docs: DataFrame, raw: bytes) -> DataFrame:
         bits = Bits(shared.value)
         for batch in rows_of(batches):
             taken, at, keys, names, ahead, behind = [], [], [], [], [], []
-            for k, text in enumerate(batch.column(2)):
-                words = (text.as_py() or b"").split()
-                found, hashes = places(words)
+            split = [(text or b"").split() for text in batch.column(2).to_pylist()]
+            for k, (words, (found, hashes)) in enumerate(zip(split, places(split), strict=True)):
                 for i in np.flatnonzero(bits.has(hashes)).tolist():
                     p = int(found[i])
                     right = b" ".join(words[p : p + PASSAGE])
