@@ -11,7 +11,7 @@ from dumptables.functions import instant_seconds, last_filled, number_sql, stric
 from dumptables.operators.files import scan_part
 from dumptables.operators.rules import PAGE_VALUE_RULES, REVISION_RULES, any_broken, first_reason
 from dumptables.schemas import PAGE_XML, SEGMENTS, XML_OPTIONS
-from dumptables.session import TASK_BYTES, settings
+from dumptables.session import TASK_BYTES, TASKS_PER_CORE, settings
 
 # The tags a dump is cut at.
 PAGE_END = "</page>"
@@ -19,7 +19,6 @@ FILE_END = "</mediawiki>"
 PAGE_START = "<page[ \\t\\r\\n>]"
 
 MOST_BUCKETS = 100_000  # what Spark allows unless told otherwise
-TASKS_PER_CORE = 4  # at least, when small splits are read several to a task
 
 
 def cut(records: DataFrame) -> DataFrame:

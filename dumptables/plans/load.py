@@ -51,6 +51,7 @@ from dumptables.session import (
     SAME_TASK,
     beside,
     delete_folder,
+    full_splits,
     settings,
     small_side,
     together,
@@ -200,9 +201,10 @@ def _kept(df: DataFrame, path: str) -> DataFrame:
 def stage(records: DataFrame, work: str, name: str | None = None) -> Staged:
     """Parse records into the work folder."""
     name = name or f"stage_{uuid.uuid4().hex}"
-    records = gathered(records)
-    seen, tasks = Observation(), scan_tasks(records)
-    segments = stage_segments(records, f"{work}/segments", name, tasks, seen)
+    with settings(records.sparkSession, full_splits(records.sparkSession)):
+        records = gathered(records.select("*"))  # planned anew, with these settings
+        seen, tasks = Observation(), scan_tasks(records)
+        segments = stage_segments(records, f"{work}/segments", name, tasks, seen)
     return Staged(segments, work, name, tasks, seen)
 
 

@@ -52,6 +52,37 @@ def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
                 spark.conf.set(key, value)
 
 
+# A compressed file costs about as much to open as this much of it to read.
+OPEN_BYTES = 128 << 10
+
+# At least, for every core that reads dumps.
+TASKS_PER_CORE = 4
+
+
+def _fewest_tasks(spark: SparkSession) -> int:
+    return TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+
+
+def full_splits(spark: SparkSession) -> dict[str, str]:
+    """Settings for reading dumps: small files share a task until it has its fill of data.
+
+    Spark counts 4 MB for opening a file, so that tasks would grow in number with the files,
+    however small these are, and so would the files of all that is made from them.
+    """
+    set_to = int(spark._jsparkSession.sessionState().conf().filesOpenCostInBytes())
+    fewest = spark.conf.get("spark.sql.files.minPartitionNum", None) or _fewest_tasks(spark)
+    return {
+        "spark.sql.files.openCostInBytes": str(min(set_to, OPEN_BYTES)),
+        "spark.sql.files.minPartitionNum": str(fewest),
+    }
+
+
+def few_listings(spark: SparkSession) -> dict[str, str]:
+    """Settings for listing dumps: some folders to a task. Spark gives each its own, up to 10,000."""
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    return {key: str(min(int(spark.conf.get(key)), _fewest_tasks(spark)))}
+
+
 # A join on the scan task and more finds both sides dealt by the scan task alone.
 SAME_TASK = {"spark.sql.requireAllClusterKeysForCoPartition": "false"}
 

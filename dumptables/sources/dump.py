@@ -12,6 +12,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dumptables.session import few_listings, settings
+
 RECORD_END = "</revision>"
 
 
@@ -52,7 +54,8 @@ def scan_records(
     spark: SparkSession, path: str | list[str], options: DumpOptions = DumpOptions()
 ) -> DataFrame:
     """Records of all dump files of a folder: ``value, file_path, block_start``."""
-    return _with_origin(spark.read.options(**options.reader_options()).text(path))
+    with settings(spark, few_listings(spark)):
+        return _with_origin(spark.read.options(**options.reader_options()).text(path))
 
 
 def stream_records(

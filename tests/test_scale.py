@@ -4,7 +4,7 @@ import bz2
 
 from conftest import END, header, rows_of
 
-from dumptables import ParquetSink, load_dump, load_in_turns
+from dumptables import DumpOptions, ParquetSink, load_dump, load_in_turns
 from dumptables.plans import stage
 from dumptables.session import settings, wide_splits, work_folder
 from dumptables.sources import scan_records
@@ -34,6 +34,34 @@ def test_small_splits_share_tasks(spark, write_dump):
     assert sorted(r.id for r in staged.rows("page").collect()) == list(range(60))
 
 
+def test_small_files_share_tasks(spark, write_dump):
+    """Before, a file counted as 4 MB however small, so four filled a task: 80 tasks here."""
+    path = write_dump(**{f"f{k:03}": [header(f"w{k % 3}"), page(k), END] for k in range(320)})
+    with settings(spark, {"spark.sql.files.maxPartitionBytes": str(16 << 20)}):
+        staged = stage(scan_records(spark, path), work_folder(spark))
+    assert staged.tasks <= 4 * spark.sparkContext.defaultParallelism + 1
+    assert spark.conf.get("spark.sql.files.minPartitionNum", None) is None
+    assert sorted(r.id for r in staged.rows("page").collect()) == list(range(320))
+
+
+def test_folders_share_listing_tasks(spark, tmp_path):
+    """Before, each of many folders was listed by a task of its own."""
+    for k in range(80):
+        folder = tmp_path / "dump" / f"part={k}"
+        folder.mkdir(parents=True)
+        (folder / "a.bz2").write_bytes(bz2.compress("".join([header(), page(k), END]).encode()))
+    tracker, key = spark.sparkContext.statusTracker(), "listing test"
+    spark.sparkContext.setJobGroup(key, key)
+    try:
+        records = scan_records(spark, str(tmp_path / "dump"), DumpOptions(recursive=True))
+        jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup(key)]
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+    tasks = [tracker.getStageInfo(s).numTasks for job in jobs for s in job.stageIds]
+    assert tasks and max(tasks) <= 4 * spark.sparkContext.defaultParallelism
+    assert records.count() == 160  # a revision and the rest of the file
+
+
 def test_small_splits_load_the_same(spark, write_dump, tmp_path):
     path = write_dump(**{f"f{k:02}": [header("w"), page(k), page(k // 2), END] for k in range(40)})
     found = []
