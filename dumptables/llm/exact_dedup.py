@@ -30,6 +30,8 @@ _STATE = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     # Room for logs is not reserved ahead: with many small stores it would be most of the disk.
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+    # A store is closed with its task; else an executor holds one open for each of its partitions.
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",
 }
 SIEVE_BITS = 22  # 512 KiB
 

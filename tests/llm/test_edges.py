@@ -1,5 +1,6 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing names."""
 
+import os
 import random
 
 import corpus_pipeline
@@ -155,6 +156,14 @@ def test_exact_dedup(docs):
     assert rows_of(kept.filter("text IS NULL OR text = ''"), "doc_id") == [(3,)]
 
 
+def test_exact_dedup_leaves_no_state_open(spark, docs):
+    """A store of keyed state lies in a folder of its own until it is closed."""
+    exact_dedup.exact_dedup(docs)
+    top = spark._jvm.org.apache.spark.util.Utils.getLocalDir(spark._jsc.sc().conf())
+    folders = [name for _, names, _ in os.walk(top) for name in names]
+    assert not [name for name in folders if name.startswith("StateStoreId")]
+
+
 def test_contamination(docs, items):
     found = decontaminate.contamination(docs, items)
     wanted = brute.contamination(TEXTS, [(r.item_id, r.text) for r in items.collect()])
