@@ -13,6 +13,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # White space as the result contracts name it, for Java and Python patterns alike.
 SPACE = r"[\x20\x09-\x0D]+"
 NOT_SPACE = r"[^\x20\x09-\x0D]+"
+# Whole texts go to Python in Arrow batches of so many rows at most; Spark's 10,000 may be gigabytes.
+BATCH_ROWS = 256
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +33,16 @@ def written(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, for whose rows Arrow batches are small from now on in its session. A batch is held
+    by the JVM and by Python at once. Plans are often run after the function that made them has
+    returned, so this is no setting for the time of a block; a smaller one stays."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key)) <= BATCH_ROWS:
+        conf.set(key, str(BATCH_ROWS))
+    return df
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z to a-z and nothing else. ``lower`` does just that to a text without other letters,
     much faster than ``translate`` does."""

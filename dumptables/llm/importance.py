@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dumptables.llm.common import written
+from dumptables.llm.common import small_batches, written
 from dumptables.llm.passages import rows_of
 from dumptables.llm.sieve import bitmap, passes
 
@@ -103,7 +103,7 @@ def different_texts(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, int]
 
 def log_ratios(docs: DataFrame, labels: DataFrame) -> np.ndarray | None:
     """For each bucket the log ratio of its probability in target text and in all text."""
-    texts, n_texts = different_texts(docs, labels)
+    texts, n_texts = different_texts(small_batches(docs), labels)
     buckets = buckets_for(n_texts)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -30,6 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dumptables.llm.common import small_batches
+
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁".encode()
 PART = 1 << 20
@@ -406,7 +408,7 @@ def _texts_of(vocabulary: Vocabulary, ids) -> pa.StringArray:
 
 def _shared(df: DataFrame, path: str):
     """The vocabulary for all tasks; as large as that is."""
-    return df.sparkSession.sparkContext.broadcast(vars(load(path)))
+    return small_batches(df).sparkSession.sparkContext.broadcast(vars(load(path)))
 
 
 def _bytes(docs: DataFrame) -> tuple[DataFrame, str]:

@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dumptables.llm.common import let, written
+from dumptables.llm.common import let, small_batches, written
 from dumptables.llm.components import components
 from dumptables.llm.passages import rows_of, text_key, texts
 from dumptables.llm.sieve import bitmap, passes, without
@@ -109,7 +109,7 @@ def fingerprints(docs: DataFrame, size: int, lanes: int = 1) -> DataFrame:
                 [batch.column(0), batch.column(1), *columns], ["doc_id", "row", *names]
             )
 
-    rows = texts(docs)
+    rows = texts(small_batches(docs))
     kind = docs.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(make, f"doc_id {kind}, row bigint, " + ", ".join(f"{n} bigint" for n in names))
 
@@ -283,7 +283,7 @@ def set_fingerprints(docs: DataFrame, size: int) -> DataFrame:
                 ["doc_id", "row", "node", *names, "bands"],
             )
 
-    rows = texts(docs)
+    rows = texts(small_batches(docs))
     kind = docs.schema["doc_id"].dataType.simpleString()
     words = ", ".join(f"{n} bigint" for n in names)
     return rows.mapInArrow(make, f"doc_id {kind}, row bigint, node bigint, {words}, bands array<bigint>")

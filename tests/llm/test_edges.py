@@ -4,6 +4,7 @@ import os
 import random
 
 import corpus_pipeline
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -111,6 +112,33 @@ def test_pieces(docs):
     assert found.filter("size(ids) > 0").count() == sum(bool(t) for _, t in TEXTS)
 
 
+@pytest.mark.parametrize(
+    "operator",
+    [
+        lambda docs, labels: importance.selected_of(docs, labels),
+        lambda docs, labels: simhash.fingerprints(docs, 3),
+        lambda docs, labels: pieces.round_trip(docs),
+    ],
+)
+def test_few_texts_go_to_python_at_a_time(spark, labels, operator):
+    def size_of(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], ["n"])
+
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "10000")
+    try:
+        rows = [(i, f"some text {i}", "en", None, None) for i in range(1000)]
+        many = spark.createDataFrame(rows, DOCS).coalesce(1)
+        made = operator(many, labels)
+        sizes = many.select("doc_id").mapInArrow(size_of, "n bigint").collect()
+        assert made.count() and sum(r.n for r in sizes) == 1000
+        assert max(r.n for r in sizes) <= 256
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_simhash(docs):
     found = simhash.close_groups(docs)
     assert same_rows(found, docs)
