@@ -19,7 +19,9 @@ def number_sql(text: str, kind: str) -> str:
 
     The pattern matters: a plain cast would accept surrounding blanks.
     """
-    return f"(CASE WHEN {text} RLIKE r'{NUMBER}' THEN try_cast({text} AS {kind}) END)"
+    number = f"try_cast({text} AS {kind})"
+    # Digits as a number is written itself need no look at the pattern.
+    return f"(CASE WHEN CAST({number} AS STRING) = {text} OR {text} RLIKE r'{NUMBER}' THEN {number} END)"
 
 
 def instant_sql(text: str) -> str:

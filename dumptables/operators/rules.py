@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from dumptables.functions import instant_sql, number_sql
+from dumptables.functions import number_sql
 
 Rule = tuple[str, str]
 
@@ -39,13 +39,14 @@ PAGE_RULES: list[Rule] = [
     ("bad_revision_id", "has_revision_id AND revision_id IS NULL"),
 ]
 
+# ``<column>_read`` is what the text of a column was converted to.
 REVISION_RULES: list[Rule] = [
     ("no_id", "revision_id IS NULL"),
-    ("bad_id", _no_long("revision_id")),
-    ("bad_parentid", _no_long("parentid")),
-    ("bad_timestamp", _unread("timestamp", instant_sql("timestamp"))),
-    ("bad_bytes", _no_long("bytes")),
-    ("bad_contributor_id", _no_long("contributor_id")),
+    ("bad_id", _unread("revision_id", "revision_id_read")),
+    ("bad_parentid", _unread("parentid", "parentid_read")),
+    ("bad_timestamp", _unread("timestamp", "timestamp_read")),
+    ("bad_bytes", _unread("bytes", "bytes_read")),
+    ("bad_contributor_id", _unread("contributor_id", "contributor_id_read")),
 ]
 
 CONTRIBUTOR_RULES: list[Rule] = [
