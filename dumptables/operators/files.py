@@ -20,11 +20,27 @@ def scan_part() -> Column:
 PLACE = f"(shiftleft(split, {PLACE_BITS}) + (row_id - first_row))"
 
 
+# A split as one number. Within a scan task no two may share it, see :func:`check_keys`.
+SPLIT_KEY = "xxhash64(file_path, block_start)"
+
+
+class SplitKeyClash(ValueError):
+    """Two splits of one scan task have the same key (one chance in 2**64 for each pair)."""
+
+
+def check_keys(marks: DataFrame) -> DataFrame:
+    """The marks, if no two splits share a key within their scan task."""
+    if not marks.groupBy("scan_part", "split_key").count().filter("count > 1").isEmpty():
+        raise SplitKeyClash("two splits have one key: read the files with another split size")
+    return marks
+
+
 def file_marks(files: DataFrame) -> DataFrame:
-    """What rows need to know of their file and split, once for each split."""
+    """What rows need to know of their file and split, once for each split. ``file_no`` is the number
+    of the file's first split."""
     return files.selectExpr(
-        "file_path", "dbname", "complete", "end", "page_starts", "inline(splits)"
-    )
+        "file_path", "dbname", "complete", "end", "page_starts", "splits[0].split AS file_no", "inline(splits)"
+    ).selectExpr("*", f"{SPLIT_KEY} AS split_key")
 
 
 # Per-split facts. All of them are numbers, and rows of a split lie in one bucket of the stage:
@@ -71,9 +87,9 @@ FILES = f"""
 
 # The same facts of splits, and headers, as single rows.
 PIECES = f"""
-    SELECT *, CAST(NULL AS STRING) AS siteinfo FROM ({SPLITS})
+    SELECT *, CAST(NULL AS STRING) AS siteinfo, {SPLIT_KEY} AS split_key FROM ({SPLITS})
     UNION ALL
-    SELECT scan_part, file_path, block_start, row_id, row_id, seg, false, 0, siteinfo
+    SELECT scan_part, file_path, block_start, row_id, row_id, seg, false, 0, siteinfo, 0
     FROM {{stage}} WHERE siteinfo IS NOT NULL
 """
 
@@ -84,12 +100,16 @@ def few_files(stage: DataFrame) -> DataFrame:
     spark = stage.sparkSession
     splits: dict[str, list] = {}
     headers: dict[str, tuple] = {}
+    keys: list[tuple] = []
     for row in spark.sql(PIECES, stage=stage).collect():
         if row.siteinfo is None:
             splits.setdefault(row.file_path, []).append(row)
+            keys.append((row.scan_part, row.split_key))
         else:
             here = (row.block_start, row.row_id, row.siteinfo)
             headers[row.file_path] = min(headers.get(row.file_path, here), here)
+    if len(set(keys)) < len(keys):
+        raise SplitKeyClash("two splits have one key: read the files with another split size")
     facts, number = [], 0
     for path in sorted(splits, key=str.encode):
         own, begun, listed = sorted(splits[path], key=lambda r: r.block_start), 0, []

@@ -41,7 +41,8 @@ def key_uses(rows: DataFrame, spec: TableSpec, references: Iterable[ForeignKey])
         use = f"struct({_key_sql(fk.parent, fk.columns)}, true AS refers)"
         whole = " AND ".join(f"`{c}` IS NOT NULL" for c in fk.columns)
         found.append(f"CASE WHEN {whole} THEN {use} END")
-    return rows.selectExpr(f"inline(array_compact(array({', '.join(found)})))")
+    # No use is a row of NULLs.
+    return rows.selectExpr(f"inline(array({', '.join(found)}))").filter("refers IS NOT NULL")
 
 
 def settle_keys(uses: DataFrame, stored: DataFrame | None) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from dumptables.functions import instant_seconds, last_filled, number_sql, strict_long
-from dumptables.operators.files import scan_part
+from dumptables.operators.files import SPLIT_KEY, scan_part
 from dumptables.operators.rules import PAGE_VALUE_RULES, REVISION_RULES, any_broken, first_reason
 from dumptables.schemas import PAGE_XML, SEGMENTS, XML_OPTIONS
 from dumptables.session import TASK_BYTES, TASKS_PER_CORE, settings
@@ -33,6 +33,7 @@ def cut(records: DataFrame) -> DataFrame:
         .select(
             "file_path",
             "block_start",
+            F.expr(SPLIT_KEY).alias("split_key"),
             F.size("parts").alias("n_parts"),
             F.posexplode_outer("parts").alias("seg", "body"),
         )
@@ -44,6 +45,7 @@ def cut(records: DataFrame) -> DataFrame:
         "scan_part",
         "file_path",
         "block_start",
+        "split_key",
         "row_id",
         "seg",
         "body",
@@ -197,7 +199,10 @@ def parse(cuts: DataFrame) -> DataFrame:
     Values of a revision are converted and judged here, once for all uses. Pieces that are no XML are ``malformed``; no value is taken from them. Any piece at
     fault keeps its source in ``raw``, so the reject list never has to read the texts.
     """
-    flags = ["scan_part", "file_path", "block_start", "row_id", "seg", "starts_page", "has_revision", "may_end_file"]
+    flags = [
+        "scan_part", "file_path", "block_start", "split_key", "row_id", "seg", "starts_page", "has_revision",
+        "may_end_file",
+    ]
     parsed = (
         with_fields(cuts)
         .withColumn("xml", _xml())
@@ -255,7 +260,8 @@ def to_segments(records: DataFrame) -> DataFrame:
 def stage_metrics() -> list[Column]:
     """What is to be known of a stage as a whole, for :meth:`DataFrame.observe` or an aggregation:
     about how many splits were read, pieces at fault, titles that do not stand where their page
-    begins, and the bounds of the ids that rows have or refer to."""
+    begins, pieces with an author that has no number, and the bounds of the ids that rows have or
+    refer to."""
     number = lambda name: f"array({number_sql(name, 'BIGINT')})"
     ids = {
         "page": number("page_id"),
@@ -266,6 +272,7 @@ def stage_metrics() -> list[Column]:
         F.expr("approx_count_distinct(struct(file_path, block_start)) AS splits"),
         F.expr("count_if(raw IS NOT NULL) AS faulty"),
         F.expr("count_if(NOT starts_page AND (title IS NOT NULL OR redirect IS NOT NULL)) AS astray"),
+        F.expr("count_if(exists(authors, a -> a.number IS NULL)) AS unnumbered"),
         *[F.expr(f"min(array_min({values})) AS {name}_low") for name, values in ids.items()],
         *[F.expr(f"max(array_max({values})) AS {name}_high") for name, values in ids.items()],
     ]

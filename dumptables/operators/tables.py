@@ -48,9 +48,10 @@ CUT_PAGE: Rule = ("truncated", "NOT complete AND page_seq = page_starts")
 
 
 def _stamp(rows: DataFrame, marks: DataFrame) -> DataFrame:
-    """Give each row its file's wiki name and end. ``marks`` has a row for each split; the
-    caller says how it comes to the rows."""
-    return rows.join(marks, ["scan_part", "file_path", "block_start"], "left")
+    """Give each row its place and its file's wiki name and end. ``marks`` has a row for each split;
+    the caller says how it comes to the rows."""
+    known = [c for c in ("file_path", "block_start", "file_no") if c in rows.columns]
+    return rows.drop(*known).join(marks, ["scan_part", "split_key"], "left")
 
 
 def _as_json(*names: str) -> str:
@@ -96,10 +97,10 @@ def namespace_rows(files: DataFrame) -> DataFrame:
 def contributor_rows(stage: DataFrame, marks: DataFrame) -> DataFrame:
     """One row per named or numbered author of a revision; addresses and hidden authors have neither."""
     authors = stage.filter("size(authors) > 0").select(
-        "scan_part", *POSITION, F.posexplode("authors").alias("nth", "author")
+        "scan_part", "split_key", "row_id", "seg", F.posexplode("authors").alias("nth", "author")
     )
     authors = authors.select(
-        "scan_part", *POSITION, "nth", F.col("author.id").alias("contributor_id"),
+        "scan_part", "split_key", "row_id", "seg", "nth", F.col("author.id").alias("contributor_id"),
         F.col("author.username").alias("username"), F.col("author.number").alias("id"),
     )
     return _stamp(authors, marks).select(

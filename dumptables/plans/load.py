@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from dumptables import session
-from dumptables.operators.files import dump_files, few_files, file_marks
+from dumptables.operators.files import check_keys, dump_files, few_files, file_marks
 from dumptables.operators.integrity import (
     at,
     claims,
@@ -134,13 +134,25 @@ class Staged:
         marks = file_marks(self.files)
         if self._are_few:
             return F.broadcast(marks)
-        return beside(_kept(marks, f"{self.work}/marks"))
+        return beside(check_keys(_kept(marks, f"{self.work}/marks")))
 
     @cached_property
     def pages(self) -> DataFrame:
         tidy = not self.facts["faulty"] and not self.facts["astray"]
         return _kept(assemble_pages(self.segments, self.marks, tidy), f"{self.work}/pages")
 
+    @cached_property
+    def _is_sound(self) -> bool:
+        """No piece is at fault, all files are complete and name their wiki."""
+        odd = "NOT complete OR dbname IS NULL"
+        return not self.facts["faulty"] and self.files.filter(odd).isEmpty()
+
+    def may_reject(self, table: str) -> bool:
+        """Whether a table may have rows that cannot be stored for what they hold."""
+        if table == "contributor":
+            return not self._is_sound or self.facts["unnumbered"] > 0
+        return table not in ("revision", "page") or not self._is_sound
+
     def discard(self) -> None:
         """Give up the parsed dump and all other intermediate tables of the load."""
         self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
@@ -217,7 +229,7 @@ class _TableLoad:
         self.staged = staged
         self.sink = sink
         self.work = f"{work}/keys/{spec.name}"
-        self.rejects = [rejected(rows, spec.name)]
+        self.rejects = [rejected(rows, spec.name)] if staged.may_reject(spec.name) else []
         self.rows = rows.filter("reason IS NULL")
         self.references = [
             fk for fk in spec.foreign_keys if options.foreign_keys and fk.parent != "siteinfo"

@@ -173,11 +173,13 @@ SITEINFO_XML = """
 # One row per piece of a dump: a page head with its first revision, a further
 # revision, or a page end. Values of the page as found in the XML, those of the revision typed;
 # ``fault`` names the first rule that a revision breaks.
-# ``scan_part`` is the scan task that read the piece; the stage is bucketed by it.
+# ``scan_part`` is the scan task that read the piece; the stage is bucketed by it. ``split_key`` is
+# short for file and block, so that rows meet what is known of their split by numbers.
 SEGMENTS = _schema(
     ("scan_part", T.IntegerType()),
     ("file_path", T.StringType()),
     ("block_start", T.LongType()),
+    ("split_key", T.LongType()),
     ("row_id", T.LongType()),
     ("seg", T.IntegerType()),
     ("starts_page", T.BooleanType()),

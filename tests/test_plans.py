@@ -2,9 +2,10 @@
 
 import pytest
 from conftest import END, header, rows_of
+from pyspark.sql import functions as F
 
 from dumptables import ParquetSink, load_dump
-from dumptables.operators import fk_missing_keys, first_places
+from dumptables.operators import files, fk_missing_keys, first_places
 from dumptables.operators.files import dump_files, few_files
 from dumptables.operators.keys import KEY, key_uses, settle_keys
 from dumptables.operators.pages import assemble_pages
@@ -187,3 +188,43 @@ def test_a_turn_that_was_parsed_only_is_loaded_first(spark, write_dump, tmp_path
     assert rows_of(progress) == [(0, 1, 1, 1, 1), (1, 1, 1, 2, 2), (2, 1, 1, 3, 3)]
     assert rows_of(sink.read("page"), "id") == [(0,), (1,), (2,)]
     assert not list((tmp_path / "work" / "turns").iterdir())
+
+
+def test_sound_loads_look_for_no_rejects(spark, write_dump, tmp_path):
+    """Tables without a row at fault are not read for rejects; any fault is found as before."""
+    author = "<revision><id>{0}</id><contributor><username>u</username><id>{1}</id></contributor><text>t</text></revision>"
+    whole = [header(), page(1), page(2), END]
+    dumps = {
+        "sound": (whole, set()),
+        "author": ([header(), page(1, author.format(7, "x")), END], {"contributor", "revision"}),
+        "unnumbered": ([header(), page(1).replace("<id>1</id></contributor>", "</contributor>"), END], {"contributor"}),
+        "cut": ([header(), page(1), page(2)[:-8]], {"page", "contributor", "revision"}),
+        "unnamed": ([header().replace("<dbname>testwiki</dbname>", ""), page(1), END], {"page", "contributor", "revision"}),
+        "bad_ns": ([header(), page(1).replace("<ns>0</ns>", "<ns>x</ns>"), END], {"page"}),
+    }
+    for name, (chunks, wanted) in dumps.items():
+        found = stage(scan_records(spark, write_dump(name, a=chunks)), f"{tmp_path}/work_{name}")
+        tables = ("page", "contributor", "revision")
+        assert {t for t in tables if not found.rows(t).filter("reason IS NOT NULL").isEmpty()} <= wanted
+        assert wanted <= {t for t in tables if found.may_reject(t)}, name
+        assert name != "sound" or not any(found.may_reject(t) for t in tables)
+    sink = ParquetSink(spark, f"{tmp_path}/tables")
+    report = load_dump(spark, f"{tmp_path}/unnumbered", sink)
+    kinds = {r.table for r in report.rejects.collect()}
+    assert "contributor" in kinds and not kinds & {"page", "revision"}
+
+
+def test_splits_are_known_by_numbers(spark, staged, monkeypatch):
+    """Rows meet the marks of their split by numbers; two splits with one key are not mixed up."""
+    for table in ("revision", "contributor"):
+        plan = plan_of(staged.rows(table))
+        scans = [n for n, _ in nodes(plan) if n.nodeName().startswith("Scan parquet")]
+        read = {n.output().apply(i).name() for n in scans for i in range(n.output().size())}
+        assert "split_key" in read and "file_path" not in read
+    twice = staged.marks.unionByName(staged.marks)
+    with pytest.raises(files.SplitKeyClash):
+        files.check_keys(twice)
+    assert files.check_keys(staged.marks).count() == 3
+    monkeypatch.setattr(files, "PIECES", files.PIECES.replace(files.SPLIT_KEY, "CAST(scan_part AS BIGINT) * 0"))
+    with pytest.raises(files.SplitKeyClash):
+        few_files(staged.segments.withColumn("scan_part", F.lit(0)))
